@@ -9,6 +9,7 @@ from pyspark.storagelevel import StorageLevel
 from ..functions.numeric import ratio
 from ..session import cut_lineage
 from .sets import all_ids
+from .sketch import accuracy_for
 
 EDGES_PER_SALT = 1_000_000
 
@@ -96,7 +97,7 @@ def pagerank(edges: DataFrame, alpha: float = 0.15, rounds: int = 10, weighted:
     return ranks.select("id", "rank")
 
 
-def hub_flags(ranks: DataFrame, quantile: float = 0.9, accuracy: int = 100_000) -> DataFrame:
+def hub_flags(ranks: DataFrame, quantile: float = 0.9) -> DataFrame:
     """Nodes at or above the given quantile of rank."""
-    limit = ranks.agg(F.percentile_approx("rank", quantile, accuracy)).first()[0]
+    limit = ranks.agg(F.percentile_approx("rank", quantile, accuracy_for(ranks))).first()[0]
     return ranks.withColumn("is_hub", (F.col("rank") >= F.lit(limit)).cast("int"))

@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import Stat, rolling
-
-ACCURACY = 100_000
+from .sketch import accuracy_for
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Medians of all columns in one pass; a bounded sketch per column, one row to the driver."""
-    row = df.agg(*[F.percentile_approx(c, 0.5, ACCURACY).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    accuracy = accuracy_for(df)
+    row = df.agg(*[F.percentile_approx(c, 0.5, accuracy).alias(f"c{i}") for i, c in enumerate(columns)]).first()
     return {c: row[i] for i, c in enumerate(columns)}
 
 

@@ -1,0 +1,18 @@
+"""How fine a quantile sketch may be."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+SMALL_BYTES = 256 * 1024 * 1024
+FINE, COARSE = 1_000_000, 10_000
+
+
+def accuracy_for(df: DataFrame) -> int:
+    """Sketch accuracy from the planner's size estimate; no job is run.
+
+    Sketches of all tasks meet in one reducer. Small inputs can afford one that is exact
+    to the row; large ones get a sketch of some hundred kilobytes per task.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return FINE if size <= SMALL_BYTES else COARSE

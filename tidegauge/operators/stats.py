@@ -12,8 +12,8 @@ from pyspark.sql import Window as W
 from ..functions.numeric import ladder, ratio
 from .clean import columns_of_type, is_missing, to_long
 from .ranking import cumulative_by_value
+from .sketch import accuracy_for
 
-ACCURACY = 100_000
 
 
 def row_total(df: DataFrame) -> Column:
@@ -101,8 +101,9 @@ def approx_distinct_counts(df: DataFrame, columns: Sequence[str], rsd: float = 0
     return to_long(df, columns, {"n_distinct": lambda c: F.approx_count_distinct(c, rsd)})
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
+def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int | None = None) -> DataFrame:
     """Sketched quantiles, one row per column and probability."""
+    accuracy = accuracy or accuracy_for(df)
     wide = df.agg(*[F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(f"q{i}")
                     for i, c in enumerate(columns)])
     rows = [
@@ -112,8 +113,9 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], acc
     return wide.select(F.inline(F.array(*rows)))
 
 
-def quantile_row(df: DataFrame, wanted: Mapping[str, tuple[str, float]], accuracy: int = ACCURACY) -> dict[str, float]:
+def quantile_row(df: DataFrame, wanted: Mapping[str, tuple[str, float]], accuracy: int | None = None) -> dict[str, float]:
     """Named thresholds: name -> (column, probability), one pass, one row to the driver."""
+    accuracy = accuracy or accuracy_for(df)
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), p, accuracy).alias(n)
                    for n, (c, p) in wanted.items()]).first()
     return row.asDict()
@@ -121,8 +123,11 @@ def quantile_row(df: DataFrame, wanted: Mapping[str, tuple[str, float]], accurac
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, spread, extremes and quartiles per column."""
+    accuracy = accuracy_for(df)
+
     def quartile(p: float):
-        return lambda c: F.percentile_approx(c.cast("double"), p, ACCURACY)
+        return lambda c: F.percentile_approx(c.cast("double"), p, accuracy)
+
     return to_long(df, columns, {
         "n": F.count,
         "mean": lambda c: F.round(F.avg(c), 6),
@@ -201,12 +206,12 @@ def stage_comparison(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
 
 
 def quality_summary(df: DataFrame) -> DataFrame:
-    """Missing share and distinct count for every column, value range for the numeric ones."""
+    """Type and missing rows of every column, value range and mean of the numeric ones; one pass."""
     numeric = set(columns_of_type(df, "tinyint", "smallint", "int", "bigint", "float", "double"))
     types = dict(df.dtypes)
     aggs = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(df.columns):
-        aggs += [F.count(F.when(is_missing(df, c), F.lit(1))).alias(f"m{i}"), F.approx_count_distinct(c).alias(f"d{i}")]
+        aggs.append(F.count(F.when(is_missing(df, c), F.lit(1))).alias(f"m{i}"))
         if c in numeric:
             x = F.col(c).cast("double")
             aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), F.avg(x).alias(f"av{i}")]
@@ -214,7 +219,6 @@ def quality_summary(df: DataFrame) -> DataFrame:
     rows = [
         F.struct(
             F.lit(c).alias("column"), F.lit(types[c]).alias("type"), F.col("rows"), F.col(f"m{i}").alias("n_missing"),
-            F.col(f"d{i}").alias("n_distinct"),
             (F.col(f"lo{i}") if c in numeric else none).alias("min"),
             (F.col(f"hi{i}") if c in numeric else none).alias("max"),
             (F.round(f"av{i}", 6) if c in numeric else none).alias("mean"),
