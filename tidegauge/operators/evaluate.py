@@ -44,7 +44,9 @@ def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: Sequence[
     over the short list of thresholds.
     """
     grid = sorted(set(thresholds))
-    reach = F.size(F.filter(F.array(*[F.lit(float(t)) for t in grid]), lambda t: t <= F.col(score)))
+    reach = F.lit(0)
+    for t in grid:
+        reach = reach + (F.col(score) >= F.lit(float(t))).cast("int")
     y = F.col(label) == 1
     binned = df.groupBy(reach.alias("_b")).agg(
         F.count(F.when(y, F.lit(1))).alias("p"), F.count(F.when(~y, F.lit(1))).alias("n"))
