@@ -1 +1,256 @@
-"""Queries."""
+"""Feature preparation, models, searches and distributed descent."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.text import hash_unit, tokens
+from ..operators import clean, descent, evaluate, learn, split
+from .registry import Tables, query
+from .splits import labelled_orders, unit
+
+# ---- prepared features -----------------------------------------------------------------
+
+
+@query("l3_one_hot", """
+WITH i AS (SELECT o_orderpriority, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS ix FROM orders GROUP BY o_orderpriority)
+SELECT o_orderkey, CAST(ix AS DOUBLE) AS ix, CAST((SELECT count(*) FROM i) + 1 AS INTEGER) AS width FROM orders JOIN i USING (o_orderpriority)""")
+def l3_one_hot(t: Tables) -> DataFrame:
+    """Index by falling frequency and a one-hot vector with a slot for unseen values."""
+    rows = t.orders.select("o_orderkey", "o_orderpriority")
+    hot = vector_to_array("o_orderpriority_oh")
+    out = learn.fit(rows, learn.one_hot(["o_orderpriority"])).transform(rows)
+    return out.select("o_orderkey", (F.array_position(hot, 1.0) - 1).cast("double").alias("ix"), F.size(hot).alias("width"))
+
+
+@query("l4_scaled_groups", """
+WITH s AS (SELECT quantile_disc(l_quantity, 0.5) AS md, quantile_disc(l_quantity, 0.75) - quantile_disc(l_quantity, 0.25) AS iqr, min(l_discount) AS lo, max(l_discount) AS hi,
+                  avg(l_extendedprice) AS m, stddev_samp(l_extendedprice) AS sd FROM lineitem)
+SELECT l_orderkey, l_linenumber, round((l_quantity - md) / iqr, 7) AS q, round((l_discount - lo) / (hi - lo), 7) AS d, round((l_extendedprice - m) / sd, 7) AS p FROM lineitem, s""")
+def l4_scaled_groups(t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_extendedprice")
+    model = learn.fit(rows, learn.scaled_groups(["l_quantity"], ["l_discount"], ["l_extendedprice"]))
+    v = vector_to_array("features")
+    return model.transform(rows).select("l_orderkey", "l_linenumber", *[F.round(v[i], 7).alias(n) for i, n in enumerate("qdp")])
+
+
+@query("l5_pca")
+def l5_pca(t: Tables) -> DataFrame:
+    rows = t.embeddings.select("vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    out, _ = learn.pca_cut(rows, "v", 0.95)
+    return out.select("vec_id", "label", F.size("components").alias("n_components"), "components")
+
+
+@query("a20_chi_square_selection")
+def a20_chi_square_selection(t: Tables) -> DataFrame:
+    rows = labelled_lines(t).select("l_linenumber", "l_discount", "l_tax", "late")
+    return learn.select_by_chi2(rows, ["l_linenumber", "l_discount", "l_tax"], "late", 2)
+
+
+# ---- classifiers on documents ----------------------------------------------------------
+
+FEATURES = ["n_chars", "n_words", "n_unique", "mean_word", "unique_share"]
+
+
+def documents(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Length statistics of labelled documents, split by a hash of the key."""
+    words = t.documents.join(t.labels, "doc_id").select("doc_id", F.col("quality").cast("double").alias("label"),
+                                                        F.col("n_chars").cast("double").alias("n_chars"), tokens(F.col("text")).alias("w"))
+    rows = words.select(
+        "doc_id", "label", "n_chars", F.size("w").cast("double").alias("n_words"),
+        F.size(F.array_distinct("w")).cast("double").alias("n_unique"),
+        (F.length(F.array_join("w", "")) / F.greatest(F.size("w"), F.lit(1))).alias("mean_word"),
+        (F.size(F.array_distinct("w")) / F.greatest(F.size("w"), F.lit(1))).alias("unique_share"))
+    u = hash_unit(F.col("doc_id"), seed=3)
+    return rows.filter(u < 0.7), rows.filter(u >= 0.7)
+
+
+def prepared() -> list:
+    return learn.scaled_groups(robust=["n_chars", "n_words", "n_unique"], minmax=["unique_share"], standard=["mean_word"])
+
+
+def assembled() -> list:
+    return [VectorAssembler(inputCols=FEATURES, outputCol="features")]
+
+
+def predictions(t: Tables, stages: list) -> DataFrame:
+    train, test = documents(t)
+    out = learn.fit(train, stages).transform(test)
+    return out.select("doc_id", "label", F.round(learn.positive_probability(), 6).alias("prob"), "prediction")
+
+
+@query("l6_logistic_regression")
+def l6_logistic_regression(t: Tables) -> DataFrame:
+    """Elastic net with balanced class weights."""
+    train, test = documents(t)
+    weighted = split.class_weights(train, "label")
+    out = learn.fit(weighted, [*prepared(), learn.logistic("label", weight="weight")]).transform(test)
+    return out.select("doc_id", "label", F.round(learn.positive_probability(), 6).alias("prob"), "prediction")
+
+
+@query("l7_random_forest")
+def l7_random_forest(t: Tables) -> DataFrame:
+    return predictions(t, [*assembled(), learn.forest("label")])
+
+
+@query("l8_boosted_trees")
+def l8_boosted_trees(t: Tables) -> DataFrame:
+    return predictions(t, [*assembled(), learn.boosted("label", rounds=5)])
+
+
+@query("l9_perceptron")
+def l9_perceptron(t: Tables) -> DataFrame:
+    return predictions(t, [*prepared(), learn.perceptron("label", [len(FEATURES), 6, 2])])
+
+
+@query("l16_feature_importance")
+def l16_feature_importance(t: Tables) -> DataFrame:
+    train, _ = documents(t)
+    model = learn.fit(train, [*assembled(), learn.forest("label")])
+    return learn.importance_table(train, model.stages[-1], FEATURES)
+
+
+@query("l15_early_stopping")
+def l15_early_stopping(t: Tables) -> DataFrame:
+    train, valid = (d.persist() for d in documents(t))
+    tried = learn.early_stop(train, valid, [2, 4, 6, 8], lambda n: [*assembled(), learn.boosted("label", rounds=n)], "label")
+    train.unpersist(), valid.unpersist()
+    return t.spark.createDataFrame(tried, "rounds int, auc_pr double, is_best boolean").coalesce(1)
+
+
+@query("l18_mean_ensemble")
+def l18_mean_ensemble(t: Tables) -> DataFrame:
+    train, test = documents(t)
+    models = [learn.fit(train, [*prepared(), learn.logistic("label")]), learn.fit(train, [*assembled(), learn.forest("label", trees=10)]),
+              learn.fit(train, [*prepared(), learn.perceptron("label", [len(FEATURES), 4, 2], rounds=15)])]
+    return learn.mean_probability(test, models).select("doc_id", "label", F.round("prob", 6).alias("prob"))
+
+
+# ---- order and line models -------------------------------------------------------------
+
+
+@query("l14_grid_search")
+def l14_grid_search(t: Tables) -> DataFrame:
+    """Penalty grid over expanding time folds, mean score, best first."""
+    rows = labelled_orders(t).select("o_orderdate", F.col("hit").cast("double").alias("label"), "o_totalprice",
+                                     F.month("o_orderdate").cast("double").alias("month")).persist()
+    folds = split.expanding_folds(rows, F.col("o_orderdate"), ["1998-01-01", "1999-06-01", "2001-01-01"])
+
+    def build(reg: float, mix: float) -> list:
+        return [*learn.scaled_groups(robust=["o_totalprice"], standard=["month"]), learn.logistic("label", reg=reg, mix=mix, rounds=10)]
+
+    results = learn.grid_search(folds, [{"reg": r, "mix": m} for r in (0.001, 0.1) for m in (0.0, 1.0)], build, "label")
+    rows.unpersist()
+    return t.spark.createDataFrame(
+        [(p["reg"], p["mix"], s, m, i == 0) for i, (p, s, m) in enumerate(results)],
+        "reg double, mix double, fold_scores array<double>, mean_score double, is_best boolean").coalesce(1)
+
+
+def labelled_lines(t: Tables) -> DataFrame:
+    late = F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0)
+    return t.lineitem.withColumns({"late": late, "l_linenumber": F.col("l_linenumber").cast("double")})
+
+
+@query("l10_linear_regression", """
+SELECT round(regr_slope(l_extendedprice, l_quantity), 5) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept,
+       round(regr_r2(l_extendedprice, l_quantity), 7) AS r2 FROM lineitem""")
+def l10_linear_regression(t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_extendedprice", "l_quantity")
+    model = learn.fit(rows, [VectorAssembler(inputCols=["l_quantity"], outputCol="features"), learn.linear("l_extendedprice")]).stages[-1]
+    values = (round(float(model.coefficients[0]), 5), round(float(model.intercept), 4), round(float(model.summary.r2), 7))
+    return t.spark.createDataFrame([values], "slope double, intercept double, r2 double").coalesce(1)
+
+
+@query("l10_ridge_lasso")
+def l10_ridge_lasso(t: Tables) -> DataFrame:
+    rows = VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(t.lineitem).select("features", "l_extendedprice")
+    out = []
+    for name, mix in (("ridge", 0.0), ("lasso", 1.0)):
+        model = learn.linear("l_extendedprice", reg=100.0, mix=mix).fit(rows)
+        out.append((name, [float(c) for c in model.coefficients], float(model.intercept), float(model.summary.rootMeanSquaredError)))
+    return t.spark.createDataFrame(out, "kind string, coefficients array<double>, intercept double, rmse double").coalesce(1)
+
+
+@query("l17_two_stage")
+def l17_two_stage(t: Tables) -> DataFrame:
+    """Classify, regress on positives, and compare three ways to combine the two."""
+    rows = labelled_lines(t).select("l_linenumber", "l_quantity", "l_discount", "l_tax", "late", "l_extendedprice", "l_shipdate")
+    cut = F.lit("2000-01-01").cast("timestamp_ntz")
+    gate = learn.forest("late", trees=5, depth=4)
+    amount = RandomForestRegressor(labelCol="l_extendedprice", featuresCol="features", numTrees=5, maxDepth=5, seed=7)
+    prep = [VectorAssembler(inputCols=["l_linenumber", "l_quantity", "l_discount", "l_tax"], outputCol="features")]
+    scored = learn.two_stage(rows.filter(F.col("l_shipdate") < cut), rows.filter(F.col("l_shipdate") >= cut), prep, gate, amount, "late")
+    actual = F.col("late") * F.col("l_extendedprice")
+    reports = [evaluate.regression_errors(scored, actual, F.col(c)).withColumn("kind", F.lit(c)) for c in ("gated", "amount", "expected")]
+    return reduce(DataFrame.unionByName, reports)
+
+
+# ---- descent ---------------------------------------------------------------------------
+
+SCALED_SQL = f"""d AS MATERIALIZED (SELECT (l_quantity - mq) / sq AS a, (l_discount - md) / sd AS b, l_extendedprice / 1000 AS y,
+        CAST(floor({unit("concat(l_orderkey, '-', l_linenumber, '-', l_partkey)")} * 5) AS INTEGER) AS fold
+     FROM lineitem, (SELECT avg(l_quantity) AS mq, stddev_samp(l_quantity) AS sq, avg(l_discount) AS md, stddev_samp(l_discount) AS sd FROM lineitem))"""
+
+
+def scaled(t: Tables) -> DataFrame:
+    key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"))
+    rows = clean.zscore(t.lineitem, ["l_quantity", "l_discount"])
+    rows = rows.select(F.col("l_quantity_z").alias("a"), F.col("l_discount_z").alias("b"), (F.col("l_extendedprice") / 1000).alias("y"), key.alias("line"))
+    return split.fold(rows, "line", 5).drop("line")
+
+
+def descent_sql(steps: int, penalty: str | None) -> str:
+    """Every step as one more pass over the rows."""
+    extra = {None: "0", "ridge": "2 * 0.1 * {w}", "lasso": "0.1 * sign({w})"}[penalty]
+    out = [f"{SCALED_SQL}, s0 AS MATERIALIZED (SELECT avg(y) AS w0, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2 FROM d)"]
+    for i in range(steps):
+        e = "(w0 + w1 * a + w2 * b - y)"
+        out.append(f"""s{i + 1} AS MATERIALIZED (SELECT any_value(w0) - 0.1 * avg(2 * {e}) AS w0, any_value(w1) - 0.1 * (avg(2 * a * {e}) + {extra.format(w='any_value(w1)')}) AS w1,
+       any_value(w2) - 0.1 * (avg(2 * b * {e}) + {extra.format(w='any_value(w2)')}) AS w2 FROM d, s{i})""")
+    rows = "\nUNION ALL ".join(f"""SELECT {i} AS step, round(any_value(w0), 7) AS w0, round(any_value(w1), 7) AS w1, round(any_value(w2), 7) AS w2,
+  round(avg((w0 + w1 * a + w2 * b - y) * (w0 + w1 * a + w2 * b - y)), 6) AS loss FROM d, s{i}""" for i in range(steps + 1))
+    return "WITH " + ",\n".join(out) + "\n" + rows
+
+
+def shown(history: DataFrame) -> DataFrame:
+    return history.select("step", *[F.round(c, 7).alias(c) for c in ("w0", "w1", "w2")], F.round("loss", 6).alias("loss"))
+
+
+@query("l11_gradient_descent", descent_sql(5, None))
+def l11_gradient_descent(t: Tables) -> DataFrame:
+    return shown(descent.descend(scaled(t), ["a", "b"], "y", 5))
+
+
+@query("l12_ridge_descent", descent_sql(5, "ridge"))
+def l12_ridge_descent(t: Tables) -> DataFrame:
+    return shown(descent.descend(scaled(t), ["a", "b"], "y", 5, penalty="ridge"))
+
+
+@query("l12_lasso_descent", descent_sql(5, "lasso"))
+def l12_lasso_descent(t: Tables) -> DataFrame:
+    return shown(descent.descend(scaled(t), ["a", "b"], "y", 5, penalty="lasso"))
+
+
+def folds_sql(steps: int) -> str:
+    e = "(w0 + w1 * a + w2 * b - y)"
+    out = [f"""{SCALED_SQL}, m AS (SELECT unnest(range(5)) AS model),
+     s0 AS MATERIALIZED (SELECT model, avg(y) AS w0, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2 FROM d, m WHERE fold <> model GROUP BY model)"""]
+    for i in range(steps):
+        out.append(f"""s{i + 1} AS MATERIALIZED (SELECT model, any_value(w0) - 0.1 * avg(2 * {e}) AS w0, any_value(w1) - 0.1 * avg(2 * a * {e}) AS w1,
+       any_value(w2) - 0.1 * avg(2 * b * {e}) AS w2 FROM d, s{i} WHERE fold <> model GROUP BY model)""")
+    rows = "\nUNION ALL ".join(f"""SELECT CAST(model AS INTEGER) AS model, {i} AS step, round(avg({e} * {e}) FILTER (fold <> model), 6) AS train_loss,
+  round(avg({e} * {e}) FILTER (fold = model), 6) AS test_loss FROM d, s{i} GROUP BY model""" for i in range(steps + 1))
+    return "WITH " + ",\n".join(out) + "\n" + rows
+
+
+@query("l13_fold_descent", folds_sql(3))
+def l13_fold_descent(t: Tables) -> DataFrame:
+    """Five models, one per held-out fold, from a single pass."""
+    out = descent.descend_folds(scaled(t), ["a", "b"], "y", "fold", 3)
+    return out.select("model", "step", F.round("train_loss", 6).alias("train_loss"), F.round("test_loss", 6).alias("test_loss"))
