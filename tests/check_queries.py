@@ -28,6 +28,11 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SAME_TYPE = {"tinyint": "TINYINT", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+             "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN", "decimal(4,2)": "DECIMAL(4,2)",
+             "array<string>": "VARCHAR[]"}
+
+
 def normal(value):
     if isinstance(value, float) and value == 0:
         return 0.0
@@ -51,11 +56,8 @@ def compare(spark, con, name, folder):
     if sorted(df.columns) != sorted(rel.columns):
         return f"columns {sorted(df.columns)} against {sorted(rel.columns)}", len(got), ""
     a, b = rows_of(df.columns, got), rows_of(rel.columns, want)
-    types = ""
-    if a and b:
-        kinds = [(type(x).__name__, type(y).__name__) for x, y in zip(a[0], b[0])]
-        types = " ".join(f"{c}:{x}/{y}" for c, (x, y) in zip(sorted(df.columns), kinds)
-                         if x != y and "NoneType" not in (x, y))
+    other = dict(zip(rel.columns, (str(x) for x in rel.types)))
+    types = " ".join(f"{c}:{ty}/{other[c]}" for c, ty in sorted(df.dtypes) if SAME_TYPE.get(ty) != other[c])
     if a != b:
         if len(a) != len(b):
             return f"{len(a)} rows against {len(b)}; first {a[:2]} against {b[:2]}", len(got), types

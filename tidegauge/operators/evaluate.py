@@ -82,7 +82,7 @@ def auc(df: DataFrame, label: str, score: str) -> DataFrame:
     return cum.agg(
         F.round(ratio(F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2)), F.lit(p * n)), 9).alias("auc_roc"),
         F.round(ratio(F.sum(F.col("pos") * above_p / above), F.lit(p)), 9).alias("avg_precision"),
-        F.lit(p).alias("n_pos"), F.lit(n).alias("n_neg"),
+        F.lit(p).cast("long").alias("n_pos"), F.lit(n).cast("long").alias("n_neg"),
     )
 
 

@@ -130,7 +130,7 @@ def nearest_k(
     # metre-scale rounding makes equal distances tie, so that the site id decides
     near = search.join(site_cubes, cube).select(lat, lon, site_id, F.round(km, 6).alias("dist_km"))
     order = W.partitionBy(lat, lon).orderBy("dist_km", site_id)
-    top = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    top = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("long"))
     return points.select(point_id, lat, lon).join(top, [lat, lon]).select(point_id, site_id, "dist_km", "rank")
 
 

@@ -20,13 +20,13 @@ def both_ends(df: DataFrame, measure: str, n: int, tie: str) -> DataFrame:
     """The ``n`` largest and ``n`` smallest rows with their place, ties by ``tie``."""
     def end(order: list[Column], label: str) -> DataFrame:
         cut = df.orderBy(*order).limit(n)  # n rows, so one window task is enough
-        return cut.select("*", F.lit(label).alias("end"), F.row_number().over(W.orderBy(*order)).alias("place"))
+        return cut.select("*", F.lit(label).alias("end"), F.row_number().over(W.orderBy(*order)).cast("long").alias("place"))
     return end([F.desc(measure), F.col(tie)], "top").unionByName(end([F.asc(measure), F.col(tie)], "bottom"))
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     place = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("place", place).filter(F.col("place") <= k)
+    return df.withColumn("place", place).filter(F.col("place") <= k).withColumn("place", F.col("place").cast("long"))
 
 
 def grouped_sort(df: DataFrame, partitions: int, key: str, order: Sequence[Column]) -> DataFrame:

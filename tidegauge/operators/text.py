@@ -87,7 +87,7 @@ def vocabulary(grams: DataFrame, size: int, basis: int, stop_words: Sequence[str
     kept = weighted_words(grams).join(stop, "word", "left_anti")
     order = [F.desc("n"), F.asc("word")]
     cut = kept.orderBy(*order).limit(size)
-    ranked = cut.withColumn("rank", F.row_number().over(W.orderBy(*order)) - 1)
+    ranked = cut.withColumn("rank", F.row_number().over(W.orderBy(*order)).cast("long") - 1)
     return ranked.withColumn("in_basis", (F.col("rank") >= size - basis).cast("int"))
 
 
@@ -112,7 +112,7 @@ def postings(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     Postings of a frequent word stay separate rows, so no word has to fit in one task.
     """
     sets = df.select(doc_id, F.array_distinct(tokens(F.col(text))).alias("_w"))
-    rows = sets.select(F.explode("_w").alias("word"), doc_id, F.size("_w").alias("n_words"))
+    rows = sets.select(F.explode("_w").alias("word"), doc_id, F.size("_w").cast("long").alias("n_words"))
     frequency = rows.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq"))
     return rows.join(frequency, "word")
 

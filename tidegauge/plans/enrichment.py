@@ -174,11 +174,11 @@ def j7_aggregate_back(t: Tables) -> DataFrame:
 @query("j8_small_aggregate_join", """
 SELECT o_orderkey, o_orderpriority, month, mean_price
 FROM (SELECT *, month(o_orderdate) AS month FROM orders)
-JOIN (SELECT o_orderpriority, month(o_orderdate) AS month, round(avg(o_totalprice), 4) AS mean_price
+JOIN (SELECT o_orderpriority, month(o_orderdate) AS month, round(avg(o_totalprice), 7) AS mean_price
       FROM orders GROUP BY ALL) USING (o_orderpriority, month)""")
 def j8_small_aggregate_join(t: Tables) -> DataFrame:
     rows = t.orders.select("o_orderkey", "o_orderpriority", F.month("o_orderdate").cast("long").alias("month"), "o_totalprice")
-    small = rows.groupBy("o_orderpriority", "month").agg(F.round(F.avg("o_totalprice"), 4).alias("mean_price"))
+    small = rows.groupBy("o_orderpriority", "month").agg(F.round(F.avg("o_totalprice"), 7).alias("mean_price"))
     return rows.drop("o_totalprice").join(joins.bounded_broadcast(small, 10_000), ["o_orderpriority", "month"])
 
 

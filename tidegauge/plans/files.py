@@ -29,7 +29,7 @@ def s2_csv_text_scan(t: Tables) -> DataFrame:
     return files.read_csv(t.spark, customer_csv(t))
 
 
-@query("s3_csv_inferred_scan", "SELECT c_custkey, c_name, c_nationkey FROM customer")
+@query("s3_csv_inferred_scan", "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey FROM customer")
 def s3_csv_inferred_scan(t: Tables) -> DataFrame:
     return files.read_csv(t.spark, customer_csv(t), infer=True)
 
