@@ -8,18 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
+from .skew import attach
 
 
 def fit_target_encoding(train: DataFrame, column: str, label: str, k: float = 100.0) -> tuple[DataFrame, float]:
-    """Smoothed mean per category, and the overall mean for categories not seen."""
+    """Smoothed mean per category, and the overall mean for unseen and null categories."""
     overall = train.agg(F.avg(F.col(label).cast("double"))).first()[0]
-    stats = train.groupBy(column).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(label).cast("double")).alias("m"))
+    stats = train.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(label).cast("double")).alias("m"))
     smoothed = (F.col("m") * F.col("n") + F.lit(overall * k)) / (F.col("n") + F.lit(k))
-    return stats.select(column, smoothed.alias(column + "_te")), overall
+    return stats.select(column, "n", smoothed.alias(column + "_te")), overall
 
 
 def apply_target_encoding(df: DataFrame, column: str, table: DataFrame, overall: float) -> DataFrame:
-    return df.join(table, column, "left").withColumn(column + "_te", F.coalesce(column + "_te", F.lit(overall)))
+    """A category frequent in training is taken to be frequent here too, and is broadcast."""
+    out = attach(df, table.withColumnRenamed("n", "_rows"), [column], "_rows").drop("_rows")
+    return out.withColumn(column + "_te", F.coalesce(column + "_te", F.lit(overall)))
 
 
 def target_encode(train: DataFrame, other: DataFrame, columns: Sequence[str], label: str, k: float = 100.0) -> DataFrame:
@@ -33,7 +36,7 @@ def target_encode(train: DataFrame, other: DataFrame, columns: Sequence[str], la
 
 def frequency_encode(df: DataFrame, column: str) -> DataFrame:
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias(column + "_n"))
-    return df.join(counts, column, "left")
+    return attach(df, counts, [column], column + "_n")
 
 
 def capped_history(
@@ -45,6 +48,6 @@ def capped_history(
     """
     hist = df.filter(F.col(split) == "train").groupBy(*keys).agg(
         F.count(F.lit(1)).alias("hist_n"), F.sum(F.col(label).cast("long")).alias("_p"))
-    out = df.join(hist, list(keys), "left")
+    out = attach(df, hist, keys, "hist_n")
     rate = ratio(F.col("_p") + F.lit(smoothing / 2), F.col("hist_n") + F.lit(smoothing))
     return out.withColumn("hist_n", F.coalesce("hist_n", F.lit(0))).withColumn("hist_rate", rate).drop("_p")

@@ -1,107 +1,105 @@
 """Time frames over entities, written so that no entity has to fit in one task.
 
-A window partitioned by entity alone sends a busy entity to a single task. Every
-operator here partitions by (entity, time cell) instead:
-
-* frames with a bounded look-back copy the tail of each cell into the next one, so a
-  cell holds everything its own rows can see (``with_halo``). With cells four look-backs
-  long about a quarter of the rows are copied, whatever the data size.
-* frames that reach back to the beginning of time run inside the cell and add what
-  earlier cells left behind. That carry is one row per (entity, cell), produced by a
-  map-side aggregate, so its window is small even for the busiest entity.
-
-Sums and counts over ``[t - start, t - end]`` are the difference of two growing frames:
-linear work, where a sliding frame would add up all its rows again for each row.
+* Frames with a bounded look-back first combine the rows of one (entity, instant); this
+  happens map-side, so an entity contributes at most one row per instant however many rows
+  it has. The instants are laid out by (entity, time cell), and the tail of each cell is
+  copied into the next one, so that a cell holds everything its own instants can see. The
+  result is joined back on (entity, instant).
+* Sums and counts over ``[t - start, t - end]`` are the difference of two growing frames:
+  linear work, where a sliding frame would add up all its rows again for each row.
+* Lags, running totals and as-of look-ups cut hot entities into cells (``skew``) and pass
+  on what earlier cells left behind: one row per (hot entity, cell).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-CELL = "_cell"
+from .skew import CELL, cut_in_time, prefixed, same_keys
+
 HALO = "_halo"
 
 
-def with_halo(
-    df: DataFrame, time: str, lookback: int, cell: int | None = None, copy: Column | None = None
-) -> DataFrame:
+@dataclass(frozen=True)
+class Stat:
+    """One rolling measure over rows whose ``value`` is not null."""
+
+    kind: str  # count | sum | avg | ratio | stddev | min | max
+    value: Column
+
+
+def _with_halo(df: DataFrame, time: str, lookback: int, cell: int | None) -> DataFrame:
     """Add the time cell; rows within ``lookback`` of the cell end are copied to the next cell."""
     width = max(cell or 4 * lookback, lookback, 1)
     home = F.floor(F.col(time) / F.lit(width)).cast("long")
     here = F.struct(home.alias(CELL), F.lit(False).alias(HALO))
     there = F.struct((home + 1).alias(CELL), F.lit(True).alias(HALO))
     seen_by_next = F.col(time) + F.lit(lookback) >= (home + 1) * F.lit(width)
-    if copy is not None:
-        seen_by_next = seen_by_next & copy
     return df.select("*", F.inline(F.when(seen_by_next, F.array(here, there)).otherwise(F.array(here))))
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on ``keys``; ``right`` carries them with a ``_r_`` prefix."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right["_r_" + k]) for k in keys])
-
-
-def _prefixed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.withColumnsRenamed({k: "_r_" + k for k in keys})
-
-
-@dataclass(frozen=True)
-class Stat:
-    """One rolling measure over rows whose ``value`` is not null."""
-
-    kind: str  # count | sum | avg | ratio | stddev | min | max
-    value: Column
+def _partials(stats: Mapping[str, Stat]) -> list[Column]:
+    """Per-instant pieces of every measure."""
+    out = []
+    for name, stat in stats.items():
+        v = stat.value
+        if stat.kind in ("min", "max"):
+            out.append((F.min(v) if stat.kind == "min" else F.max(v)).alias("_s_" + name))
+            continue
+        out.append(F.count(v).alias("_n_" + name))
+        if stat.kind in ("sum", "avg", "ratio"):
+            out.append(F.sum(v).alias("_s_" + name))
+        elif stat.kind == "stddev":
+            out += [F.avg(v).alias("_s_" + name), (F.var_pop(v) * F.count(v)).alias("_q_" + name)]
+        elif stat.kind != "count":
+            raise ValueError(f"unknown rolling statistic {stat.kind!r}")
+    return out
 
 
-def _stat_columns(
-    df: DataFrame, keys: Sequence[str], time: str, start: int, end: int,
-    stats: Mapping[str, Stat], lookback: int,
-) -> DataFrame:
-    cell = W.partitionBy(*keys, CELL)
-    ordered = cell.orderBy(time)
+def _framed(instants: DataFrame, keys: Sequence[str], time: str, start: int, end: int,
+            stats: Mapping[str, Stat], cell: int | None) -> DataFrame:
+    """Measures of every instant over ``[t - start, t - end]``."""
+    in_cell = W.partitionBy(*keys, CELL)
+    ordered = in_cell.orderBy(time)
 
     def grown(expr: Column) -> Column:
-        upto_end = expr.over(ordered.rangeBetween(W.unboundedPreceding, -end))
-        before_start = expr.over(ordered.rangeBetween(W.unboundedPreceding, -start - 1))
+        upto_end = F.sum(expr).over(ordered.rangeBetween(W.unboundedPreceding, -end))
+        before_start = F.sum(expr).over(ordered.rangeBetween(W.unboundedPreceding, -start - 1))
         return F.coalesce(upto_end, F.lit(0)) - F.coalesce(before_start, F.lit(0))
 
-    inputs, shifted = {}, {}
-    for name, stat in stats.items():
-        inputs["_in_" + name] = stat.value
-        if stat.kind == "stddev":
-            # moments about the cell mean keep the subtraction well conditioned
-            shifted["_in_" + name] = F.col("_in_" + name) - F.avg("_in_" + name).over(cell)
-    out = df.withColumns(inputs)
+    out = _with_halo(instants, time, start, cell)
+    # spread is summed about the cell mean, which keeps the subtraction well conditioned
+    shifted = {"_s_" + n: F.col("_s_" + n) - F.avg("_s_" + n).over(in_cell) for n, s in stats.items() if s.kind == "stddev"}
     if shifted:
         out = out.withColumns(shifted)
     measures = {}
     for name, stat in stats.items():
-        value = F.col("_in_" + name)
         if stat.kind in ("min", "max"):
             frame = ordered.rangeBetween(-start, -end)
-            measures[name] = (F.min(value) if stat.kind == "min" else F.max(value)).over(frame)
+            measures[name] = (F.min if stat.kind == "min" else F.max)("_s_" + name).over(frame)
             continue
-        n = grown(F.count(value))
+        n = grown(F.col("_n_" + name))
+        s = F.col("_s_" + name)
         if stat.kind == "count":
             measures[name] = n
         elif stat.kind == "sum":
-            measures[name] = F.when(n > 0, grown(F.sum(value)))
+            measures[name] = F.when(n > 0, grown(s))
         elif stat.kind == "avg":
-            measures[name] = F.when(n > 0, grown(F.sum(value)) / n)
+            measures[name] = F.when(n > 0, grown(s) / n)
         elif stat.kind == "ratio":
-            measures[name] = F.when(n > 0, grown(F.sum(value)) / n).otherwise(F.lit(0.0))
-        elif stat.kind == "stddev":
-            s1, s2 = grown(F.sum(value)), grown(F.sum(value * value))
-            measures[name] = F.when(n > 1, F.sqrt(F.greatest((s2 - s1 * s1 / n) / (n - 1), F.lit(0.0))))
+            measures[name] = F.when(n > 0, grown(s) / n).otherwise(F.lit(0.0))
         else:
-            raise ValueError(f"unknown rolling statistic {stat.kind!r}")
-    return out.withColumns(measures).drop(*inputs)
+            weight = F.col("_n_" + name)
+            first = grown(weight * s)
+            second = grown(F.col("_q_" + name) + weight * s * s)
+            var = (second - first * first / n) / (n - 1)
+            measures[name] = F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+    return out.withColumns(measures).filter(~F.col(HALO)).select(*keys, time, *stats)
 
 
 def rolling(
@@ -114,37 +112,33 @@ def rolling(
     same frame. To keep labels out of their own window, ``end`` must be at least the
     prediction horizon plus the delay until a label is known.
     """
-    cells = with_halo(df, time, start, cell)
-    return _stat_columns(cells, keys, time, start, end, stats, start).filter(~F.col(HALO)).drop(CELL, HALO)
+    on = [*keys, time]
+    instants = df.groupBy(*on).agg(*_partials(stats))
+    framed = prefixed(_framed(instants, keys, time, start, end, stats, cell), on)
+    return df.join(framed, same_keys(df, framed, on), "left").drop(*["_r_" + k for k in on])
 
 
 def rolling_by_day(
     df: DataFrame, keys: Sequence[str], day: str, start: int, end: int, stats: Mapping[str, Stat],
 ) -> DataFrame:
-    """Long windows in days: aggregate per (keys, day) first, then frame the daily table.
+    """Long windows in days over the daily table: a frame has at most ``start`` rows per entity.
 
-    A frame then holds at most ``start`` rows per entity however many rows a day has.
     Supports count, sum and avg.
     """
-    parts = {}
-    for name, stat in stats.items():
-        parts["_n_" + name] = F.count(stat.value)
-        parts["_s_" + name] = F.sum(stat.value.cast("double") if stat.kind != "count" else F.lit(0))
-    daily = df.groupBy(*keys, day).agg(*[c.alias(n) for n, c in parts.items()])
+    on = [*keys, day]
+    daily = df.groupBy(*on).agg(*_partials(stats))
     frame = W.partitionBy(*keys).orderBy(day).rangeBetween(-start, -end)
     cols = {}
     for name, stat in stats.items():
-        n, s = F.sum("_n_" + name).over(frame), F.sum("_s_" + name).over(frame)
+        n = F.coalesce(F.sum("_n_" + name).over(frame), F.lit(0))
         if stat.kind == "count":
-            cols[name] = F.coalesce(n, F.lit(0))
-        elif stat.kind == "sum":
-            cols[name] = F.when(n > 0, s)
-        elif stat.kind == "avg":
-            cols[name] = F.when(n > 0, s / n)
+            cols[name] = n
+        elif stat.kind in ("sum", "avg"):
+            s = F.sum("_s_" + name).over(frame)
+            cols[name] = F.when(n > 0, s if stat.kind == "sum" else s / n)
         else:
             raise ValueError(f"{stat.kind!r} is not a daily statistic")
-    on = [*keys, day]
-    framed = _prefixed(daily.withColumns(cols).select(*on, *stats), on)
+    framed = prefixed(daily.withColumns(cols).select(*on, *stats), on)
     return df.join(framed, same_keys(df, framed, on), "left").drop(*["_r_" + k for k in on])
 
 
@@ -152,82 +146,92 @@ def preceding_stats(
     probes: DataFrame, events: DataFrame, keys: Sequence[str], probe_time: str, event_time: str,
     start: int, end: int, stats: Mapping[str, Stat], cell: int | None = None,
 ) -> DataFrame:
-    """For each probe: statistics of ``events`` with equal keys and time in ``[t - start, t - end]``."""
-    named = {n: s.value.alias("_v_" + n) for n, s in stats.items()}
-    p = probes.select(
-        *keys, F.col(probe_time).cast("long").alias("_t"), F.struct("*").alias("_probe"),
-    )
-    e = events.select(*keys, F.col(event_time).cast("long").alias("_t"), *named.values())
-    both = p.unionByName(e, allowMissingColumns=True)
-    cells = with_halo(both, "_t", start, cell, copy=F.col("_probe").isNull())
-    inner = {n: Stat(s.kind, F.col("_v_" + n)) for n, s in stats.items()}
-    out = _stat_columns(cells, keys, "_t", start, end, inner, start)
-    return out.filter(F.col("_probe").isNotNull()).select("_probe.*", *stats)
+    """For each probe: statistics of ``events`` with equal keys and time in ``[t - start, t - end]``.
+
+    Instants of both sides are laid out together, so events are never paired with probes.
+    """
+    moments = probes.select(*keys, F.col(probe_time).alias("_t")).distinct()
+    happened = events.withColumn("_t", F.col(event_time)).groupBy(*keys, "_t").agg(*_partials(stats))
+    both = moments.unionByName(happened, allowMissingColumns=True)
+    pieces = [c for c in happened.columns if c not in (*keys, "_t")]
+    merged = both.groupBy(*keys, "_t").agg(*[F.max(c).alias(c) for c in pieces])
+    framed = prefixed(_framed(merged, keys, "_t", start, end, stats, cell), [*keys, "_t"])
+    timed = probes.withColumn("_t", F.col(probe_time))
+    out = timed.join(framed, same_keys(timed, framed, [*keys, "_t"]), "left")
+    return out.select(*probes.columns, *stats)
 
 
 def as_of(
     probes: DataFrame, observations: DataFrame, keys: Sequence[str], probe_time: str, obs_time: str,
-    lookback: int, payload: Sequence[str], tie: str, cell: int | None = None,
+    lookback: int, payload: Sequence[str], tie: str, limit: int | None = None,
 ) -> DataFrame:
     """Latest observation at or before each probe, at most ``lookback`` old.
 
-    One shuffle of both sides by (keys, time cell) and a running last value: each probe
-    comes out exactly once, and no probe is paired with all observations of its look-back.
+    Both sides are laid out together and a running last value answers the probes: each
+    probe comes out exactly once and is never paired with all observations of its look-back.
     Adds ``obs_time`` and ``payload`` columns, null when nothing qualifies.
     """
     seen = [obs_time, *[c for c in payload if c != obs_time]]
     p = probes.select(
-        *keys, F.col(probe_time).cast("long").alias("_t"), F.lit(1).alias("_kind"),
-        F.struct("*").alias("_probe"),
-    )
+        *keys, F.col(probe_time).cast("long").alias("_t"), F.lit(1).alias("_kind"), F.struct("*").alias("_probe"))
     o = observations.filter(F.col(obs_time).isNotNull()).select(
         *keys, F.col(obs_time).cast("long").alias("_t"), F.lit(0).alias("_kind"),
-        F.col(tie).alias("_tie"), F.struct(*seen).alias("_obs"),
-    )
-    both = p.unionByName(o, allowMissingColumns=True)
-    cells = with_halo(both, "_t", lookback, cell, copy=F.col("_kind") == 0)
-    run = W.partitionBy(*keys, CELL).orderBy("_t", "_kind", "_tie").rowsBetween(W.unboundedPreceding, 0)
-    latest = F.last("_obs", ignorenulls=True).over(run)
-    found = cells.withColumn("_last", latest).filter(F.col("_kind") == 1)
+        F.col(tie).alias("_tie"), F.struct(*seen).alias("_obs"))
+    cells, cut = cut_in_time(p.unionByName(o, allowMissingColumns=True), keys, "_t", limit)
+    on = [*keys, CELL]
+    run = W.partitionBy(*on).orderBy("_t", "_kind", "_tie").rowsBetween(W.unboundedPreceding, 0)
+    found = cells.withColumn("_last", F.last("_obs", ignorenulls=True).over(run)).filter(F.col("_kind") == 1)
+    if cut:
+        newest = F.max_by("_obs", F.struct("_t", "_tie"))
+        tails = cells.filter(F.col("_kind") == 0).groupBy(*on).agg(newest.alias("_tail"))
+        found = _handed_on(found, _every_cell(cells, tails, on), on, "_tail", "_carry")
+        found = found.withColumn("_last", F.coalesce("_last", "_carry"))
     fresh = F.col("_t") - F.col("_last." + obs_time) <= F.lit(lookback)
     return found.select("_probe.*", *[F.when(fresh, F.col("_last." + c)).alias(c) for c in seen])
 
 
-def _cells_only(df: DataFrame, time: str, cell: int) -> DataFrame:
-    return df.withColumn(CELL, F.floor(F.col(time) / F.lit(cell)).cast("long"))
+def _every_cell(cells: DataFrame, tails: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Tails for all occupied cells, so that a cell without observations passes on the one before."""
+    right = prefixed(tails, on)
+    occupied = cells.select(*on).distinct()
+    return occupied.join(right, same_keys(occupied, right, on), "left").drop(*["_r_" + k for k in on])
+
+
+def _handed_on(df: DataFrame, tails: DataFrame, on: Sequence[str], tail: str, name: str) -> DataFrame:
+    """Attach the last non-null tail of earlier cells. The table of tails has a row per cell."""
+    earlier = W.partitionBy(*on[:-1]).orderBy(CELL).rowsBetween(W.unboundedPreceding, -1)
+    carried = tails.select(*on, F.last(tail, ignorenulls=True).over(earlier).alias(name)).filter(F.col(name).isNotNull())
+    right = prefixed(carried, on)
+    return df.join(right, same_keys(df, right, on), "left").drop(*["_r_" + k for k in on])
 
 
 def previous(
-    df: DataFrame, keys: Sequence[str], time: str, tie: str, columns: Mapping[str, str], cell: int,
+    df: DataFrame, keys: Sequence[str], time: str, tie: str, columns: Mapping[str, str], limit: int | None = None,
 ) -> DataFrame:
     """``lag`` per entity: output name -> source column, taken from the row just before."""
-    cells = _cells_only(df, time, cell)
-    pack = F.struct(*[F.col(src).alias(out) for out, src in columns.items()])
-    left_behind = cells.groupBy(*keys, CELL).agg(F.max_by(pack, F.struct(time, tie)).alias("_tail"))
-    by_key = W.partitionBy(*keys).orderBy(CELL)
+    cells, cut = cut_in_time(df, keys, time, limit)
     on = [*keys, CELL]
-    carry = _prefixed(left_behind.select(*on, F.lag("_tail").over(by_key).alias("_carry")), on)
-    inside = F.lag(pack).over(W.partitionBy(*on).orderBy(time, tie))
-    out = cells.withColumn("_inside", inside)
-    out = out.join(carry, same_keys(out, carry, on), "left")
-    prior = F.coalesce("_inside", "_carry")
-    return out.select(*df.columns, *[prior[name].alias(name) for name in columns])
+    pack = F.struct(*[F.col(src).alias(out) for out, src in columns.items()])
+    out = cells.withColumn("_prior", F.lag(pack).over(W.partitionBy(*on).orderBy(time, tie)))
+    if cut:
+        tails = cells.groupBy(*on).agg(F.max_by(pack, F.struct(time, tie)).alias("_tail"))
+        out = _handed_on(out, tails, on, "_tail", "_carry").withColumn("_prior", F.coalesce("_prior", "_carry"))
+    return out.select(*df.columns, *[F.col("_prior." + name).alias(name) for name in columns])
 
 
 def running_before(
-    df: DataFrame, keys: Sequence[str], time: str, tie: str, totals: Mapping[str, Column], cell: int,
+    df: DataFrame, keys: Sequence[str], time: str, tie: str, totals: Mapping[str, Column], limit: int | None = None,
 ) -> DataFrame:
     """Sum of each expression over all earlier rows of the entity (0 for the first row)."""
-    cells = _cells_only(df, time, cell).withColumns({"_x_" + n: e for n, e in totals.items()})
+    zero = F.lit(0)
+    cells, cut = cut_in_time(df.withColumns({"_x_" + n: e for n, e in totals.items()}), keys, time, limit)
     on = [*keys, CELL]
-    per_cell = cells.groupBy(*on).agg(*[F.sum("_x_" + n).alias("_c_" + n) for n in totals])
-    earlier = W.partitionBy(*keys).orderBy(CELL).rowsBetween(W.unboundedPreceding, -1)
-    carry = _prefixed(per_cell.select(*on, *[F.sum("_c_" + n).over(earlier).alias("_k_" + n) for n in totals]), on)
     inside = W.partitionBy(*on).orderBy(time, tie).rowsBetween(W.unboundedPreceding, -1)
-    out = cells.withColumns({"_i_" + n: F.sum("_x_" + n).over(inside) for n in totals})
-    out = out.join(carry, same_keys(out, carry, on), "left")
-    zero = F.lit(0)
-    return out.select(
-        *df.columns,
-        *[(F.coalesce("_i_" + n, zero) + F.coalesce("_k_" + n, zero)).alias(n) for n in totals],
-    )
+    out = cells.withColumns({"_i_" + n: F.coalesce(F.sum("_x_" + n).over(inside), zero) for n in totals})
+    if cut:
+        per_cell = cells.groupBy(*on).agg(*[F.sum("_x_" + n).alias("_c_" + n) for n in totals])
+        earlier = W.partitionBy(*keys).orderBy(CELL).rowsBetween(W.unboundedPreceding, -1)
+        carry = prefixed(per_cell.select(*on, *[F.sum("_c_" + n).over(earlier).alias("_k_" + n) for n in totals]), on)
+        out = out.join(carry, same_keys(out, carry, on), "left")
+        return out.select(*df.columns, *[(F.col("_i_" + n) + F.coalesce("_k_" + n, zero)).alias(n) for n in totals])
+    return out.select(*df.columns, *[F.col("_i_" + n).alias(n) for n in totals])

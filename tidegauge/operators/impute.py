@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import Stat, rolling
+from .joins import aggregate_back
 from .sketch import accuracy_for
 
 
@@ -57,8 +58,7 @@ def mode_fill(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def group_mean_fill(df: DataFrame, keys: Sequence[str], column: str, constant: float) -> DataFrame:
     """Own value, else mean of the group, else a constant."""
-    stats = df.groupBy(*keys).agg(F.avg(column).alias("_gm"))
-    out = df.join(stats, list(keys), "left")
+    out = aggregate_back(df, keys, {"_gm": F.avg(column)})
     return out.withColumn(column, F.coalesce(F.col(column), F.col("_gm"), F.lit(constant))).drop("_gm")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import haversine_km, ratio
 from .frames import as_of
+from .skew import attach
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
@@ -34,11 +35,11 @@ def role(dimension: DataFrame, prefix: str) -> DataFrame:
 def aggregate_back(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
     """Group statistics attached to every row.
 
-    The aggregate combines map-side and the join is split by adaptive execution when one
-    key is hot, where a window over the keys would buffer the whole group in one task.
+    The aggregate combines map-side and hot keys are joined by broadcast, where a window
+    over the keys would buffer a whole group in one task.
     """
-    stats = df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
-    return df.join(stats, list(keys), "left")
+    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[e.alias(n) for n, e in aggs.items()])
+    return attach(df, stats, keys, "_rows").drop("_rows")
 
 
 def ranked_as_of(

@@ -1,4 +1,4 @@
-"""How fine a quantile sketch may be."""
+"""Decisions that depend on the size of an input, taken from the planner's estimate; no job is run."""
 
 from __future__ import annotations
 
@@ -8,11 +8,15 @@ SMALL_BYTES = 256 * 1024 * 1024
 FINE, COARSE = 1_000_000, 10_000
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether the whole input would fit in one task anyway."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= SMALL_BYTES
+
+
 def accuracy_for(df: DataFrame) -> int:
-    """Sketch accuracy from the planner's size estimate; no job is run.
+    """Accuracy of a quantile sketch.
 
     Sketches of all tasks meet in one reducer. Small inputs can afford one that is exact
     to the row; large ones get a sketch of some hundred kilobytes per task.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return FINE if size <= SMALL_BYTES else COARSE
+    return FINE if is_small(df) else COARSE

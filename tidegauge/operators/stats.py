@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 
 from ..functions.numeric import ladder, ratio
 from .clean import columns_of_type, is_missing, to_long
+from .joins import aggregate_back
 from .ranking import cumulative_by_value
 from .sketch import accuracy_for
 
@@ -383,8 +384,7 @@ def iqr_filter(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
 
 def against_normal(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Group normal and the row's deviation from it."""
-    normals = df.groupBy(*keys).agg(F.avg(value).alias("normal"))
-    return df.join(normals, list(keys), "left").withColumn("anomaly", F.col(value) - F.col("normal"))
+    return aggregate_back(df, keys, {"normal": F.avg(value)}).withColumn("anomaly", F.col(value) - F.col("normal"))
 
 
 def composite_score(df: DataFrame, flags: Sequence[str], label: Column, default: float = 0.25) -> DataFrame:

@@ -341,7 +341,7 @@ WITH v AS (SELECT event_id, value, CASE WHEN row_number() OVER (PARTITION BY use
 SELECT event_id, f AS is_first, round(CASE WHEN f = 1 THEN (SELECT avg(value) FROM v WHERE f = 0) ELSE value END, 6) AS value FROM v""")
 def m6_first_event_fill(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", "user_id", time.epoch_micros(F.col("ts")).alias("at"), "value")
-    seen = frames.running_before(rows, ["user_id"], "at", "event_id", {"_n": F.lit(1)}, 7 * 86_400_000_000)
+    seen = frames.running_before(rows, ["user_id"], "at", "event_id", {"_n": F.lit(1)})
     flagged = seen.withColumn("is_first", F.when(F.col("_n") == 0, 1).otherwise(0))
     return impute.first_event_fill(flagged, "is_first", "value").select("event_id", "is_first", F.round("value", 6).alias("value"))
 

@@ -14,7 +14,6 @@ from .enrichment import TRIPS_SQL, trips
 from .registry import Tables, query
 
 DAY_S, HOUR_S = 86_400, 3_600
-WEEK_US = 7 * 86_400_000_000
 
 E_SQL = """e AS (SELECT event_id, user_id, event_type, value, ts, epoch_us(ts) // 1000000 AS sec, epoch_us(ts) AS us,
                  CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS late FROM events)"""
@@ -131,7 +130,7 @@ LAGS = {"prev_value": "value", "prev_us": "us", "prev_late": "late"}
 WITH {E_SQL} SELECT event_id, lag(value) OVER w AS prev_value, lag(us) OVER w AS prev_us, lag(late) OVER w AS prev_late
 FROM e WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id)""")
 def w10_previous_event(t: Tables) -> DataFrame:
-    return frames.previous(timed(t), ["user_id"], "us", "event_id", LAGS, WEEK_US).select("event_id", *LAGS)
+    return frames.previous(timed(t), ["user_id"], "us", "event_id", LAGS).select("event_id", *LAGS)
 
 
 @query("w11_turnaround", f"""
@@ -139,7 +138,7 @@ WITH {E_SQL}, g AS (SELECT event_id, (us - lag(us) OVER (PARTITION BY user_id OR
 SELECT event_id, round(h, 6) AS gap_hours, CASE WHEN h < 1 THEN 'Quick (<1h)' WHEN h < 3 THEN 'Normal (1-3h)' WHEN h < 6 THEN 'Long (3-6h)'
   WHEN h >= 6 THEN 'Very Long (>6h)' END AS gap_class FROM g""")
 def w11_turnaround(t: Tables) -> DataFrame:
-    out = frames.previous(timed(t), ["user_id"], "us", "event_id", {"prev_us": "us"}, WEEK_US)
+    out = frames.previous(timed(t), ["user_id"], "us", "event_id", {"prev_us": "us"})
     gap = (F.col("us") - F.col("prev_us")) / F.lit(3.6e9)
     return out.select("event_id", F.round(gap, 6).alias("gap_hours"), gap_class(gap).alias("gap_class"))
 
@@ -147,7 +146,7 @@ def w11_turnaround(t: Tables) -> DataFrame:
 @query("w12_first_event", f"""
 WITH {E_SQL} SELECT event_id, CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) = 1 THEN 1 ELSE 0 END AS is_first FROM e""")
 def w12_first_event(t: Tables) -> DataFrame:
-    out = frames.running_before(timed(t), ["user_id"], "us", "event_id", {"_n": F.lit(1)}, WEEK_US)
+    out = frames.running_before(timed(t), ["user_id"], "us", "event_id", {"_n": F.lit(1)})
     return out.select("event_id", F.when(F.col("_n") == 0, 1).otherwise(0).alias("is_first"))
 
 
@@ -183,7 +182,7 @@ def w15_running_today(t: Tables) -> DataFrame:
 def today(t: Tables) -> DataFrame:
     rows = timed(t).withColumn("day", F.to_date("ts"))
     return frames.running_before(rows, ["user_id", "day"], "us", "event_id",
-                                 {"n_before": F.lit(1), "late_before": F.col("late")}, HOUR_S * 1_000_000)
+                                 {"n_before": F.lit(1), "late_before": F.col("late")})
 
 
 @query("w16_smoothed_prior", f"""
@@ -196,7 +195,7 @@ def w16_smoothed_prior(t: Tables) -> DataFrame:
 @query("w17_history_share", f"""
 WITH {E_SQL} SELECT event_id, round(1 - avg(late) OVER (PARTITION BY user_id ORDER BY us, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 9) AS on_time_share FROM e""")
 def w17_history_share(t: Tables) -> DataFrame:
-    out = frames.running_before(timed(t), ["user_id"], "us", "event_id", {"n": F.lit(1), "bad": F.col("late")}, WEEK_US)
+    out = frames.running_before(timed(t), ["user_id"], "us", "event_id", {"n": F.lit(1), "bad": F.col("late")})
     return out.select("event_id", F.round(1 - ratio(F.col("bad"), F.col("n")), 9).alias("on_time_share"))
 
 
@@ -259,7 +258,7 @@ WITH {E_SQL}, p AS (SELECT late, lag(late) OVER (PARTITION BY user_id ORDER BY u
 SELECT prev_late, late, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY prev_late) AS BIGINT) AS total, round(1.0 * count(*) / sum(count(*)) OVER (PARTITION BY prev_late), 9) AS probability
 FROM p WHERE prev_late IS NOT NULL GROUP BY prev_late, late""")
 def a32_conditional_probability(t: Tables) -> DataFrame:
-    out = frames.previous(timed(t), ["user_id"], "us", "event_id", {"prev_late": "late"}, WEEK_US)
+    out = frames.previous(timed(t), ["user_id"], "us", "event_id", {"prev_late": "late"})
     return stats.conditional_table(out.filter(F.col("prev_late").isNotNull()), "prev_late", "late")
 
 
