@@ -58,7 +58,7 @@ def name_contains(col: Column, needles: Sequence[str]) -> Column:
 
 def tokens(col: Column) -> Column:
     """Lower-cased runs of ASCII letters."""
-    return F.regexp_extract_all(F.lower(col), F.lit("[a-z]+"), 0)
+    return F.array_remove(F.split(F.lower(col), "[^a-z]+"), "")
 
 
 def hash_unit(*cols: Column, seed: int = 0) -> Column:

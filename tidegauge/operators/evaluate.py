@@ -50,15 +50,13 @@ def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: Sequence[
     y = F.col(label) == 1
     binned = df.groupBy(reach.alias("_b")).agg(
         F.count(F.when(y, F.lit(1))).alias("p"), F.count(F.when(~y, F.lit(1))).alias("n"))
-    at = lambda c, cond: F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0))
-    wide = binned.agg(*[
-        at(c, (F.col("_b") > i) if above else (F.col("_b") <= i)).alias(f"{name}{i}")
-        for i in range(len(grid))
-        for name, c, above in (("tp", "p", True), ("fp", "n", True), ("fn", "p", False), ("tn", "n", False))
+    steps = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(float(t)).alias("threshold")) for i, t in enumerate(grid)])
+    hit = F.col("_b") > F.col("_i")
+    counts = binned.select("*", F.inline(steps)).groupBy("threshold").agg(*[
+        F.sum(F.when(side, F.col(c)).otherwise(F.lit(0))).alias(name)
+        for name, c, side in (("tp", "p", hit), ("fp", "n", hit), ("fn", "p", ~hit), ("tn", "n", ~hit))
     ])
-    rows = [F.struct(F.lit(float(t)).alias("threshold"), *[F.col(f"{n}{i}").alias(n) for n in ("tp", "fp", "fn", "tn")])
-            for i, t in enumerate(grid)]
-    return with_rates(wide.select(F.inline(F.array(*rows))))
+    return with_rates(counts)
 
 
 def best_threshold(sweep: DataFrame, metric: str) -> DataFrame:

@@ -59,8 +59,8 @@ def ranked_as_of(
     return best.select(fact_id, *[F.col("_best." + c).alias(c) for c in kept])
 
 
-# Cube edge lengths on the unit sphere, fine to coarse; the last one covers the sphere.
-GRID_EDGES = tuple(2.0 / 4**level for level in (5, 4, 3, 2, 1, 0))
+# Cube edge lengths on the unit sphere, fine to coarse, halving; the last one covers the sphere.
+GRID_EDGES = tuple(2.0 / 2**level for level in range(11, -1, -1))
 
 
 def _on_sphere(df: DataFrame, lat: str, lon: str) -> DataFrame:
@@ -94,44 +94,54 @@ def nearest_k(
 
     Both sides live on the unit sphere in cubes of several sizes. Each point takes the
     finest size at which its 27 surrounding cubes already hold ``k`` sites; those lie
-    within ``2 * sqrt(3)`` edges, so the 27 cubes one size up (edge times four) are sure
-    to hold the true nearest ``k``. Equal coordinates are answered once, and at one
-    coordinate only the first ``k`` sites can matter.
+    within ``2 * sqrt(3)`` edges. The 27 cubes two sizes up (edge times four) are therefore
+    sure to hold the true nearest ``k``, and sites beyond that distance are passed over
+    before any trigonometry. Equal coordinates are answered once, and at one coordinate
+    only the first ``k`` sites can matter.
     """
     cube = ["_level", "_cx", "_cy", "_cz"]
     stacked = W.partitionBy(lat, lon).orderBy(site_id)
     located = sites.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(site_id, lat, lon)
     useful = located.withColumn("_n", F.row_number().over(stacked)).filter(F.col("_n") <= k).drop("_n")
     site_cubes = _at_levels(_on_sphere(useful, lat, lon)).select(
-        F.col(site_id), F.col(lat).alias("_slat"), F.col(lon).alias("_slon"), *cube
+        F.col(site_id), F.col(lat).alias("_slat"), F.col(lon).alias("_slon"),
+        *[F.col(c).alias("_s" + c) for c in ("_x", "_y", "_z")], *cube,
     )
     shift = {"_cx": F.col("_cx") + F.col("dx"), "_cy": F.col("_cy") + F.col("dy"), "_cz": F.col("_cz") + F.col("dz")}
     reach = (
         site_cubes.groupBy(*cube).agg(F.count(F.lit(1)).alias("_n"))
         .select("*", F.inline(_around())).withColumns(shift)
-        .groupBy(*cube).agg(F.sum("_n").alias("_n"))
+        .groupBy(*cube).agg(F.sum("_n").alias("_n")).filter(F.col("_n") >= k)
     )
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spots = points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(lat, lon).distinct()
+    spots = _on_sphere(spots.repartition(parts, lat, lon), lat, lon)  # a few rows here become much work
     coarsest = len(GRID_EDGES) - 1
-    chosen = (
-        _at_levels(_on_sphere(spots, lat, lon)).join(reach, cube, "left")
-        .groupBy(lat, lon, "_x", "_y", "_z")
-        .agg(F.least(F.coalesce(F.min(F.when(F.col("_n") >= k, F.col("_level"))), F.lit(coarsest)) + 1,
-                     F.lit(coarsest)).alias("_level"))
+    covered = (
+        _at_levels(spots).join(reach, cube, "left").groupBy(lat, lon, "_x", "_y", "_z")
+        .agg(F.min(F.when(F.col("_n").isNotNull(), F.col("_level"))).alias("_cover"))
     )
     edges = F.array(*[F.lit(e) for e in GRID_EDGES])
+    chosen = covered.withColumns({
+        "_level": F.least(F.coalesce("_cover", F.lit(coarsest)) + 2, F.lit(coarsest)),
+        "_reach2": F.lit(12.0001) * F.get(edges, F.col("_cover")) * F.get(edges, F.col("_cover")),
+    })
     edge = F.get(edges, F.col("_level"))
     search = (
         chosen.withColumns({n: F.floor(F.col(a) / edge).cast("int") for n, a in
                             (("_cx", "_x"), ("_cy", "_y"), ("_cz", "_z"))})
-        .select(lat, lon, "_level", "_cx", "_cy", "_cz", F.inline(_around()))
-        .withColumns(shift).drop("dx", "dy", "dz")
+        .select("*", F.inline(_around())).withColumns(shift).drop("dx", "dy", "dz", "_cover")
     )
+    chord2 = F.lit(0.0)
+    for axis in ("_x", "_y", "_z"):
+        chord2 = chord2 + (F.col(axis) - F.col("_s" + axis)) * (F.col(axis) - F.col("_s" + axis))
+    close = F.col("_reach2").isNull() | (chord2 <= F.col("_reach2"))
     km = haversine_km(F.col(lat), F.col(lon), F.col("_slat"), F.col("_slon"))
-    # metre-scale rounding makes equal distances tie, so that the site id decides
-    near = search.join(site_cubes, cube).select(lat, lon, site_id, F.round(km, 6).alias("dist_km"))
+    # millimetre rounding makes equal distances tie, so that the site id decides
+    near = search.join(site_cubes, cube).filter(close).select(lat, lon, site_id, F.round(km, 6).alias("dist_km"))
     order = W.partitionBy(lat, lon).orderBy("dist_km", site_id)
-    top = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("long"))
+    top = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    top = top.withColumn("rank", F.col("rank").cast("long"))
     return points.select(point_id, lat, lon).join(top, [lat, lon]).select(point_id, site_id, "dist_km", "rank")
 
 

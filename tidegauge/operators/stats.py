@@ -123,20 +123,17 @@ def quantile_row(df: DataFrame, wanted: Mapping[str, tuple[str, float]], accurac
 
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, spread, extremes and quartiles per column."""
+    """Count, mean, spread, extremes and quartiles per column; one sketch serves all quartiles."""
     accuracy = accuracy_for(df)
-
-    def quartile(p: float):
-        return lambda c: F.percentile_approx(c.cast("double"), p, accuracy)
-
-    return to_long(df, columns, {
+    long = to_long(df, columns, {
         "n": F.count,
         "mean": lambda c: F.round(F.avg(c), 6),
         "stddev": lambda c: F.round(F.stddev_samp(c), 6),
         "min": lambda c: F.min(c.cast("double")),
-        "q25": quartile(0.25), "q50": quartile(0.5), "q75": quartile(0.75),
+        "_q": lambda c: F.percentile_approx(c.cast("double"), [0.25, 0.5, 0.75], accuracy),
         "max": lambda c: F.max(c.cast("double")),
     })
+    return long.select("column", "n", "mean", "stddev", "min", "max", *[F.col("_q")[i].alias(q) for i, q in enumerate(("q25", "q50", "q75"))])
 
 
 # ---- missing values --------------------------------------------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import hash_unit, tokens
 from ..operators import clean, descent, evaluate, learn, split
+from ..sources.tables import spread
 from .registry import Tables, query
 from .splits import labelled_orders, unit
 
@@ -60,7 +61,7 @@ FEATURES = ["n_chars", "n_words", "n_unique", "mean_word", "unique_share"]
 
 def documents(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Length statistics of labelled documents, split by a hash of the key."""
-    words = t.documents.join(t.labels, "doc_id").select("doc_id", F.col("quality").cast("double").alias("label"),
+    words = spread(t.documents).join(t.labels, "doc_id").select("doc_id", F.col("quality").cast("double").alias("label"),
                                                         F.col("n_chars").cast("double").alias("n_chars"), tokens(F.col("text")).alias("w"))
     rows = words.select(
         "doc_id", "label", "n_chars", F.size("w").cast("double").alias("n_words"),

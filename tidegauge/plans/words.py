@@ -7,23 +7,30 @@ from pyspark.sql import functions as F
 
 from ..functions.text import hash_unit
 from ..operators import evaluate, ranking, sets, similarity, text
+from ..sources.tables import spread
 from .registry import Tables, query
 from .splits import rates_sql, unit
 
 TOKENS = "regexp_extract_all(lower(text), '[a-z]+')"
+
+
+def docs(t: Tables) -> DataFrame:
+    return spread(t.documents.select("doc_id", "lang", "text"))
+
+
 WORDS_SQL = f"words AS (SELECT doc_id, unnest({TOKENS}) AS word FROM documents)"
 COUNTS_SQL = f"{WORDS_SQL}, counts AS (SELECT word, count(*) AS n FROM words GROUP BY word)"
 
 
 @query("x1_word_count", f"WITH {COUNTS_SQL} SELECT word, n FROM counts")
 def x1_word_count(t: Tables) -> DataFrame:
-    return text.word_count(t.documents, "text")
+    return text.word_count(docs(t), "text")
 
 
 @query("t8_merged_counts", f"WITH {COUNTS_SQL} SELECT word, n FROM counts")
 def t8_merged_counts(t: Tables) -> DataFrame:
     """Partial counts per language, added up."""
-    docs = t.documents.select("text", "lang")
+    docs = docs(t).select("text", "lang")
     langs = [F.col("lang") == "en", F.col("lang") == "fr", ~F.col("lang").isin("en", "fr") | F.col("lang").isNull()]
     return text.merge_counts([text.word_count(docs.filter(c), "text") for c in langs])
 
@@ -33,11 +40,11 @@ WITH {COUNTS_SQL}, a AS (SELECT *, 'top' AS "end", row_number() OVER (ORDER BY n
      b AS (SELECT *, 'bottom' AS "end", row_number() OVER (ORDER BY n, word) AS place FROM counts)
 SELECT * FROM a WHERE place <= 10 UNION ALL SELECT * FROM b WHERE place <= 10""")
 def t2_both_ends(t: Tables) -> DataFrame:
-    return ranking.both_ends(text.word_count(t.documents, "text"), "n", 10, "word")
+    return ranking.both_ends(text.word_count(docs(t), "text"), "n", 10, "word")
 
 
 def labelled(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", "text").join(t.labels.select("doc_id", "quality"), "doc_id")
+    return docs(t).select("doc_id", "text").join(t.labels.select("doc_id", "quality"), "doc_id")
 
 
 CLASSED_SQL = f"""labelled AS (SELECT doc_id, text, quality FROM documents JOIN labels USING (doc_id)),
@@ -69,7 +76,7 @@ def t5_sort_inside_class(t: Tables) -> DataFrame:
 
 @query("t7_global_rank", f"WITH {COUNTS_SQL} SELECT word, n, row_number() OVER (ORDER BY n DESC, word) - 1 AS rank FROM counts")
 def t7_global_rank(t: Tables) -> DataFrame:
-    return ranking.global_rank(text.word_count(t.documents, "text"), [F.desc("n"), F.asc("word")])
+    return ranking.global_rank(text.word_count(docs(t), "text"), [F.desc("n"), F.asc("word")])
 
 
 # ---- n-grams ---------------------------------------------------------------------------
@@ -85,7 +92,7 @@ NEIGHBOURS_SQL = f"""{LINE_SQL}, dw AS (SELECT DISTINCT ngram, word FROM gw),
 
 
 def grams(t: Tables) -> DataFrame:
-    return text.ngrams(t.documents, "text", 5)
+    return text.ngrams(docs(t), "text", 5)
 
 
 @query("x3_weighted_words", f"WITH {WEIGHTED_SQL} SELECT word, n FROM weighted")
@@ -155,7 +162,7 @@ SETS_SQL = f"sets AS (SELECT DISTINCT doc_id, unnest({TOKENS}) AS word FROM docu
 
 @query("x7_inverted_index", f"WITH {SETS_SQL} SELECT word, doc_id, n AS n_words, count(*) OVER (PARTITION BY word) AS doc_freq FROM sets JOIN size USING (doc_id)")
 def x7_inverted_index(t: Tables) -> DataFrame:
-    return text.postings(t.documents, "doc_id", "text")
+    return text.postings(docs(t), "doc_id", "text")
 
 
 @query("x8_document_pairs", f"""
@@ -164,7 +171,7 @@ SELECT a, b, shared, round(1.0 * shared / (x.n + y.n - shared), 9) AS jaccard FR
 ORDER BY 1.0 * shared / (x.n + y.n - shared) DESC, a, b LIMIT 150""")
 def x8_document_pairs(t: Tables) -> DataFrame:
     """Most similar pairs; the list is longer than the number of exact copies at small scale."""
-    out = similarity.top_document_pairs(t.documents, "doc_id", "text", 150)
+    out = similarity.top_document_pairs(docs(t), "doc_id", "text", 150)
     return out.select("a", "b", F.col("shared").cast("long").alias("shared"), F.round("jaccard", 9).alias("jaccard"))
 
 

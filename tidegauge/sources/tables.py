@@ -12,6 +12,15 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has fewer partitions than cores, before costly row work.
+
+    A large table has many more partitions than that and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | None = None, infer: bool = False, sep: str = ",") -> DataFrame:
     """CSV with a header; all columns are text unless a schema is given or inference is asked for."""
     reader = spark.read.option("header", True).option("sep", sep)
