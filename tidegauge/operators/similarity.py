@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 from ..session import cut_lineage
+from .text import rows_of
 
 DESCENT = (0.99, 0.97, 0.95, 0.9, 0.8, 0.65, 0.5, 0.35, 0.2, 1e-9)
 
 
 def _ordered_sets(sets: DataFrame) -> DataFrame:
     """Words of every set, rarest first (ties by word): (rep, words, n)."""
-    rows = sets.select("rep", F.explode("words").alias("word"))
+    rows = rows_of(sets, F.col("words"), "word", ["rep"])
     freq = rows.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     pair = F.struct(F.col("df"), F.col("word"))
     grouped = rows.join(freq, "word").groupBy("rep").agg(F.sort_array(F.collect_list(pair)).alias("_p"))

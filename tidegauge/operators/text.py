@@ -24,9 +24,18 @@ could may must one much it's can't won't don't shouldn't hasn't
 """.split()
 
 
+def rows_of(df: DataFrame, values: Column, name: str, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per array entry.
+
+    The plain ``explode`` makes the optimiser test the array for emptiness before the scan's
+    repartitioning, which would compute a costly array twice; the outer form does not.
+    """
+    return df.select(*keep, F.explode_outer(values).alias(name)).filter(F.col(name).isNotNull())
+
+
 def word_rows(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
     """One row per token."""
-    return df.select(*keep, F.explode(tokens(F.col(text))).alias("word"))
+    return rows_of(df, tokens(F.col(text)), "word", keep)
 
 
 def word_count(df: DataFrame, text: str) -> DataFrame:
@@ -50,15 +59,15 @@ def ngrams(df: DataFrame, text: str, size: int = 5) -> DataFrame:
 
     Each text is sliced inside its own row; equal n-grams meet in a map-side aggregate.
     """
-    words = df.select(tokens(F.col(text)).alias("_w")).filter(F.size("_w") >= size)
-    starts = F.sequence(F.lit(1), F.size("_w") - (size - 1))
+    words = df.select(tokens(F.col(text)).alias("_w"))
+    starts = F.when(F.size("_w") >= size, F.sequence(F.lit(1), F.size("_w") - (size - 1)))
     grams = F.transform(starts, lambda i: F.array_join(F.slice("_w", i, size), " "))
-    return words.select(F.explode(grams).alias("ngram")).groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
+    return rows_of(words, grams, "ngram").groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
 
 
 def weighted_words(grams: DataFrame) -> DataFrame:
     """Word totals over n-gram lines, each line weighted by its count."""
-    one = grams.select(F.explode(F.split(F.lower("ngram"), " ")).alias("word"), "n")
+    one = rows_of(grams, F.split(F.lower("ngram"), " "), "word", ["n"])
     return one.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -68,8 +77,8 @@ def neighbour_pairs(grams: DataFrame) -> DataFrame:
     An n-gram has a fixed number of words, so a line gives at most ten pairs.
     """
     words = grams.select(F.array_distinct(F.split(F.lower("ngram"), " ")).alias("_w"))
-    a = words.select("_w", F.explode("_w").alias("a"))
-    return a.select("a", F.explode("_w").alias("b")).filter(F.col("a") < F.col("b")).distinct()
+    a = rows_of(words, F.col("_w"), "a", ["_w"])
+    return rows_of(a, F.col("_w"), "b", ["a"]).filter(F.col("a") < F.col("b")).distinct()
 
 
 def neighbour_counts(grams: DataFrame) -> DataFrame:
@@ -92,13 +101,17 @@ def vocabulary(grams: DataFrame, size: int, basis: int, stop_words: Sequence[str
 
 
 def stripe_edges(grams: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Distinct (vocabulary word, basis word) pairs that share an n-gram."""
+    """Distinct (vocabulary word, basis word) pairs that share an n-gram.
+
+    Basis words are few and rare, so lines are reduced to those that have one before the
+    words beside it are looked at.
+    """
     words = grams.select(F.array_distinct(F.split(F.lower("ngram"), " ")).alias("_w"))
     terms = vocab.select(F.col("word").alias("term"))
     basis = vocab.filter(F.col("in_basis") == 1).select(F.col("word").alias("basis"))
-    a = words.select("_w", F.explode("_w").alias("term")).join(terms, "term", "left_semi")
-    b = a.select("term", F.explode("_w").alias("basis")).filter(F.col("term") != F.col("basis"))
-    return b.join(basis, "basis", "left_semi").select("term", "basis").distinct()
+    b = rows_of(words, F.col("_w"), "basis", ["_w"]).join(basis, "basis", "left_semi")
+    a = rows_of(b, F.col("_w"), "term", ["basis"]).filter(F.col("term") != F.col("basis")).distinct()
+    return a.join(terms, "term", "left_semi").select("term", "basis")
 
 
 def stripes(edges: DataFrame) -> DataFrame:
@@ -112,7 +125,8 @@ def postings(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     Postings of a frequent word stay separate rows, so no word has to fit in one task.
     """
     sets = df.select(doc_id, F.array_distinct(tokens(F.col(text))).alias("_w"))
-    rows = sets.select(F.explode("_w").alias("word"), doc_id, F.size("_w").cast("long").alias("n_words"))
+    sets = sets.withColumn("n_words", F.size("_w").cast("long"))
+    rows = rows_of(sets, F.col("_w"), "word", [doc_id, "n_words"])
     frequency = rows.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq"))
     return rows.join(frequency, "word")
 

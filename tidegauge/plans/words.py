@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import hash_unit
 from ..operators import evaluate, ranking, sets, similarity, text
+from ..session import cut_lineage
 from ..sources.tables import spread
 from .registry import Tables, query
 from .splits import rates_sql, unit
@@ -95,6 +96,11 @@ def grams(t: Tables) -> DataFrame:
     return text.ngrams(docs(t), "text", 5)
 
 
+def stored_grams(t: Tables) -> DataFrame:
+    """The n-gram table written once, for jobs that read it more than once."""
+    return cut_lineage(grams(t))
+
+
 @query("x3_weighted_words", f"WITH {WEIGHTED_SQL} SELECT word, n FROM weighted")
 def x3_weighted_words(t: Tables) -> DataFrame:
     return text.weighted_words(grams(t))
@@ -127,7 +133,7 @@ def x5_vocabulary(t: Tables) -> DataFrame:
 
 @query("x6_stripes", f"WITH {STRIPES_SQL} SELECT term, list_sort(list(basis)) AS stripe FROM edges GROUP BY term")
 def x6_stripes(t: Tables) -> DataFrame:
-    g = grams(t)
+    g = stored_grams(t)
     return text.stripes(text.stripe_edges(g, text.vocabulary(g, N_VOCAB, N_BASIS)))
 
 
@@ -149,7 +155,7 @@ WITH {NEIGHBOURS_SQL}, weighted AS (SELECT word, sum(n) AS n FROM gw GROUP BY wo
 SELECT count(*) AS n_first, count(b.word) AS n_shared, round(100.0 * count(b.word) / count(*), 6) AS overlap_pct FROM a LEFT JOIN b USING (word)""")
 def x15_ranking_overlap(t: Tables) -> DataFrame:
     """Share of the 1,000 words with most neighbours that are among the 1,000 most frequent."""
-    g = grams(t)
+    g = stored_grams(t)
     most_nbrs = ranking.top_n(text.neighbour_counts(g), "n_neighbours", 1000, "word")
     most_freq = ranking.top_n(text.weighted_words(g), "n", 1000, "word")
     return sets.overlap(most_nbrs, most_freq, "word")
