@@ -10,6 +10,7 @@ from ..functions.numeric import ratio
 from ..session import cut_lineage
 from .sets import all_ids
 from .sketch import accuracy_for
+from .skew import attach
 
 EDGES_PER_SALT = 1_000_000
 
@@ -74,14 +75,16 @@ def pagerank(edges: DataFrame, alpha: float = 0.15, rounds: int = 10, weighted:
     salts = F.ceil(F.col("_n") / F.lit(EDGES_PER_SALT)).cast("int")
     nodes = cut_lineage(vertices(edges).join(out.select(F.col("src").alias("id"), salts.alias("salts")), "id", "left"))
     n = nodes.count()
+    if n == 0:
+        return nodes.select("id", F.lit(0.0).alias("rank"))
     parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links = (
-        plain.join(out, "src")
+        attach(plain, out, ["src"], "_n")
         .select("src", F.pmod(F.xxhash64("dst"), salts.cast("long")).cast("int").alias("salt"), "dst",
                 (F.col("w") / F.col("_t")).alias("p"))
         .repartition(parts, "src", "salt").persist(StorageLevel.MEMORY_AND_DISK)
     )
-    ranks = nodes.withColumn("rank", F.lit(1.0 / n if n else 0.0))
+    ranks = nodes.withColumn("rank", F.lit(1.0 / n))
     for _ in range(rounds):
         dangling = ranks.agg(F.sum(F.when(F.col("salts").isNull(), F.col("rank")))).first()[0] or 0.0
         sent = (
