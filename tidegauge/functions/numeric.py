@@ -64,6 +64,16 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson r over rows where both are present; null when either is constant.
+
+    The built-in ``corr`` stops the query with a division by zero in that case.
+    """
+    a, b = a.cast("double"), b.cast("double")
+    both = a.isNotNull() & b.isNotNull()
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(F.when(both, a)) * F.stddev_pop(F.when(both, b)))
+
+
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance in km; inputs in degrees."""
     a, b = F.radians(lat1), F.radians(lat2)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions.numeric import ladder, ratio
+from ..functions.numeric import correlation, ladder, ratio
 from .clean import columns_of_type, is_missing, to_long
 from .joins import aggregate_back
 from .ranking import cumulative_by_value
@@ -230,13 +230,13 @@ def quality_summary(df: DataFrame) -> DataFrame:
 
 def target_correlation(df: DataFrame, columns: Sequence[str], target: Column) -> DataFrame:
     y = target.cast("double")
-    return to_long(df, columns, {"r": lambda c: F.round(F.corr(c.cast("double"), y), 9)})
+    return to_long(df, columns, {"r": lambda c: F.round(correlation(c, y), 9)})
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson r for every pair i < j, all from one aggregate."""
     pairs = list(combinations(columns, 2))
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
+    wide = df.agg(*[correlation(F.col(a), F.col(b)).alias(f"r{i}")
                     for i, (a, b) in enumerate(pairs)])
     rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.round(f"r{i}", 9).alias("r"))
             for i, (a, b) in enumerate(pairs)]
@@ -257,8 +257,8 @@ def rank_correlation(df: DataFrame, columns: Sequence[str], target: str) -> Data
         out = out.join(average_ranks(pairs, c, f"_rk{i}"), c, "left")
     last = f"_rk{len(columns)}"
     wide = out.agg(
-        *[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"p{i}") for i, c in enumerate(columns)],
-        *[F.corr(f"_rk{i}", last).alias(f"s{i}") for i in range(len(columns))],
+        *[correlation(F.col(c), F.col(target)).alias(f"p{i}") for i, c in enumerate(columns)],
+        *[correlation(F.col(f"_rk{i}"), F.col(last)).alias(f"s{i}") for i in range(len(columns))],
     )
     rows = [
         F.struct(F.lit(c).alias("column"), F.round(f"p{i}", 9).alias("pearson"), F.round(f"s{i}", 9).alias("spearman"),
@@ -274,8 +274,8 @@ def prune_pairs(df: DataFrame, columns: Sequence[str], target: Column, limit: fl
     pairs = list(combinations(columns, 2))
     place = {c: i for i, c in enumerate(columns)}
     wide = df.agg(
-        *[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.abs(F.corr(F.col(c).cast("double"), y)).alias(f"t{i}") for c, i in place.items()],
+        *[correlation(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
+        *[F.abs(correlation(F.col(c), y)).alias(f"t{i}") for c, i in place.items()],
     )
     rows = [
         F.struct(
@@ -318,13 +318,13 @@ def chi_square(df: DataFrame, category: str, label: str) -> DataFrame:
     """
     cells = df.filter(F.col(category).isNotNull() & F.col(label).isNotNull()).groupBy(category, label).agg(
         F.count(F.lit(1)).alias("n"))
-    rows = cells.groupBy(category).agg(F.sum("n").alias("r"))
-    cols = cells.groupBy(label).agg(F.sum("n").alias("c"))
+    rows = cells.groupBy(category).agg(F.sum("n").alias("_row"))
+    cols = cells.groupBy(label).agg(F.sum("n").alias("_col"))
     joined = cells.join(rows, category).join(cols, label)
     return joined.agg(
         F.lit(category).alias("column"), F.sum("n").alias("n"),
         ((F.count_distinct(category) - 1) * (F.count_distinct(label) - 1)).alias("dof"),
-        F.round(F.sum("n") * (F.sum(F.col("n") * F.col("n") / (F.col("r") * F.col("c"))) - 1), 6).alias("chi2"),
+        F.round(F.sum("n") * (F.sum(F.col("n") * F.col("n") / (F.col("_row") * F.col("_col"))) - 1), 6).alias("chi2"),
     )
 
 
@@ -387,7 +387,7 @@ def against_normal(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 def composite_score(df: DataFrame, flags: Sequence[str], label: Column, default: float = 0.25) -> DataFrame:
     """Weighted sum of 0/1 flags; weights are |corr with label|, scaled to 1, ``default`` if undefined."""
     y = label.cast("double")
-    row = df.agg(*[F.corr(F.col(f).cast("double"), y).alias(f"r{i}") for i, f in enumerate(flags)]).first()
+    row = df.agg(*[correlation(F.col(f), y).alias(f"r{i}") for i, f in enumerate(flags)]).first()
     raw = [default if row[i] is None or row[i] != row[i] else abs(row[i]) for i in range(len(flags))]
     total = sum(raw)
     weights = [w / total for w in raw] if total > 0 else [1.0 / len(flags)] * len(flags)
