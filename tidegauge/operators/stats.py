@@ -305,10 +305,10 @@ def anova(df: DataFrame, categories: Sequence[str], target: str) -> DataFrame:
             F.sum("s").alias("_s"), F.sum("q").alias("_q"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("_b"),
         )
         out = row if out is None else out.unionByName(row)
-    between = F.col("_b") - F.col("_s") * F.col("_s") / F.col("n")
+    between = F.col("_b") - ratio(F.col("_s") * F.col("_s"), F.col("n"))
     within = F.col("_q") - F.col("_b")
-    f = ratio(between / (F.col("k") - 1), within / (F.col("n") - F.col("k")))
-    return out.select("column", "k", "n", F.round(F.when((F.col("k") > 1) & (F.col("n") > F.col("k")), f), 6).alias("f"))
+    f = ratio(ratio(between, F.col("k") - 1), ratio(within, F.col("n") - F.col("k")))
+    return out.select("column", "k", F.coalesce("n", F.lit(0)).alias("n"), F.round(f, 6).alias("f"))
 
 
 def chi_square(df: DataFrame, category: str, label: str) -> DataFrame:
@@ -352,7 +352,7 @@ def binned_interval(df: DataFrame, bin_: Column, value: str, z: float = 1.96) ->
     """Mean per bin with a normal interval; a bin of one row has no interval."""
     g = df.withColumn("bin", bin_).groupBy("bin").agg(
         F.count(value).alias("n"), F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s"))
-    half = F.lit(z) * F.col("_s") / F.sqrt("n")
+    half = ratio(F.lit(z) * F.col("_s"), F.sqrt("n"))
     return g.select("bin", "n", F.round("_m", 6).alias("mean"), F.round(F.col("_m") - half, 6).alias("low"),
                     F.round(F.col("_m") + half, 6).alias("high"))
 

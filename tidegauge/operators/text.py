@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import ratio
 from ..functions.text import tokens
 from .ranking import top_per_group
+from .skew import attach
 
 # Fixed list: the stop words removed before a vocabulary is ranked.
 STOP_WORDS = """
@@ -128,7 +129,7 @@ def postings(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     sets = sets.withColumn("n_words", F.size("_w").cast("long"))
     rows = rows_of(sets, F.col("_w"), "word", [doc_id, "n_words"])
     frequency = rows.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq"))
-    return rows.join(frequency, "word")
+    return attach(rows, frequency, ["word"], "doc_freq")
 
 
 def train_naive_bayes(df: DataFrame, text: str, label: str, smoothing: float) -> DataFrame:
@@ -151,7 +152,8 @@ def train_naive_bayes(df: DataFrame, text: str, label: str, smoothing: float) ->
 def score_naive_bayes(df: DataFrame, model: DataFrame, doc_id: str, text: str, label: str) -> DataFrame:
     """Log score of both classes and the better class (ties go to 1); unknown words are ignored."""
     words = word_rows(df, text, [doc_id]).groupBy(doc_id, "word").agg(F.count(F.lit(1)).alias("tf"))
-    logs = words.join(model.select("word", F.log("p0").alias("l0"), F.log("p1").alias("l1")), "word")
+    table = model.select("word", (F.col("n0") + F.col("n1")).alias("_n"), F.log("p0").alias("l0"), F.log("p1").alias("l1"))
+    logs = attach(words, table, ["word"], "_n").filter(F.col("_n").isNotNull())
     sums = logs.groupBy(doc_id).agg(F.sum(F.col("tf") * F.col("l0")).alias("s0"), F.sum(F.col("tf") * F.col("l1")).alias("s1"))
     prior = model.select("prior0", "prior1").limit(1).first()
     out = df.select(doc_id, label).join(sums, doc_id, "left")

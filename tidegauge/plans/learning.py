@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import hash_unit, tokens
 from ..operators import clean, descent, evaluate, learn, split
+from ..session import cut_lineage
 from ..sources.tables import spread
 from .registry import Tables, query
 from .splits import labelled_orders, unit
@@ -68,6 +69,7 @@ def documents(t: Tables) -> tuple[DataFrame, DataFrame]:
         F.size(F.array_distinct("w")).cast("double").alias("n_unique"),
         (F.length(F.array_join("w", "")) / F.greatest(F.size("w"), F.lit(1))).alias("mean_word"),
         (F.size(F.array_distinct("w")) / F.greatest(F.size("w"), F.lit(1))).alias("unique_share"))
+    rows = cut_lineage(rows)  # a narrow table that every fitting pass reads again
     u = hash_unit(F.col("doc_id"), seed=3)
     return rows.filter(u < 0.7), rows.filter(u >= 0.7)
 
