@@ -68,22 +68,18 @@ def _on_sphere(df: DataFrame, lat: str, lon: str) -> DataFrame:
     return df.withColumns({"_x": F.cos(a) * F.cos(b), "_y": F.cos(a) * F.sin(b), "_z": F.sin(a)})
 
 
-def _cube(edge: float) -> list[Column]:
-    return [F.floor(F.col(axis) / F.lit(edge)).cast("int") for axis in ("_x", "_y", "_z")]
-
-
 def _around() -> Column:
     """The 27 offsets of a cube and its neighbours."""
-    steps = [F.lit(i) for i in (-1, 0, 1)]
-    return F.array(*[F.struct(x.alias("dx"), y.alias("dy"), z.alias("dz")) for x in steps for y in steps for z in steps])
+    steps = (-1, 0, 1)
+    entries = [f"named_struct('dx', {x}, 'dy', {y}, 'dz', {z})" for x in steps for y in steps for z in steps]
+    return F.expr(f"array({', '.join(entries)})")
 
 
 def _at_levels(df: DataFrame) -> DataFrame:
-    levels = [
-        F.struct(F.lit(i).alias("_level"), *[c.alias(n) for c, n in zip(_cube(edge), ("_cx", "_cy", "_cz"))])
-        for i, edge in enumerate(GRID_EDGES)
-    ]
-    return df.select("*", F.inline(F.array(*levels)))
+    """One row per cube size."""
+    cube = "named_struct('_level', {i}, '_cx', int(floor(_x / {e}D)), '_cy', int(floor(_y / {e}D)), '_cz', int(floor(_z / {e}D)))"
+    entries = [cube.format(i=i, e=repr(edge)) for i, edge in enumerate(GRID_EDGES)]
+    return df.select("*", F.inline(F.expr(f"array({', '.join(entries)})")))
 
 
 def nearest_k(

@@ -23,7 +23,7 @@ def is_small(df: DataFrame) -> bool:
 def accuracy_for(df: DataFrame) -> int:
     """Accuracy of a quantile sketch.
 
-    Sketches of all tasks meet in one reducer. Small inputs can afford one that is exact
-    to the row; large ones get a sketch of some hundred kilobytes per task.
+    Sketches of all tasks meet in one reducer. Small inputs can afford a rank error of one
+    in a million; large ones get a sketch of some hundred kilobytes per task.
     """
     return FINE if is_small(df) else COARSE
