@@ -124,10 +124,10 @@ def p12_implausible_to_median(t: Tables) -> DataFrame:
 
 
 @query("p13_normalise_code", """
-SELECT n_nationkey, nullif(regexp_replace(upper(CASE WHEN n_nationkey % 6 = 0 THEN ' - ' ELSE concat(' ', lower(n_name), '-x') END), '[^A-Z0-9]', '', 'g'), '') AS code FROM nation""")
+SELECT c_custkey, nullif(regexp_replace(upper(CASE WHEN c_custkey % 6 = 0 THEN ' - ' ELSE concat(' ', lower(c_name), '-x') END), '[^A-Z0-9]', '', 'g'), '') AS code FROM customer""")
 def p13_normalise_code(t: Tables) -> DataFrame:
-    messy = F.when(F.col("n_nationkey") % 6 == 0, " - ").otherwise(F.concat(F.lit(" "), F.lower("n_name"), F.lit("-x")))
-    return t.nation.select("n_nationkey", text.normalise_code(messy).alias("code"))
+    messy = F.when(F.col("c_custkey") % 6 == 0, " - ").otherwise(F.concat(F.lit(" "), F.lower("c_name"), F.lit("-x")))
+    return t.customer.select("c_custkey", text.normalise_code(messy).alias("code"))
 
 
 MESSY = "CASE WHEN doc_id % 9 = 0 THEN ' ' WHEN doc_id % 8 = 0 THEN 'NA' WHEN doc_id % 7 = 0 THEN '' ELSE source END"

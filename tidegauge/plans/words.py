@@ -31,9 +31,9 @@ def x1_word_count(t: Tables) -> DataFrame:
 @query("t8_merged_counts", f"WITH {COUNTS_SQL} SELECT word, n FROM counts")
 def t8_merged_counts(t: Tables) -> DataFrame:
     """Partial counts per language, added up."""
-    docs = docs(t).select("text", "lang")
+    rows = docs(t)
     langs = [F.col("lang") == "en", F.col("lang") == "fr", ~F.col("lang").isin("en", "fr") | F.col("lang").isNull()]
-    return text.merge_counts([text.word_count(docs.filter(c), "text") for c in langs])
+    return text.merge_counts([text.word_count(rows.filter(c), "text") for c in langs])
 
 
 @query("t2_both_ends", f"""
