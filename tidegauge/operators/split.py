@@ -78,7 +78,7 @@ def split_ranges(df: DataFrame, when: str, split: str = "split") -> DataFrame:
 
 
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Balanced weights n / (classes * n_class) as a column."""
+    """Balanced weights n / (classes * n_class) as a column; a label has few classes."""
     counts = {r[0]: r[1] for r in df.filter(F.col(label).isNotNull()).groupBy(label).count().collect()}
     total = sum(counts.values())
     steps = [(F.col(label) == v, total / (len(counts) * n)) for v, n in sorted(counts.items())]
