@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, packing, token_count
+from . import language_id, packing, quality_rules, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -47,3 +47,8 @@ def pack_documents(docs: DataFrame) -> DataFrame:
 @query("op10_packing")
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"))
+
+
+@query("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.verdicts(table(spark, folder, "documents"))
