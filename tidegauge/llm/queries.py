@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, packing, quality_rules, token_count
+from . import language_id, packing, quality_rules, token_count, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -52,3 +52,13 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_quality_rules")
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, folder, "documents"))
+
+
+#: (allowed, host, path)
+URL_RULES = [(True, "org", "/"), (False, "example.org", "/es/"), (False, "example.org", "/en/1"), (True, "com", "/fr/"), (False, "com", "/de/")]
+
+
+@query("op5_url_filter")
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    labelled = spark.createDataFrame(url_filter.LABELLED, "url string, blocked int")
+    return url_filter.verdicts(table(spark, folder, "pages"), URL_RULES, labelled)
