@@ -126,3 +126,19 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     for k in range(size):
         out = mix(out * _BASE + hashes[k : k + n])
     return out
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, bound: int) -> DataFrame:
+    """At most ``bound`` documents with a label outside the held-out fold; ``docs`` needs doc_id.
+
+    Only labels are bounded, by a hash of the id, so the list of (id, label) has at most ``bound`` rows and may be
+    broadcast. A document with several labels counts with the largest.
+    """
+    known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold_of("doc_id", folds) != held))
+    known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("_label"))
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    return docs.join(F.broadcast(chosen), "doc_id")
+
+
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))

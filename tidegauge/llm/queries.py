@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, packing, quality_rules, token_count, url_filter
+from . import language_id, packing, quality_rules, token_count, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -62,3 +62,8 @@ URL_RULES = [(True, "org", "/"), (False, "example.org", "/es/"), (False, "exampl
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     labelled = spark.createDataFrame(url_filter.LABELLED, "url string, blocked int")
     return url_filter.verdicts(table(spark, folder, "pages"), URL_RULES, labelled)
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_held_out(table(spark, folder, "documents"), table(spark, folder, "labels"))
