@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, packing, quality_rules, token_count, toxicity, url_filter
+from . import language_id, packing, quality_classifier, quality_rules, token_count, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -67,3 +67,8 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_toxicity")
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_held_out(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.score_held_out(table(spark, folder, "documents"), table(spark, folder, "labels"))
