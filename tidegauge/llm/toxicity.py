@@ -143,7 +143,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float,
     return float(beta[0]), float(beta[1])
 
 
-def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, bound: int = 20_000, size: int = 300, support: float = 0.05, least: int = 5, odds: float = 3.0) -> Lexicon:
+def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, bound: int = 20_000, size: int = 500, support: float = 0.01, least: int = 5, odds: float = 3.5) -> Lexicon:
     """Lexicon, exceptions and curve from at most ``bound`` labelled documents.
 
     A lexicon word is in ``support`` of the toxic documents and in ``least`` of them, and its log odds are at least
