@@ -77,6 +77,8 @@ _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE[_IS_SPACE] = 0
 _BYTE_LOWER = _BYTE[_LOWER]
+_MARKS = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
+_BYTE_LETTERS = np.where(_MARKS, np.uint64(0), _BYTE_LOWER)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -87,17 +89,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, letters: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of texts laid end to end, split at ASCII white space.
 
     Returns a 64-bit hash per word, the index of each text's first word (one more entry than
-    texts), and where the words start and end. A-Z count as a-z if ``lower``.
+    texts), and where the words start and end. A-Z count as a-z. With ``letters`` every ASCII sign parts words, too.
     """
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), np.zeros(len(offsets), np.int64), none, none
-    inside = ~_IS_SPACE[data]
+    inside = ~(_MARKS if letters else _IS_SPACE)[data]
     edges = offsets[(offsets > 0) & (offsets < n)]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -111,7 +113,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
     place[~inside] = 0
     powers = np.full(int(place.max()) + 1, _BASE)
     powers[0] = 1
-    values = (_BYTE_LOWER if lower else _BYTE)[data] * np.cumprod(powers, dtype=np.uint64)[place]
+    values = (_BYTE_LETTERS if letters else _BYTE_LOWER)[data] * np.cumprod(powers, dtype=np.uint64)[place]
     last = inside.copy()
     last[:-1] &= ~inside[1:]
     last[edges - 1] = inside[edges - 1]

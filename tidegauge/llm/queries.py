@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, packing, quality_classifier, quality_rules, token_count, toxicity, url_filter
+from . import decontaminate, language_id, near_dup, packing, quality_classifier, quality_rules, token_count, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -72,3 +72,13 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_quality_classifier")
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.score_held_out(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op3_near_duplicates")
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, folder, "documents"), size=2)
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
