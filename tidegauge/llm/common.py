@@ -53,13 +53,14 @@ def fold_of(doc_id: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def text_parts(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = 4 << 20):
+def text_parts(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = 4 << 20, lower: bool = False):
     """(rows, bytes, offsets) of slices of the batches with about ``size`` bytes of text; a null text is empty.
 
-    A longer single text is a slice of its own.
+    A longer single text is a slice of its own. ``lower``: the bytes are of the lower-case text, letters of all scripts.
     """
     for batch in batches:
         column = pc.fill_null(batch.column(text).cast(pa.large_string()), "")
+        column = pc.utf8_lower(column) if lower else column
         offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
         data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
         first = 0

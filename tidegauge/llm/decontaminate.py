@@ -1,7 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Search: the benchmark's passages (32 words, every 8 words) become TF-IDF vectors, with document frequencies counted over
-all documents. A randomised SVD of that matrix, summed over tasks, gives a basis of ``rank`` dimensions.
+all documents; words below ``rare`` weigh nothing. A randomised SVD of that matrix, summed over tasks, gives a latent basis; its
+rank doubles until every passage keeps the share ``held`` of its length in it.
 Every document is cut into blocks of 16 words; two neighbouring blocks are a window, projected on the basis; its cosine with
 each passage is a matrix product. A passage shorter than a window can fill only part of it, so its threshold is lower.
 
@@ -24,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -50,7 +52,7 @@ def words_of(text: str | bytes) -> np.ndarray:
 
 
 def item_of(item_id: int | None, text: str) -> Item:
-    raw = text.encode()
+    raw = pc.utf8_lower(pa.scalar(text)).as_py().encode()
     words, mark = words_of(raw), ANSWER.match(raw)
     answer = words_of(raw[mark.end() :]) if mark else words[:0]
     return Item(item_id, words, answer if len(answer) else words[-8:])
@@ -101,7 +103,7 @@ def document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[int,
 
     def run(batches):
         counts, total = np.zeros(len(vocabulary.words), np.int64), 0
-        for _, data, offsets in text_parts(batches, "text", 1 << 20):
+        for _, data, offsets in text_parts(batches, "text", 1 << 20, lower=True):
             hashes, first, _, _ = word_hashes(data, offsets, letters=True)
             at = vocabulary.find(hashes)
             row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))[at >= 0]
@@ -153,11 +155,11 @@ class Index:
     def __init__(self, items: list[Item], vocabulary: Vocabulary, idf: np.ndarray, basis: np.ndarray, cosine: float, sure: float, likely: float):
         self.items, self.vocabulary, self.sure, self.likely = items, vocabulary, sure, likely
         self.table = (basis * idf[:, None]).astype(np.float32)
-        self.square = np.append(idf**2, np.mean(idf**2)).astype(np.float64)  # the last is for all other words
+        self.square = np.append(idf**2, np.mean(idf[idf > 0] ** 2) if idf.any() else 1.0)  # the last is for all other words
         parts = [(k, vocabulary.find(p)) for k, item in enumerate(items) for p in passages_of(item)]
         self.owner = np.array([k for k, _ in parts], np.int64)
         vectors = np.array([self.table[p].sum(axis=0) for _, p in parts], np.float32).reshape(len(parts), self.table.shape[1])
-        norm = np.array([np.sqrt(self.square[p].sum()) for _, p in parts])
+        norm = np.array([max(np.sqrt(self.square[p].sum()), 1e-9) for _, p in parts])
         reach = np.array([np.sqrt(min(1, len(p) / WINDOW)) for _, p in parts])
         # cosine >= threshold * reach, written as a dot product with a scaled passage >= the window's norm
         self.passages = (vectors / (norm * reach * cosine)[:, None]).T.copy() if parts else vectors.T
@@ -174,7 +176,7 @@ class Index:
             high = min(low + 4097, int(bounds[-1]))  # one block more, for the last window
             begin, end = starts[low], (starts[high] if high < len(starts) else first[-1])
             part = at[begin:end]
-            known = np.flatnonzero(part >= 0)
+            known = np.flatnonzero((part >= 0) & (self.square[part] > 0))
             block = np.searchsorted(starts[low:high], np.arange(begin, end), "right") - 1
             norm = np.bincount(block, self.square[part], high - low)
             vector = np.zeros((high - low, self.table.shape[1]), np.float32)
@@ -196,7 +198,7 @@ class Index:
         at = self.vocabulary.find(hashes)
         spots: dict[tuple[int, int], list[int]] = {}
         for owner, starts, vector, norm in self.windows(at, first):
-            near = vector @ self.passages >= norm[:, None]
+            near = vector @ self.passages >= np.maximum(norm, 1e-9)[:, None]
             for w, p in zip(*np.nonzero(near)):
                 spots.setdefault((int(owner[w]), int(self.owner[p])), []).append(int(starts[w]))
         out = []
@@ -222,7 +224,15 @@ class Index:
         return out
 
 
-def indexes(docs: DataFrame, benchmark: DataFrame, rank: int, cosine: float, sure: float, likely: float, least: int, slice_words: int):
+def _kept_share(basis: np.ndarray, idf: np.ndarray, at: np.ndarray) -> float:
+    """Length of a passage's vector after projection, as a share of its length."""
+    words, count = np.unique(at, return_counts=True)
+    x = count * idf[words]
+    length = np.linalg.norm(x)
+    return float(np.linalg.norm(x @ basis[words]) / length) if length else 1.0
+
+
+def indexes(docs: DataFrame, benchmark: DataFrame, held: float, rare: float, cosine: float, sure: float, likely: float, least: int, slice_words: int):
     """An index for each slice of the benchmark."""
     rows = benchmark.filter(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
     total = rows.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
@@ -236,12 +246,21 @@ def indexes(docs: DataFrame, benchmark: DataFrame, rank: int, cosine: float, sur
         vocabulary = Vocabulary(np.concatenate([i.words for i in items]))
         n, df = document_frequencies(docs, vocabulary)
         idf = np.log((n + 1) / (df + 0.5))
-        passages = docs.sparkSession.createDataFrame([(vocabulary.find(p).tolist(),) for i in items for p in passages_of(i)], "at array<int>")
-        yield Index(items, vocabulary, idf, latent_basis(passages, idf, rank), cosine, sure, likely)
+        idf[idf < rare] = 0
+        at = [vocabulary.find(p) for i in items for p in passages_of(i)]
+        passages = docs.sparkSession.createDataFrame([(p.tolist(),) for p in at], "at array<int>")
+        rank = max(1, len(at) // 2)
+        while True:
+            basis = latent_basis(passages, idf, rank)
+            if rank >= min(len(at), len(idf)) or min(_kept_share(basis, idf, p) for p in at) >= held:
+                break
+            rank *= 2
+        yield Index(items, vocabulary, idf, basis, cosine, sure, likely)
 
 
-#: Parameters of the queries: dimensions, cosine of a candidate, shares of an item's words, shortest item, size of a slice.
-SETTINGS = {"rank": 96, "cosine": 0.4, "sure": 0.8, "likely": 0.55, "least": 6, "slice_words": 50_000}
+#: Parameters of the queries: length kept in the latent space, smallest weight of a word, cosine of a candidate, shares of an
+#: item's words, shortest item, words in a slice of the benchmark.
+SETTINGS = {"held": 0.9, "rare": 1.0, "cosine": 0.4, "sure": 0.8, "likely": 0.55, "least": 6, "slice_words": 10_000}
 
 
 def find(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
@@ -253,7 +272,7 @@ def find(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
 
         def run(batches, shared=shared):
             index = shared.value
-            for part, data, offsets in text_parts(batches, "text", 1 << 20):
+            for part, data, offsets in text_parts(batches, "text", 1 << 20, lower=True):
                 ids, best = part.column("doc_id").to_pylist(), {}
                 for text, k, n, start in index.search(data, offsets):
                     key = (text, index.items[k].item_id)
@@ -276,7 +295,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
             for batch in batches:
                 texts = pa.RecordBatch.from_arrays([batch.column(place), pa.array(np.arange(batch.num_rows))], names=["text", "row"])
                 clean = np.ones(batch.num_rows, bool)
-                for part, data, offsets in text_parts([texts], "text", 1 << 20):
+                for part, data, offsets in text_parts([texts], "text", 1 << 20, lower=True):
                     rows = part.column("row").to_numpy()
                     clean[[rows[hit[0]] for hit in shared.value.search(data, offsets)]] = False
                 yield batch.filter(pa.array(clean))
