@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, near_dup, packing, quality_classifier, quality_rules, token_count, toxicity, url_filter
+from . import decontaminate, language_id, masked_lm, near_dup, packing, quality_classifier, quality_rules, token_count, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -82,3 +82,8 @@ def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_decontamination")
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op4_masked_lm")
+def op4_masked_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return masked_lm.score_corpus(table(spark, folder, "documents"))
