@@ -179,11 +179,12 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, folds:
     """The documents scored ``threshold`` at least, with all their columns, in one pass after the fit."""
     machine = learn(docs, labels, folds, held)
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    text = docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
             column = batch.column(chars).cast(pa.float64()) if chars is not None else pa.nulls(batch.num_rows, pa.float64())
-            inputs = pa.RecordBatch.from_arrays([batch.column(docs.columns.index("text")), column], names=["text", "n_chars"])
+            inputs = pa.RecordBatch.from_arrays([batch.column(text), column], names=["text", "n_chars"])
             margins = [machine.margin(*found) for _, found in _parts([inputs])]
             yield batch.filter(pa.array(sigmoid(np.concatenate(margins)) >= threshold)) if margins else batch
 
