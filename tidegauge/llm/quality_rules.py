@@ -72,7 +72,7 @@ def limits(measured: DataFrame, least: int = 100, reach: float = 3.0, k: int = 1
     groups = stored(measured.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(m, F.lit(k)).alias(m) for m in names]), "sketches")
 
     by_lang = groups.groupBy(F.col("lang").alias("lang_l")).agg(F.sum("n").alias("n_l"), *[F.kll_merge_agg_double(m, F.lit(k)).alias(f"{m}_l") for m in names])
-    quartiles = [F.kll_sketch_get_quantile_double(F.kll_merge_agg_double(m, F.lit(k)), F.lit(q)).alias(f"{m}_{q}") for m in names for q in (0.25, 0.75)]
+    quartiles = [F.when(F.sum("n") > 0, F.kll_sketch_get_quantile_double(F.kll_merge_agg_double(m, F.lit(k)), F.lit(q))).alias(f"{m}_{q}") for m in names for q in (0.25, 0.75)]
     every = groups.agg(*quartiles).first()  # one row
     joined = groups.join(by_lang, F.col("lang").eqNullSafe(F.col("lang_l")), "left")
     out = []
