@@ -3,15 +3,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from .words import sentence
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that the operators give to their own columns.
 CLASHES = ["n_words", "kept", "score", "held_out", "own", "key", "part", "place", "component_id", "_label", "label", "at", "rule", "host", "_number", "_id", "bucket"]
 
 
-def sentence(rng, n, alphabet="abcdefghij"):
-    return " ".join("".join(rng.choices(alphabet, k=rng.randint(2, 7))) for _ in range(n))
-
-
 @pytest.fixture(scope="session")
 def make(spark):
     """A table of documents with extra columns whose names clash with those of the operators."""

@@ -177,8 +177,8 @@ def learn_network(docs: DataFrame, classes: Classes) -> Network:
 
         part = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == r).select("text")
         sums = part.mapInArrow(run, "grp int, n double, flat array<double>").withColumn("flat", array_to_vector("flat"))
-        sums = sums.groupBy("grp").agg(F.sum("n").alias("n"), Summarizer.sum(F.col("flat")).alias("flat"))
-        row = sums.groupBy().agg(F.sum("n").alias("n"), Summarizer.sum(F.col("flat")).alias("flat")).select("n", vector_to_array("flat").alias("flat")).first()  # one network
+        sums = sums.groupBy("grp").agg(F.sum("n").alias("n"), Summarizer.sum(F.col("flat")).alias("flat")).withColumn("grp", F.lit(0))
+        row = sums.groupBy("grp").agg(F.sum("n").alias("n"), Summarizer.sum(F.col("flat")).alias("flat")).select("n", vector_to_array("flat").alias("flat")).first()  # one network
         if row and row["n"]:
             network = Network.of(np.array(row["flat"]) / row["n"])
     return network
