@@ -70,8 +70,8 @@ def test_matches_brute_force(spark, make, odd_rows):
 def test_links_off_the_pivots_are_found(spark, make, monkeypatch):
     """With one pivot most pairs of a loose group never meet in the first step."""
     monkeypatch.setattr(N, "PIVOTS", 1)
-    monkeypatch.setattr(N, "BLOCK", 4)
-    monkeypatch.setattr(N, "CHUNK", 8)
+    monkeypatch.setattr(N, "BLOCK", 1200)
+    monkeypatch.setattr(N, "CHUNK", 2400)
     rng = random.Random(10)
     base = ["v%d" % i for i in range(300)]
     rows = list(enumerate(variants(rng, base, 60, 17)))

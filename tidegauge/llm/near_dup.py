@@ -9,8 +9,9 @@
    what is left is confirmed on the full sets, rebuilt from the texts. One pair per class goes first, and the others
    only if their ends are not in one component by then.
 4. A link need not touch a pivot. Wherever a bucket of three or more still has members of several components, each
-   member outside the first pivot's component is compared, by signature, with all members of other components,
-   in blocks of bounded size; what passes is confirmed as before. So no link inside a bucket is lost.
+   member outside the first pivot's component is compared with the members of other components, in blocks of
+   bounded size, by signature and then on the full sets. Of the buckets that two members share, only the first compares them, and a block
+   returns no more links than it takes to join its components. So no link inside a bucket is lost and no list of pairs is made.
 5. Components by alternating large-star and small-star; the smallest doc_id of a component names it.
 
 Texts without words have no shingles and are alone. Repeated rows are members of the same class. A null doc_id can link others but
@@ -34,7 +35,7 @@ FACTORS = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2
 SHIFTS = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 PIVOTS = 3
 MAP_BITS = 26
-BLOCK, CHUNK = 256, 8192
+BLOCK, CHUNK = 200_000, 2_000_000  # shingles on either side of a block
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -167,19 +168,12 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     """The pairs (a, b) whose full sets are similar enough. ``b`` gets its text first, so a hot ``a`` is never copied into a shuffle."""
     rows = pairs.join(texts.withColumnsRenamed({"cid": "b", "text": "text_b"}), "b").join(texts.withColumnsRenamed({"cid": "a", "text": "text_a"}), "a")
 
-    def sets(column: pa.Array) -> list[np.ndarray]:
-        out = []
-        for _, data, offsets in text_parts([pa.RecordBatch.from_arrays([column], names=["text"])], "text", 1 << 20):
-            runs, bounds = shingle_sets(data, offsets, size)
-            out += [runs[bounds[i] : bounds[i + 1]] for i in range(len(bounds) - 1)]
-        return out
-
     def run(batches):
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 good = []
-                for x, y in zip(sets(part.column("text_a")), sets(part.column("text_b"))):
+                for x, y in zip(_text_sets(part.column("text_a"), size), _text_sets(part.column("text_b"), size)):
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     good.append(100 * both >= percent * (len(x) + len(y) - both))
                 yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
@@ -192,34 +186,59 @@ def _rooted(df: DataFrame, roots: DataFrame, node: str, root: str) -> DataFrame:
     return df.join(roots.select(F.col("node").alias(node), F.col("root").alias("_found")), node, "left").withColumn(root, F.coalesce("_found", node)).drop("_found")
 
 
-def _across(members: DataFrame, classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs within a bucket, of different components, neither the first pivot, whose signatures agree."""
+def _text_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
+    out = []
+    for _, data, offsets in text_parts([pa.RecordBatch.from_arrays([texts], names=["text"])], "text", 1 << 20):
+        runs, bounds = shingle_sets(data, offsets, size)
+        out += [runs[bounds[i] : bounds[i + 1]] for i in range(len(bounds) - 1)]
+    return out
+
+
+def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) within buckets between members of different components; enough to join what is linked."""
     least = _least_equal(percent)
     rows = stored(_rooted(members, roots, "cid", "root"), "rooted")
-    groups = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by("root", "cid").alias("first"))
-    groups = groups.filter((F.col("n") >= 3) & (F.col("lo") != F.col("hi"))).select("bucket", "n", "first")
-    rows = stored(rows.join(groups, "bucket"), "mixed")
-    counts = rows.groupBy("bucket").agg(F.sum((F.col("root") != F.col("first")).cast("long")).alias("minor"))
-    rows = rows.join(counts, "bucket").join(classes.select("cid", "sig"), "cid")
-    blocks, chunks = F.ceil(F.col("minor") / BLOCK).cast("int"), F.ceil(F.col("n") / CHUNK).cast("int")
-    spread = F.xxhash64("cid", F.lit(1))
+    groups = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by("root", "cid").alias("first"))
+    groups = groups.filter((F.col("n") >= 3) & (F.col("lo") != F.col("hi"))).select("bucket", "weight", "first")
+    rows = stored(rows.join(stored(groups, "groups"), "bucket"), "mixed")
     is_minor = F.col("root") != F.col("first")
-    as_minor = rows.filter(is_minor).select("bucket", F.pmod(spread, blocks).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), F.lit(True).alias("minor"), "cid", "root", "n_shingles", "sig")
-    as_other = rows.select("bucket", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.pmod(spread, chunks).cast("int").alias("chunk"), F.lit(False).alias("minor"), "cid", "root", "n_shingles", "sig")
+    counts = stored(rows.filter(is_minor).groupBy("bucket").agg(F.sum("n_shingles").alias("minor_weight")), "minor")
+    rows = rows.join(counts, "bucket").join(classes.select("cid", "sig"), "cid").join(texts, "cid")
+    blocks, chunks = F.ceil(F.col("minor_weight") / BLOCK).cast("int"), F.ceil(F.col("weight") / CHUNK).cast("int")
+    spread = F.xxhash64("cid", F.lit(1))
+    rest = ["band", "cid", "root", "n_shingles", "sig", "text"]
+    as_minor = rows.filter(is_minor).select("bucket", F.pmod(spread, blocks).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), F.lit(True).alias("minor"), *rest)
+    as_other = rows.select("bucket", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.pmod(spread, chunks).cast("int").alias("chunk"), F.lit(False).alias("minor"), *rest)
 
     def compare(df: pd.DataFrame) -> pd.DataFrame:
-        is_minor = df["minor"].to_numpy()
-        ids, root, n = (df[c].to_numpy() for c in ("cid", "root", "n_shingles"))
+        minor = df["minor"].to_numpy()
+        ids, root, n, band = (df[c].to_numpy() for c in ("cid", "root", "n_shingles", "band"))
         sig = np.frombuffer(b"".join(df["sig"]), "<u2").reshape(len(df), -1)
-        others = np.flatnonzero(~is_minor)
+        sets = _text_sets(pa.array(df["text"], pa.large_string()), size)
+        joined = {r: r for r in root.tolist()}
+
+        def top(r: int) -> int:
+            while joined[r] != r:
+                joined[r] = r = joined[joined[r]]
+            return r
+
+        others = np.flatnonzero(~minor)
         found = []
-        for i in np.flatnonzero(is_minor):
-            fits = others[(root[others] != root[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
-            fits = fits[(sig[fits] == sig[i]).sum(axis=1) >= least]
-            found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in fits]
+        for i in np.flatnonzero(minor):
+            near = others[(root[others] != root[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
+            same = sig[near] == sig[i]
+            near, same = near[same.sum(axis=1) >= least], same[same.sum(axis=1) >= least]
+            near = near[same.reshape(len(near), BANDS, ROWS).all(axis=2).argmax(axis=1) == band[i]]  # else another bucket compares them
+            for j in near:
+                a, b = top(int(root[i])), top(int(root[j]))
+                if a != b:
+                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                        joined[max(a, b)] = min(a, b)
+                        found.append((ids[i], ids[j]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return as_minor.union(as_other).groupBy("bucket", "block", "chunk").applyInPandas(compare, "a long, b long").distinct()
+    return as_minor.union(as_other).groupBy("bucket", "block", "chunk").applyInPandas(compare, "a long, b long")
 
 
 def _open(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -234,7 +253,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
-    every = classes.select("cid", "n_shingles", F.explode("bands").alias("bucket"))
+    every = classes.select("cid", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
     orders = [F.col("cid"), *[F.xxhash64("cid", F.lit(k)) for k in range(1, PIVOTS)]]
     pivots = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *[F.min_by(c, o).alias(f"{c}{k}") for k, o in enumerate(orders) for c in ("cid", "n_shingles")])
     pivots = pivots.filter(F.col("n") > 1).select("bucket", F.array(*[F.struct(F.col(f"cid{k}").alias("cid"), F.col(f"n_shingles{k}").alias("n_shingles")) for k in range(PIVOTS)]).alias("pivots"))
@@ -243,21 +262,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     pairs = pairs.select(F.least("cid", "p.cid").alias("a"), F.greatest("cid", "p.cid").alias("b")).distinct()
     pairs = stored(_by_signature(pairs, classes, percent), "pairs")
 
-    def texts_for(chosen: DataFrame) -> DataFrame:
-        ids = chosen.select(F.col("a").alias("cid")).union(chosen.select(F.col("b").alias("cid"))).distinct()
-        return stored(_texts_of(docs, classes.join(ids, "cid").select("cid", "key", "doc_id"), size), "texts")
-
-    texts = texts_for(pairs)
+    wanted = classes.join(members.select("cid").distinct(), "cid").select("cid", "key", "doc_id")
+    texts = stored(_texts_of(docs, stored(wanted, "wanted"), size), "texts")
     once = stored(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
     links = stored(_confirm(once, texts, size, percent), "links")
     roots = components(links)
     rest = _open(pairs.join(once, ["a", "b"], "left_anti"), roots)
     links = links.union(stored(_confirm(rest, texts, size, percent), "links"))
     roots = components(links)
-    late = stored(_across(members.select("bucket", "cid", "n_shingles"), classes, roots, percent).join(pairs, ["a", "b"], "left_anti"), "late-pairs")
+    late = stored(_across(members.select("bucket", "band", "cid", "n_shingles"), classes, texts, roots, size, percent), "late-links")
     if late.first() is not None:
-        links = links.union(stored(_confirm(late, texts_for(late), size, percent), "links"))
-        roots = components(links)
+        roots = components(links.union(late))
 
     named = stored(_rooted(classes.select("cid", "key", "doc_id"), roots, "cid", "root"), "named")
     lowest = stored(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "lowest")
