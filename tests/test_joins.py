@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidegauge.operators import dedup, encode, joins, ranking, skew
+from tidegauge.operators import dedup, encode, joins, quantiles, ranking, skew
 
 
 def km(a, b):
@@ -54,12 +54,11 @@ def test_ranked_as_of_falls_back_to_farther_site(spark):
     assert got == {1: ("s2", 2, 3.0), 2: ("s1", 1, 1.0), 3: ("s3", 1, None), 4: (None, None, None)}
 
 
-@pytest.mark.parametrize("limit", [None, 1, 3, 1000])
-def test_attach_is_a_left_join(spark, limit):
+def test_attach_is_a_left_join(spark):
     rows = [("hot", i) for i in range(30)] + [("b", 1), ("b", 1), (None, 2), ("c", 3)]
     df = spark.createDataFrame(rows, "k string, x int")
     stats = df.filter("k is null or k <> 'c'").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("s"))
-    out = skew.attach(df, stats, ["k"], "n", limit)
+    out = skew.attach(df, stats, ["k"])
     assert out.columns == ["k", "x", "n", "s"]
     want = sorted([(k, x, *{"hot": (30, 435), "b": (2, 2), None: (1, 2), "c": (None, None)}[k]) for k, x in rows], key=repr)
     assert sorted((tuple(r) for r in out.collect()), key=repr) == want
@@ -94,10 +93,43 @@ def test_missing_and_coverage(spark):
     assert tuple(joins.key_coverage(f, d, "k", "dk").first()) == (4, 2, 3, 1, 50.0)
 
 
-def test_bounded_broadcast(spark):
-    df = spark.range(10)
-    assert "broadcast" in joins.bounded_broadcast(df, 10)._jdf.queryExecution().toString().lower()
-    assert "broadcast" not in joins.bounded_broadcast(df, 9)._jdf.queryExecution().toString().lower()
+def test_attach_splits_null_unseen_and_hot_keys(spark):
+    """A third of the rows has no key, a third a key the table doesn't know, a sixth one key: no task holds much of them."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2"}
+    before = {k: spark.conf.get(k) for k in settings if k != "spark.sql.adaptive.autoBroadcastJoinThreshold"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        i = F.col("id") % 6
+        df = spark.range(0, 240_000, 1, 16).select("id", F.sha2(F.col("id").cast("string"), 256).alias("load"), F.when(i < 2, F.lit(None)).when(i < 4, "unseen").when(i == 4, "hot").otherwise((F.col("id") % 997).cast("string")).alias("k"))
+        stats = df.filter("k <> 'unseen'").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        out = skew.attach(df, stats, ["k"])
+        rows = out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("count"), F.max("load")).collect()
+        assert sum(r["count"] for r in rows) == 240_000
+        assert max(r["count"] for r in rows) <= 0.1 * 240_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_exact_quantiles_whatever_the_bracket(spark, monkeypatch):
+    rng = random.Random(8)
+    values = [rng.choice([1.0, 1.0, 2.0, float(rng.randint(0, 40)), rng.random() * 100]) for _ in range(5_000)] + [None] * 50 + [float("nan")] * 3
+    df = spark.createDataFrame([(v, 7.0) for v in values], "x double, y double")
+    known = sorted(v for v in values if v is not None and v == v)
+    wanted = {f"q{i}": ("x", p) for i, p in enumerate([0.0, 0.001, 0.1, 0.25, 0.5, 0.75, 0.9, 0.999, 1.0])} | {"flat": ("y", 0.3)}
+    for rows, error in ((50_000, 5_000), (20, 25), (1, 100)):
+        monkeypatch.setattr(quantiles, "EXACT_ROWS", rows)
+        monkeypatch.setattr(quantiles, "ERROR", error)
+        got = quantiles.exact_quantiles(df, wanted)
+        for n, (_, p) in list(wanted.items())[:-1]:
+            want = known[max(1, math.ceil(p * len(known))) - 1]
+            assert got[n] == want, (n, rows)
+        assert got["flat"] == 7.0
+    assert quantiles.exact_quantiles(df.limit(0), wanted)["q0"] is None and quantiles.exact_quantiles(df, {}) == {}
 
 
 def test_dedup(spark):

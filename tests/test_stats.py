@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from tidegauge.operators import evaluate, split, stats
+from tidegauge.operators import evaluate, gram, learn, ranking, split, stats
 
 
 @pytest.fixture(scope="module")
@@ -120,3 +120,49 @@ def test_stage_comparison(spark):
     a = spark.createDataFrame([(1, None), (2, 3.0)], "i int, v double")
     rows = stats.stage_comparison([("a", a), ("b", a.dropna())]).orderBy("step").collect()
     assert [(r.n_rows, r.missing_pct, r.rows_change, r.missing_change) for r in rows] == [(2, 25.0, None, None), (1, 0.0, -1, -25.0)]
+
+
+def test_wide_correlations_with_gaps(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 200)) + rng.normal(size=(400, 1)) * rng.random(200) + 1e6
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 7] = 5.0
+    df = spark.createDataFrame([tuple(None if v != v else float(v) for v in row) for row in x], ", ".join(f"c{i} double" for i in range(200)))
+    got = gram.correlations(df, [F.col(c) for c in df.columns])
+    for i, j in ((0, 1), (3, 150), (199, 20), (50, 50)):
+        both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+        assert got[i, j] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9)
+    assert np.isnan(got[7, 3]) and np.isnan(got[3, 7])
+    assert stats.correlation_pairs(df, df.columns).count() == 199 * 100
+    assert stats.prune_pairs(df, df.columns, F.col("c0"), 0.99).columns == ["a", "b", "r", "drop"]
+
+
+def test_classes_have_partitions_of_their_own(spark):
+    rows = [(k, i % 37, i) for k, n in (("a", 500), ("b", 3), (None, 20), ("c", 90)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, n int, id int")
+    for pieces in (1, 4):
+        out = ranking.grouped_sort(df, "k", "n", [F.asc("id")], pieces).collect()
+        assert len(out) == len(rows) and all(r["partition"] is not None for r in out)
+        assert len({(r["partition"], r["place"]) for r in out}) == len(rows)
+        for i, k in enumerate([None, "a", "b", "c"]):
+            mine = sorted((r["partition"], r["place"], -r["n"], r["id"]) for r in out if r["k"] == k)
+            assert {m[0] for m in mine} <= set(range(i * pieces, (i + 1) * pieces))
+            assert [m[2:] for m in mine] == sorted(m[2:] for m in mine)
+    assert ranking.grouped_sort(df.limit(0), "k", "n", [F.asc("id")]).count() == 0
+    with pytest.raises(ValueError):
+        ranking.grouped_sort(df, "k", "n", [], limit=2)
+
+
+def test_nan_has_no_rank(spark):
+    df = spark.createDataFrame([(1.0, 1), (float("nan"), 2), (2.0, 3), (None, 4)], "v double, id int")
+    got = {r["v"]: r["n_before"] for r in ranking.cumulative_by_value(df, "v", {"n": F.count(F.lit(1))}).collect()}
+    assert got == {1.0: 0, 2.0: 1}
+
+
+def test_chi_square_selection_of_continuous_columns(spark):
+    rng = np.random.default_rng(7)
+    rows = [(float(v), float(rng.normal()), None if i % 5 == 0 else float(rng.random()), int(v > 0.5)) for i, v in enumerate(rng.random(3000))]
+    df = spark.createDataFrame(rows, "good double, noise double, gappy double, y int")
+    got = learn.select_by_chi2(df, ["noise", "gappy", "good"], "y", 2).collect()
+    assert [(r["place"], r["column"], r["dof"]) for r in got][0] == (1, "good", 9)
+    assert learn.select_by_chi2(df.limit(0), ["good"], "y", 1).count() == 0

@@ -13,21 +13,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .gram import sums_of_products
+
 
 def moments(df: DataFrame, features: Sequence[str], target: str, fold: str | None = None) -> dict[object, np.ndarray]:
-    """Sum of z z' with z = (1, features, target), by fold."""
-    z = [F.lit(1.0), *[F.col(c).cast("double") for c in [*features, target]]]
-    pairs = [(i, j) for i in range(len(z)) for j in range(i, len(z))]
-    whole = df.dropna(subset=[*features, target])
-    sums = [F.sum(z[i] * z[j]).alias(f"m{i}_{j}") for i, j in pairs]
-    rows = (whole.groupBy(fold).agg(*sums) if fold else whole.agg(F.lit(0).alias("_all"), *sums)).collect()
-    out = {}
-    for row in rows:
-        m = np.zeros((len(z), len(z)))
-        for at, (i, j) in enumerate(pairs, 1):
-            m[i, j] = m[j, i] = row[at] or 0.0
-        out[row[0]] = m
-    return out
+    """Sum of z z' with z = (1, features, target), by fold; rows with a null are left out."""
+    z = [F.lit(1.0), *[F.col(c) for c in [*features, target]]]
+    return sums_of_products(df.dropna(subset=[*features, target]), z, None if fold is None else F.col(fold))
 
 
 def loss(m: np.ndarray, w: np.ndarray) -> float:

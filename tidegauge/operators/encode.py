@@ -20,8 +20,8 @@ def fit_target_encoding(train: DataFrame, column: str, label: str, k: float = 10
 
 
 def apply_target_encoding(df: DataFrame, column: str, table: DataFrame, overall: float) -> DataFrame:
-    """A category frequent in training is taken to be frequent here too, and is broadcast."""
-    out = attach(df, table.withColumnRenamed("n", "_rows"), [column], "_rows").drop("_rows")
+    """Null and unseen categories match nothing and get the overall mean."""
+    out = attach(df, table.drop("n"), [column])
     return out.withColumn(column + "_te", F.coalesce(column + "_te", F.lit(overall)))
 
 
@@ -36,7 +36,7 @@ def target_encode(train: DataFrame, other: DataFrame, columns: Sequence[str], la
 
 def frequency_encode(df: DataFrame, column: str) -> DataFrame:
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias(column + "_n"))
-    return attach(df, counts, [column], column + "_n")
+    return attach(df, counts, [column])
 
 
 def capped_history(
@@ -48,6 +48,6 @@ def capped_history(
     """
     hist = df.filter(F.col(split) == "train").groupBy(*keys).agg(
         F.count(F.lit(1)).alias("hist_n"), F.sum(F.col(label).cast("long")).alias("_p"))
-    out = attach(df, hist, keys, "hist_n")
+    out = attach(df, hist, keys)
     rate = ratio(F.col("_p") + F.lit(smoothing / 2), F.col("hist_n") + F.lit(smoothing))
     return out.withColumn("hist_n", F.coalesce("hist_n", F.lit(0))).withColumn("hist_rate", rate).drop("_p")

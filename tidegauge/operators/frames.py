@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .skew import CELL, cut_in_time, prefixed, same_keys
+from ..session import cut_lineage
+from .skew import CELL, ROWS_PER_TASK, cut_in_time, prefixed, same_keys
 
 HALO = "_halo"
 
@@ -163,7 +164,7 @@ def preceding_stats(
 
 def as_of(
     probes: DataFrame, observations: DataFrame, keys: Sequence[str], probe_time: str, obs_time: str,
-    lookback: int, payload: Sequence[str], tie: str, limit: int | None = None,
+    lookback: int, payload: Sequence[str], tie: str, limit: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Latest observation at or before each probe, at most ``lookback`` old.
 
@@ -177,7 +178,8 @@ def as_of(
     o = observations.filter(F.col(obs_time).isNotNull()).select(
         *keys, F.col(obs_time).cast("long").alias("_t"), F.lit(0).alias("_kind"),
         F.col(tie).alias("_tie"), F.struct(*seen).alias("_obs"))
-    cells, cut = cut_in_time(p.unionByName(o, allowMissingColumns=True), keys, "_t", limit)
+    both = cut_lineage(p.unionByName(o, allowMissingColumns=True))  # read by the count and by the cells
+    cells, cut = cut_in_time(both, keys, "_t", limit)
     on = [*keys, CELL]
     run = W.partitionBy(*on).orderBy("_t", "_kind", "_tie").rowsBetween(W.unboundedPreceding, 0)
     found = cells.withColumn("_last", F.last("_obs", ignorenulls=True).over(run)).filter(F.col("_kind") == 1)
@@ -206,7 +208,7 @@ def _handed_on(df: DataFrame, tails: DataFrame, on: Sequence[str], tail: str, na
 
 
 def previous(
-    df: DataFrame, keys: Sequence[str], time: str, tie: str, columns: Mapping[str, str], limit: int | None = None,
+    df: DataFrame, keys: Sequence[str], time: str, tie: str, columns: Mapping[str, str], limit: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``lag`` per entity: output name -> source column, taken from the row just before."""
     cells, cut = cut_in_time(df, keys, time, limit)
@@ -220,7 +222,7 @@ def previous(
 
 
 def running_before(
-    df: DataFrame, keys: Sequence[str], time: str, tie: str, totals: Mapping[str, Column], limit: int | None = None,
+    df: DataFrame, keys: Sequence[str], time: str, tie: str, totals: Mapping[str, Column], limit: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Sum of each expression over all earlier rows of the entity (0 for the first row)."""
     zero = F.lit(0)

@@ -8,8 +8,8 @@ from pyspark.storagelevel import StorageLevel
 
 from ..functions.numeric import ratio
 from ..session import cut_lineage
+from .quantiles import exact_quantiles
 from .sets import all_ids
-from .sketch import accuracy_for
 from .skew import attach
 
 EDGES_PER_SALT = 1_000_000
@@ -79,7 +79,7 @@ def pagerank(edges: DataFrame, alpha: float = 0.15, rounds: int = 10, weighted:
         return nodes.select("id", F.lit(0.0).alias("rank"))
     parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links = (
-        attach(plain, out, ["src"], "_n")
+        attach(plain, out, ["src"])
         .select("src", F.pmod(F.xxhash64("dst"), salts.cast("long")).cast("int").alias("salt"), "dst",
                 (F.col("w") / F.col("_t")).alias("p"))
         .repartition(parts, "src", "salt").persist(StorageLevel.MEMORY_AND_DISK)
@@ -102,5 +102,5 @@ def pagerank(edges: DataFrame, alpha: float = 0.15, rounds: int = 10, weighted:
 
 def hub_flags(ranks: DataFrame, quantile: float = 0.9) -> DataFrame:
     """Nodes at or above the given quantile of rank."""
-    limit = ranks.agg(F.percentile_approx("rank", quantile, accuracy_for(ranks))).first()[0]
+    limit = exact_quantiles(ranks, {"limit": ("rank", quantile)})["limit"]
     return ranks.withColumn("is_hub", (F.col("rank") >= F.lit(limit)).cast("int"))

@@ -10,19 +10,18 @@ from pyspark.sql import functions as F
 
 from .frames import Stat, rolling
 from .joins import aggregate_back
-from .sketch import accuracy_for
+from .quantiles import exact_quantiles
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """Medians of all columns in one pass; a bounded sketch per column, one row to the driver."""
-    accuracy = accuracy_for(df)
-    row = df.agg(*[F.percentile_approx(c, 0.5, accuracy).alias(f"c{i}") for i, c in enumerate(columns)]).first()
-    return {c: row[i] for i, c in enumerate(columns)}
+    """Exact medians of all columns."""
+    found = exact_quantiles(df, {f"c{i}": (c, 0.5) for i, c in enumerate(columns)})
+    return {c: found[f"c{i}"] for i, c in enumerate(columns)}
 
 
 def median_fill(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     known = {c: m for c, m in medians(df, columns).items() if m is not None}
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(m)) for c, m in known.items()}) if known else df
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(m).cast(df.schema[c].dataType)) for c, m in known.items()}) if known else df
 
 
 def three_tier(

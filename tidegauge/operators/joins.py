@@ -13,12 +13,6 @@ from .frames import as_of
 from .skew import attach
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint for a table whose row count has just been checked; otherwise no hint."""
-    within = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if within else df
-
-
 def prefer(df: DataFrame, fallback: DataFrame, on: str, columns: Sequence[str]) -> DataFrame:
     """Left join where ``columns`` keep the left value and take the fallback only when null."""
     other = fallback.select(on, *[F.col(c).alias("_fb_" + c) for c in columns])
@@ -35,11 +29,10 @@ def role(dimension: DataFrame, prefix: str) -> DataFrame:
 def aggregate_back(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
     """Group statistics attached to every row.
 
-    The aggregate combines map-side and hot keys are joined by broadcast, where a window
-    over the keys would buffer a whole group in one task.
+    The aggregate combines map-side and the join splits hot keys, where a window over the
+    keys would buffer a whole group in one task.
     """
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[e.alias(n) for n, e in aggs.items()])
-    return attach(df, stats, keys, "_rows").drop("_rows")
+    return attach(df, df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()]), keys)
 
 
 def ranked_as_of(

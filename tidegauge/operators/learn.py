@@ -20,12 +20,12 @@ from pyspark.ml.feature import (
     RobustScaler,
     StandardScaler,
     StringIndexer,
-    UnivariateFeatureSelector,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -54,17 +54,32 @@ def scaled_groups(robust: Sequence[str] = (), minmax: Sequence[str] = (), standa
     return [*stages, VectorAssembler(inputCols=outputs, outputCol="features", handleInvalid="keep")]
 
 
-def select_by_chi2(df: DataFrame, columns: Sequence[str], label: str, top: int) -> DataFrame:
-    """Min-max scale, then the ``top`` features by chi-square: one row per chosen feature."""
-    stages = [
-        VectorAssembler(inputCols=list(columns), outputCol="_raw", handleInvalid="skip"),
-        MinMaxScaler(inputCol="_raw", outputCol="_scaled"),
-        UnivariateFeatureSelector(featuresCol="_scaled", labelCol=label, outputCol="_chosen")
-        .setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(top),
-    ]
-    model = Pipeline(stages=stages).fit(df.withColumn(label, F.col(label).cast("double")))
-    chosen = sorted(model.stages[-1].selectedFeatures)
-    return df.sparkSession.createDataFrame([(i, columns[i]) for i in chosen], "position int, column string").coalesce(1)
+def select_by_chi2(df: DataFrame, columns: Sequence[str], label: str, top: int, bins: int = 10) -> DataFrame:
+    """The ``top`` features by chi-square against the label: place, column, statistic, degrees of freedom.
+
+    Values are scaled to [0, 1] and cut into equal bins, so continuous columns of any number of values can take part; nulls
+    count as 0. Columns with different degrees of freedom are compared by the normal score of their statistic
+    (Wilson and Hilferty), which orders them as their p-values do. A constant column or label has no
+    statistic and comes last. All columns share one pass for the ranges and one for the counts.
+    """
+    x = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns}
+    row = df.agg(*[e for i, c in enumerate(columns) for e in (F.min(x[c]).alias(f"lo{i}"), F.max(x[c]).alias(f"hi{i}"))]).first()
+    cells = []
+    for i, c in enumerate(columns):
+        low, high = row[f"lo{i}"], row[f"hi{i}"]
+        scaled = F.lit(0.0) if low is None or low == high else (x[c] - F.lit(low)) / F.lit(high - low)
+        cells.append(F.struct(F.lit(c).alias("column"), F.least(F.floor(scaled * bins), F.lit(bins - 1)).cast("int").alias("bin")))
+    counts = df.filter(F.col(label).isNotNull()).select(F.col(label).alias("y"), F.inline(F.array(*cells))).groupBy("column", "bin", "y").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    by_bin = counts.groupBy("column", "bin").agg(F.sum("n").alias("r"))
+    by_label = counts.groupBy("column", "y").agg(F.sum("n").alias("c"))
+    tables = counts.join(by_bin, ["column", "bin"]).join(by_label, ["column", "y"]).groupBy("column").agg(
+        (F.sum("n") * (F.sum(F.col("n") * F.col("n") / (F.col("r") * F.col("c"))) - 1)).alias("chi2"),
+        ((F.count_distinct("bin") - 1) * (F.count_distinct("y") - 1)).alias("dof"))
+    d = F.col("dof").cast("double")
+    score = F.when(d > 0, (F.cbrt(F.col("chi2") / d) - (1 - 2 / (9 * d))) / F.sqrt(2 / (9 * d)))
+    best = tables.withColumn("score", F.round(score, 6)).orderBy(F.desc_nulls_last("score"), "column").limit(top)
+    place = F.row_number().over(W.orderBy(F.desc_nulls_last("score"), "column"))  # top rows
+    return best.select(place.cast("long").alias("place"), "column", F.round("chi2", 6).alias("chi2"), "dof")
 
 
 def pca_cut(df: DataFrame, vector: str, share: float = 0.95) -> tuple[DataFrame, int]:

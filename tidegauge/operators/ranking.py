@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .quantiles import exact_quantiles
 
 
 def top_n(df: DataFrame, measure: str, n: int, tie: str) -> DataFrame:
@@ -29,9 +29,27 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
     return df.withColumn("place", place).filter(F.col("place") <= k).withColumn("place", F.col("place").cast("long"))
 
 
-def grouped_sort(df: DataFrame, partitions: int, key: str, order: Sequence[Column]) -> DataFrame:
-    """Send each class to its own partition and sort inside it."""
-    return df.repartition(partitions, key).sortWithinPartitions(key, *order)
+def grouped_sort(df: DataFrame, key: str, measure: str, tie: Sequence[Column], pieces: int = 1, limit: int = 10_000) -> DataFrame:
+    """Send each class to partitions of its own and sort inside them by falling ``measure``, then ``tie``.
+
+    Classes are numbered in their order, nulls first; class i fills the partitions i * pieces to (i + 1) * pieces - 1.
+    With several ``pieces`` a class is cut at quantiles of its measure, so that its partitions follow one another.
+    The rows are written once, so that ``partition`` and ``place`` (from 0) say where they lie. At most ``limit`` classes.
+    """
+    found = df.select(key).distinct().orderBy(F.asc_nulls_first(key)).limit(limit + 1).collect()
+    if len(found) > limit:
+        raise ValueError(f"{key} has more than {limit} values")
+    at = F.lit(0)
+    cuts = exact_quantiles(df, {f"{i}_{p}": (F.when(F.col(key).eqNullSafe(F.lit(r[0])), F.col(measure)), p / pieces) for i, r in enumerate(found) for p in range(1, pieces)})
+    for i, r in enumerate(found):
+        step = F.lit(i * pieces)
+        for p in range(1, pieces):
+            step = step + F.coalesce(F.col(measure) <= F.lit(cuts[f"{i}_{p}"]), F.lit(False)).cast("int")
+        at = F.when(F.col(key).eqNullSafe(F.lit(r[0])), step).otherwise(at)
+    n = max(1, len(found) * pieces)
+    laid = df.withColumn("_at", at.cast("int")).repartitionById(n, F.col("_at")).sortWithinPartitions("_at", F.desc(measure), *tie)
+    laid = cut_lineage(laid.select(*df.columns, F.col("_at").cast("long").alias("partition"), F.spark_partition_id().alias("_real"), F.monotonically_increasing_id().alias("_mid")))
+    return laid.select(*df.columns, F.when(F.col("_real") == F.col("partition"), F.col("partition")).alias("partition"), (F.col("_mid") % F.lit(2**33)).alias("place"))
 
 
 def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank", partitions: int | None = None) -> DataFrame:
@@ -64,17 +82,15 @@ def cumulative_by_value(df: DataFrame, value: str, sums: Mapping[str, Column], b
     sketched quantiles; running sums go bucket by bucket and the totals of earlier buckets
     (a table of ``buckets`` rows) are added. The cut points affect balance, not the result.
     Adds ``<name>`` and ``<name>_before``. There are as many buckets as shuffle partitions.
+    Rows whose value is null or NaN take no part.
     """
+    number = F.col(value).cast("double")
+    df = df.filter(number.isNotNull() & ~F.isnan(number))
     buckets = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    grouped = df.filter(F.col(value).isNotNull()).groupBy(value).agg(*[e.alias(n) for n, e in sums.items()])
-    cuts = df.agg(F.percentile_approx(F.col(value).cast("double"), [i / buckets for i in range(1, buckets)], 1000)).first()[0]
-    splits = [float("-inf"), *sorted(set(cuts or [])), float("inf")]
-    if len(splits) < 3:
-        splits = [float("-inf"), 0.0, float("inf")]
-    numbered = (
-        Bucketizer(splits=splits, inputCol="_dbl", outputCol="_bucket")
-        .transform(grouped.withColumn("_dbl", F.col(value).cast("double"))).drop("_dbl")
-    )
+    grouped = df.groupBy(value).agg(*[e.alias(n) for n, e in sums.items()])
+    cuts = df.agg(F.percentile_approx(number, [i / buckets for i in range(1, buckets)], 1000)).first()[0]
+    edges = F.array(*[F.lit(float(c)) for c in sorted(set(cuts or [0.0]))])
+    numbered = grouped.withColumn("_bucket", F.size(F.filter(edges, lambda e: e <= number)))
     totals = numbered.groupBy("_bucket").agg(*[F.sum(n).alias("_t_" + n) for n in sums])
     earlier = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select("_bucket", *[F.coalesce(F.sum("_t_" + n).over(earlier), F.lit(0)).alias("_o_" + n) for n in sums])

@@ -23,7 +23,7 @@ def _ordered_sets(sets: DataFrame) -> DataFrame:
     rows = rows_of(sets, F.col("words"), "word", ["rep"])
     freq = rows.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     pair = F.struct(F.col("df"), F.col("word"))
-    grouped = attach(rows, freq, ["word"], "df").groupBy("rep").agg(F.sort_array(F.collect_list(pair)).alias("_p"))
+    grouped = attach(rows, freq, ["word"]).groupBy("rep").agg(F.sort_array(F.collect_list(pair)).alias("_p"))
     return grouped.select("rep", F.col("_p.word").alias("words"), F.size("_p").alias("n"))
 
 

@@ -1,8 +1,7 @@
 """Splitting hot keys.
 
-A key with more than ``limit`` rows is hot. A table of ``N`` rows has fewer than
-``N / limit`` hot keys, so lists of hot keys, and of the pieces they are cut into, have a
-size bound that is a tiny fraction of the input and may be broadcast.
+A key with more rows than a task should hold is hot. Joins with per-key tables leave the splitting to adaptive
+execution; entities that are walked in time order are cut into cells.
 """
 
 from __future__ import annotations
@@ -14,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .sketch import is_small
 
 ROWS_PER_TASK = 2_000_000
+MAX_CUT = 100_000
 CELL = "_cell"
 
 
@@ -29,44 +28,33 @@ def prefixed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumnsRenamed({k: "_r_" + k for k in keys})
 
 
-def cut_in_time(df: DataFrame, keys: Sequence[str], time: str, limit: int | None = None) -> tuple[DataFrame, bool]:
-    """Add a time cell: 0 for ordinary keys, as many cells as needed for hot ones.
+def cut_in_time(df: DataFrame, keys: Sequence[str], time: str, limit: int = ROWS_PER_TASK) -> tuple[DataFrame, bool]:
+    """Add a time cell: 0 for ordinary keys, as many cells as needed for keys above ``limit`` rows.
 
-    Returns the table and whether any key was cut. One narrow counting pass finds the hot
-    keys; it is left out when the whole input is small. ``limit`` forces a row limit.
+    Returns the table and whether any key was cut; a cut table is written once, as its users read it several
+    times. A narrow, map-side combined count finds the hot keys. The ``MAX_CUT`` largest are cut,
+    which bounds the broadcast; with N rows every other key has fewer than N / MAX_CUT.
     """
     whole = df.withColumn(CELL, F.lit(0).cast("long"))
-    if limit is None and is_small(df):
-        return whole, False
-    limit = limit or ROWS_PER_TASK
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(time).alias("_lo"), F.max(time).alias("_hi"))
     pieces = F.ceil(F.col("_n") / F.lit(limit))
     width = F.greatest(F.ceil((F.col("_hi") - F.col("_lo") + 1) / pieces), F.lit(1))
-    hot = cut_lineage(per_key.filter(F.col("_n") > limit).select(*keys, "_lo", width.alias("_width")))
+    large = per_key.filter(F.col("_n") > limit).orderBy(F.desc("_n"), *keys).limit(MAX_CUT)
+    hot = cut_lineage(large.select(*keys, "_lo", width.alias("_width")))
     if hot.isEmpty():
         return whole, False
     right = prefixed(hot, keys)
     out = df.join(F.broadcast(right), same_keys(df, right, keys), "left")
     cell = F.coalesce(F.floor((F.col(time) - F.col("_lo")) / F.col("_width")).cast("long"), F.lit(0))
-    return out.select(*df.columns, cell.alias(CELL)), True
+    return cut_lineage(out.select(*df.columns, cell.alias(CELL))), True
 
 
-def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], count: str, limit: int | None = None) -> DataFrame:
-    """Left join of per-key statistics; ``count`` is their column with the rows of the key.
+def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of a table with one row per key.
 
-    A hot key would send all its rows to one task. Its statistics are broadcast instead,
-    and its rows carry a spread value in the shuffle join, where they match nothing.
+    The table is written first, so both sides come from shuffles of their own and adaptive execution can split
+    whatever partition of ``df`` is too large: of a hot key, of null keys, of keys the table doesn't know. An aggregate
+    joined directly would have to share the partitioning of ``df``, and nothing could be split.
     """
-    values = [c for c in stats.columns if c not in keys]
-    right = prefixed(stats, keys)
-    drop = ["_r_" + k for k in keys]
-    if limit is None and is_small(df):
-        return df.join(right, same_keys(df, right, keys), "left").drop(*drop)
-    limit = limit or ROWS_PER_TASK
-    hot = right.filter(F.col(count) > limit).withColumnsRenamed({c: "_h_" + c for c in values}).withColumn("_hot", F.lit(1))
-    out = df.join(F.broadcast(hot), same_keys(df, hot, keys), "left").drop(*drop)
-    spread = F.when(F.col("_hot") == 1, F.pmod(F.xxhash64(*df.columns), F.lit(10_000)) + 1).otherwise(F.lit(0))
-    out = out.withColumn("_salt", spread)
-    cold = right.filter(F.col(count) <= limit).withColumn("_r__salt", F.lit(0).cast("long"))
-    out = out.join(cold, same_keys(out, cold, [*keys, "_salt"]), "left")
-    return out.select(*df.columns, *[F.coalesce(F.col("_h_" + c), F.col(c)).alias(c) for c in values])
+    right = prefixed(cut_lineage(stats), keys)
+    return df.join(right, same_keys(df, right, keys), "left").select(*df.columns, *[c for c in stats.columns if c not in keys])

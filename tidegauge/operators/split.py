@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import ladder
 from ..functions.text import hash_unit
+from .skew import attach
 
 
 def bernoulli(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
@@ -78,11 +79,11 @@ def split_ranges(df: DataFrame, when: str, split: str = "split") -> DataFrame:
 
 
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Balanced weights n / (classes * n_class) as a column; a label has few classes."""
-    counts = {r[0]: r[1] for r in df.filter(F.col(label).isNotNull()).groupBy(label).count().collect()}
-    total = sum(counts.values())
-    steps = [(F.col(label) == v, total / (len(counts) * n)) for v, n in sorted(counts.items())]
-    return df.withColumn(name, ladder(steps, None))
+    """Balanced weights n / (classes * n_class) as a column, for any number of classes; null labels have none."""
+    counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    whole = counts.agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k")).first()  # one row
+    weights = counts.select(label, (F.lit(float(whole["n"] or 0)) / (F.lit(whole["k"]) * F.col("_n"))).alias(name))
+    return attach(df, weights, [label])
 
 
 def draw(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:

@@ -13,7 +13,8 @@ from ..functions.numeric import correlation, ladder, ratio
 from .clean import columns_of_type, is_missing, to_long
 from .joins import aggregate_back
 from .ranking import cumulative_by_value
-from .sketch import accuracy_for
+from .gram import correlations
+from .quantiles import exact_quantiles
 
 
 
@@ -102,38 +103,30 @@ def approx_distinct_counts(df: DataFrame, columns: Sequence[str], rsd: float = 0
     return to_long(df, columns, {"n_distinct": lambda c: F.approx_count_distinct(c, rsd)})
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int | None = None) -> DataFrame:
-    """Sketched quantiles, one row per column and probability."""
-    accuracy = accuracy or accuracy_for(df)
-    wide = df.agg(*[F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(f"q{i}")
-                    for i, c in enumerate(columns)])
-    rows = [
-        F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob"), F.col(f"q{i}").getItem(j).alias("value"))
-        for i, c in enumerate(columns) for j, p in enumerate(probs)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles, one row per column and probability."""
+    wanted = {f"q{i}_{j}": (c, p) for i, c in enumerate(columns) for j, p in enumerate(probs)}
+    found = exact_quantiles(df, wanted)
+    rows = [(c, float(p), found[n]) for n, (c, p) in wanted.items()]
+    return df.sparkSession.createDataFrame(rows, "column string, prob double, value double")
 
 
-def quantile_row(df: DataFrame, wanted: Mapping[str, tuple[str, float]], accuracy: int | None = None) -> dict[str, float]:
-    """Named thresholds: name -> (column, probability), one pass, one row to the driver."""
-    accuracy = accuracy or accuracy_for(df)
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), p, accuracy).alias(n)
-                   for n, (c, p) in wanted.items()]).first()
-    return row.asDict()
+def quantile_row(df: DataFrame, wanted: Mapping[str, tuple[str, float]]) -> dict[str, float]:
+    """Named thresholds: name -> (column, probability)."""
+    return exact_quantiles(df, wanted)
 
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, spread, extremes and quartiles per column; one sketch serves all quartiles."""
-    accuracy = accuracy_for(df)
+    """Count, mean, spread, extremes and exact quartiles per column."""
+    found = exact_quantiles(df, {f"{q}_{i}": (c, p) for i, c in enumerate(columns) for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))})
     long = to_long(df, columns, {
         "n": F.count,
         "mean": lambda c: F.round(F.avg(c), 6),
         "stddev": lambda c: F.round(F.stddev_samp(c), 6),
         "min": lambda c: F.min(c.cast("double")),
-        "_q": lambda c: F.percentile_approx(c.cast("double"), [0.25, 0.5, 0.75], accuracy),
         "max": lambda c: F.max(c.cast("double")),
     })
-    return long.select("column", "n", "mean", "stddev", "min", "max", *[F.col("_q")[i].alias(q) for i, q in enumerate(("q25", "q50", "q75"))])
+    return long.select("column", "n", "mean", "stddev", "min", "max", *[ladder([(F.col("column") == c, found[f"{q}_{i}"]) for i, c in enumerate(columns)], None).cast("double").alias(q) for q in ("q25", "q50", "q75")])
 
 
 # ---- missing values --------------------------------------------------------------------
@@ -233,14 +226,15 @@ def target_correlation(df: DataFrame, columns: Sequence[str], target: Column) ->
     return to_long(df, columns, {"r": lambda c: F.round(correlation(c, y), 9)})
 
 
+def _rounded(value: float, digits: int = 9) -> float | None:
+    return None if value != value else round(float(value), digits)
+
+
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson r for every pair i < j, all from one aggregate."""
-    pairs = list(combinations(columns, 2))
-    wide = df.agg(*[correlation(F.col(a), F.col(b)).alias(f"r{i}")
-                    for i, (a, b) in enumerate(pairs)])
-    rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.round(f"r{i}", 9).alias("r"))
-            for i, (a, b) in enumerate(pairs)]
-    return wide.select(F.inline(F.array(*rows)))
+    """Pearson r for every pair i < j, from one pass over the rows whatever the width."""
+    r = correlations(df, [F.col(c) for c in columns])
+    rows = [(a, b, _rounded(r[i, j])) for (i, a), (j, b) in combinations(enumerate(columns), 2)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
 def average_ranks(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -270,21 +264,11 @@ def rank_correlation(df: DataFrame, columns: Sequence[str], target: str) -> Data
 
 def prune_pairs(df: DataFrame, columns: Sequence[str], target: Column, limit: float) -> DataFrame:
     """Pairs with |r| above ``limit`` and which of the two to drop: the one farther from the target."""
-    y = target.cast("double")
-    pairs = list(combinations(columns, 2))
-    place = {c: i for i, c in enumerate(columns)}
-    wide = df.agg(
-        *[correlation(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.abs(correlation(F.col(c), y)).alias(f"t{i}") for c, i in place.items()],
-    )
-    rows = [
-        F.struct(
-            F.lit(a).alias("a"), F.lit(b).alias("b"), F.round(f"r{i}", 9).alias("r"),
-            F.when(F.col(f"t{place[a]}") >= F.col(f"t{place[b]}"), F.lit(b)).otherwise(F.lit(a)).alias("drop"),
-        )
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return wide.select(F.inline(F.array(*rows))).filter(F.abs("r") > limit)
+    r = correlations(df, [*[F.col(c) for c in columns], target])
+    near = abs(r[:, -1])
+    rows = [(a, b, _rounded(r[i, j]), b if near[i] >= near[j] else a)
+            for (i, a), (j, b) in combinations(enumerate(columns), 2) if abs(r[i, j]) > limit]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double, drop string")
 
 
 def anova(df: DataFrame, categories: Sequence[str], target: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
 from ..functions.text import tokens
+from ..session import cut_lineage
 from .ranking import top_per_group
 from .skew import attach
 
@@ -129,15 +130,19 @@ def postings(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     sets = sets.withColumn("n_words", F.size("_w").cast("long"))
     rows = rows_of(sets, F.col("_w"), "word", [doc_id, "n_words"])
     frequency = rows.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq"))
-    return attach(rows, frequency, ["word"], "doc_freq")
+    return attach(rows, frequency, ["word"])
 
 
 def train_naive_bayes(df: DataFrame, text: str, label: str, smoothing: float) -> DataFrame:
-    """Counts and conditional probabilities of every word in classes 0 and 1, priors attached."""
+    """Counts and conditional probabilities of every word in classes 0 and 1, priors attached.
+
+    The counts are written once; totals, priors and scoring read that table, not the texts again.
+    """
     one = F.col(label) == 1
     docs = df.filter(F.col(label).isin(0, 1))
     counts = word_rows(docs, text, [label]).groupBy("word").agg(
         F.count(F.when(~one, 1)).alias("n0"), F.count(F.when(one, 1)).alias("n1"))
+    counts = cut_lineage(counts)
     sizes = counts.agg(F.sum("n0").alias("t0"), F.sum("n1").alias("t1"), F.count(F.lit(1)).alias("v")).first()
     prior = docs.agg(F.avg(one.cast("double"))).first()[0]
     a, v = smoothing, sizes["v"] or 0
@@ -153,7 +158,7 @@ def score_naive_bayes(df: DataFrame, model: DataFrame, doc_id: str, text: str, l
     """Log score of both classes and the better class (ties go to 1); unknown words are ignored."""
     words = word_rows(df, text, [doc_id]).groupBy(doc_id, "word").agg(F.count(F.lit(1)).alias("tf"))
     table = model.select("word", (F.col("n0") + F.col("n1")).alias("_n"), F.log("p0").alias("l0"), F.log("p1").alias("l1"))
-    logs = attach(words, table, ["word"], "_n").filter(F.col("_n").isNotNull())
+    logs = attach(words, table, ["word"]).filter(F.col("_n").isNotNull())
     sums = logs.groupBy(doc_id).agg(F.sum(F.col("tf") * F.col("l0")).alias("s0"), F.sum(F.col("tf") * F.col("l1")).alias("s1"))
     prior = model.select("prior0", "prior1").limit(1).first()
     out = df.select(doc_id, label).join(sums, doc_id, "left")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.time import epoch_day, epoch_micros
 from ..functions.numeric import haversine_km
 from ..operators import dedup, frames, joins, sets, stats
+from ..operators.skew import attach
 from .registry import Tables, query
 
 HOUR = 3_600_000_000  # microseconds
@@ -173,13 +174,13 @@ def j7_aggregate_back(t: Tables) -> DataFrame:
 
 @query("j8_small_aggregate_join", """
 SELECT o_orderkey, o_orderpriority, month, mean_price
-FROM (SELECT *, month(o_orderdate) AS month FROM orders)
-JOIN (SELECT o_orderpriority, month(o_orderdate) AS month, round(avg(o_totalprice), 7) AS mean_price
-      FROM orders GROUP BY ALL) USING (o_orderpriority, month)""")
+FROM (SELECT *, month(o_orderdate) AS month FROM orders) o
+LEFT JOIN (SELECT o_orderpriority AS p, month(o_orderdate) AS m, round(avg(o_totalprice), 7) AS mean_price
+           FROM orders GROUP BY ALL) ON p IS NOT DISTINCT FROM o_orderpriority AND m IS NOT DISTINCT FROM month""")
 def j8_small_aggregate_join(t: Tables) -> DataFrame:
     rows = t.orders.select("o_orderkey", "o_orderpriority", F.month("o_orderdate").cast("long").alias("month"), "o_totalprice")
     small = rows.groupBy("o_orderpriority", "month").agg(F.round(F.avg("o_totalprice"), 7).alias("mean_price"))
-    return rows.drop("o_totalprice").join(joins.bounded_broadcast(small, 10_000), ["o_orderpriority", "month"])
+    return attach(rows.drop("o_totalprice"), small, ["o_orderpriority", "month"])
 
 
 # Fixed dates marked in the calendar of the example.

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import graph, ranking
+from ..operators.skew import attach
+from ..session import cut_lineage
 from .enrichment import route_rows
 from .registry import Tables, query
 
@@ -80,7 +82,7 @@ def j12_rank_edge_step(t: Tables) -> DataFrame:
     """One message step: rank joined to links, contributions added by destination."""
     e = edges(t)
     ranks = graph.init_graph(e).select(F.col("id").alias("src"), "rank", "out_degree")
-    sent = ranks.join(e, "src").select("dst", (F.col("rank") * F.col("mult") / F.col("out_degree")).alias("part"))
+    sent = attach(e, ranks, ["src"]).select("dst", (F.col("rank") * F.col("mult") / F.col("out_degree")).alias("part"))
     return sent.groupBy(F.col("dst").alias("id")).agg(F.round(F.sum("part"), 12).alias("received"))
 
 
@@ -97,11 +99,17 @@ def routes(t: Tables) -> DataFrame:
     return graph.weighted_edges(route_rows(t), "s_nationkey", "c_nationkey")
 
 
-@query("g7_rank_on_facts", f"WITH {rank_sql(ROUTES_SQL, 5)} SELECT s_suppkey, s_nationkey, round(rank, 12) AS rank FROM supplier LEFT JOIN r5 ON id = s_nationkey")
+@query("g7_rank_on_facts", f"""WITH {rank_sql(ROUTES_SQL, 5)}
+SELECT l_orderkey, l_linenumber, s_nationkey, c_nationkey, round(a.rank, 12) AS source_rank, round(b.rank, 12) AS target_rank
+FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+LEFT JOIN r5 a ON a.id = s_nationkey LEFT JOIN r5 b ON b.id = c_nationkey""")
 def g7_rank_on_facts(t: Tables) -> DataFrame:
-    """Rank of a nation in the trade graph, attached to its suppliers."""
-    ranks = graph.pagerank(routes(t), 0.15, 5).select(F.col("id").alias("s_nationkey"), F.round("rank", 12).alias("rank"))
-    return t.supplier.select("s_suppkey", "s_nationkey").join(ranks, "s_nationkey", "left")
+    """Ranks of both ends of a route in the trade graph, attached to every line."""
+    ranks = cut_lineage(graph.pagerank(routes(t), 0.15, 5).select("id", F.round("rank", 12).alias("rank")))
+    out = route_rows(t).select("l_orderkey", "l_linenumber", "s_nationkey", "c_nationkey")
+    for key, name in (("s_nationkey", "source_rank"), ("c_nationkey", "target_rank")):
+        out = attach(out, ranks.withColumnsRenamed({"id": key, "rank": name}), [key])
+    return out
 
 
 @query("g8_hub_flag", f"""WITH {rank_sql(ROUTES_SQL, 5)}

@@ -10,6 +10,7 @@ from ..functions.numeric import ratio
 from ..functions.time import epoch_day, epoch_micros, epoch_seconds, gap_class
 from ..operators import encode, frames, joins, ranking, stats
 from ..operators.frames import Stat
+from ..operators.skew import attach
 from .enrichment import TRIPS_SQL, trips
 from .registry import Tables, query
 
@@ -161,13 +162,14 @@ def w13_partition_stats(t: Tables) -> DataFrame:
 @query("w14_prior_day_rate", f"""
 WITH {E_SQL}, d AS (SELECT user_id, CAST(ts AS DATE) AS day, avg(late) AS rate FROM e GROUP BY ALL),
      p AS (SELECT user_id, day, lag(rate) OVER (PARTITION BY user_id ORDER BY day) AS prior FROM d)
-SELECT event_id, round(prior, 9) AS prior_day_rate FROM e JOIN p ON p.user_id = e.user_id AND p.day = CAST(e.ts AS DATE)""")
+SELECT event_id, round(prior, 9) AS prior_day_rate
+FROM e LEFT JOIN p ON p.user_id IS NOT DISTINCT FROM e.user_id AND p.day IS NOT DISTINCT FROM CAST(e.ts AS DATE)""")
 def w14_prior_day_rate(t: Tables) -> DataFrame:
     """Rate of the entity's previous active day: aggregate per day, step over days, join back."""
     rows = timed(t).withColumn("day", F.to_date("ts"))
     daily = rows.groupBy("user_id", "day").agg(F.avg("late").alias("rate"))
     prior = daily.withColumn("prior", F.lag("rate").over(W.partitionBy("user_id").orderBy("day"))).drop("rate")
-    return rows.join(prior, ["user_id", "day"]).select("event_id", F.round("prior", 9).alias("prior_day_rate"))
+    return attach(rows, prior, ["user_id", "day"]).select("event_id", F.round("prior", 9).alias("prior_day_rate"))
 
 
 TODAY = "(PARTITION BY user_id, CAST(ts AS DATE) ORDER BY us, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"

@@ -69,10 +69,11 @@ def t4_secondary_sort(t: Tables) -> DataFrame:
     return text.word_count_by_class(labelled(t), "text", "quality").orderBy("quality", F.desc("n"), "word")
 
 
-@query("t5_sort_inside_class", f"WITH {CLASSED_SQL} SELECT word, quality, n FROM classed")
+@query("t5_sort_inside_class", f"""WITH {CLASSED_SQL} SELECT word, quality, n, dense_rank() OVER (ORDER BY quality) - 1 AS partition,
+       row_number() OVER (PARTITION BY quality ORDER BY n DESC, word) - 1 AS place FROM classed""")
 def t5_sort_inside_class(t: Tables) -> DataFrame:
     counts = text.word_count_by_class(labelled(t), "text", "quality")
-    return ranking.grouped_sort(counts, 2, "quality", [F.desc("n"), F.asc("word")])
+    return ranking.grouped_sort(counts, "quality", "n", [F.asc("word")])
 
 
 @query("t7_global_rank", f"WITH {COUNTS_SQL} SELECT word, n, row_number() OVER (ORDER BY n DESC, word) - 1 AS rank FROM counts")

@@ -87,7 +87,9 @@ def balanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def export_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Small result tables as one CSV or JSON file."""
+def export_report(df: DataFrame, path: str, fmt: str = "csv", max_rows: int = 1_000_000) -> None:
+    """Small result tables as one CSV or JSON file; a table above ``max_rows`` is refused, as one task writes it."""
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"a report has {max_rows} rows at most; use write_table")
     writer = df.coalesce(1).write.mode("overwrite")
     writer.option("header", True).csv(path) if fmt == "csv" else writer.json(path)
