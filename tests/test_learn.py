@@ -79,12 +79,21 @@ def test_pca_keeps_enough_variance(spark):
     assert kept == 1 and len(out.first().components) == 1
 
 
-def test_early_stop(monkeypatch):
-    scores = iter([0.5, 0.6, 0.6005, 0.6, 0.9])
-    monkeypatch.setattr(learn, "fit", lambda *a: type("M", (), {"transform": lambda s, v: v})())
-    monkeypatch.setattr(learn, "area", lambda *a: next(scores))
-    tried = learn.early_stop(None, None, [1, 2, 3, 4, 5], lambda n: [], "y")
-    assert tried == [(1, 0.5, False), (2, 0.6, True), (3, 0.6005, False), (4, 0.6, False)]
+def test_stopping_point():
+    assert learn.stopping_point([0.5, 0.6, 0.6005, 0.6, 0.9], 2, 0.001) == (4, 1)
+    assert learn.stopping_point([0.5, 0.4], 2, 0.001) == (2, 0)
+
+
+def test_first_trees_are_the_smaller_model(data):
+    prep = learn.VectorAssembler(inputCols=["a", "b"], outputCol="features")
+    large = learn.fit(data, [prep, learn.boosted("label", rounds=6)])
+    small = learn.fit(data, [prep, learn.boosted("label", rounds=3)])
+    got = learn.margins(large.stages[-1], prep.transform(data), [3, 6])
+    for model, column in ((small, "_m3"), (large, "_m6")):
+        want = {r.id: r.m for r in model.transform(data).select("id", (learn.vector_to_array("rawPrediction")[1]).alias("m")).collect()}
+        assert {r["id"]: r[column] for r in got.select("id", column).collect()} == pytest.approx(want)
+    tried = learn.early_stop(data, data, [2, 4, 6], [prep, learn.boosted("label", rounds=6)], "label")
+    assert [t[0] for t in tried][:1] == [2] and sum(t[3] for t in tried) == 1 and all(0.5 < t[1] <= 1 and 0.5 < t[2] <= 1 for t in tried)
 
 
 def test_ensemble_is_the_mean(data):

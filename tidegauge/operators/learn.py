@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def one_hot(columns: Sequence[str]) -> list:
     """Index then one-hot; values not seen in training get their own slot."""
@@ -148,25 +150,44 @@ def grid_search(
     return sorted(results, key=lambda r: -r[2])
 
 
+def margins(model, df: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """Margin ``_m<n>`` of the first ``n`` trees of a boosted model, for each of ``sizes``."""
+    total, out = F.lit(0.0), df
+    for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights), 1):
+        out = tree.setPredictionCol(f"_t{i}").transform(out)
+        total = total + F.lit(float(weight)) * F.col(f"_t{i}")
+        if i in sizes:
+            out = out.withColumn(f"_m{i}", total)
+    return out.drop(*[f"_t{i}" for i in range(1, len(model.trees) + 1)])
+
+
+def stopping_point(scores: Sequence[float], patience: int, min_gain: float) -> tuple[int, int]:
+    """How many scores are looked at, and which of them is chosen: the last that brought more than ``min_gain``."""
+    chosen = 0
+    for i, score in enumerate(scores):
+        if score > scores[chosen] + min_gain:
+            chosen = i
+        if i - chosen >= patience:
+            return i + 1, chosen
+    return len(scores), chosen
+
+
 def early_stop(
-    train: DataFrame, valid: DataFrame, sizes: Sequence[int], build: Callable[[int], Sequence[object]], label: str,
-    patience: int = 2, min_gain: float = 0.001, metric: str = "areaUnderPR",
-) -> list[tuple[int, float, bool]]:
-    """Grow the model until ``patience`` sizes in a row bring less than ``min_gain``.
+    train: DataFrame, valid: DataFrame, sizes: Sequence[int], stages: Sequence[object], label: str,
+    patience: int = 2, min_gain: float = 0.001,
+) -> list[tuple[int, float, float, bool]]:
+    """One boosted model of the largest size; its first trees are the smaller models.
 
-    Returns (size, score, is_best) for the sizes that were tried.
+    Stops where ``patience`` sizes in a row bring less than ``min_gain`` of area under the precision-recall curve.
+    Returns (size, AUC-PR, AUC-ROC, is_best) up to there; the last of ``stages`` is a boosted classifier.
     """
-    best, best_size, dull, tried = float("-inf"), None, 0, []
-    for size in sizes:
-        score = area(fit(train, build(size)).transform(valid), label, metric)
-        tried.append((size, score))
-        if score > best + min_gain:
-            best, best_size, dull = score, size, 0
-        else:
-            dull += 1
-        if dull >= patience:
-            break
-    return [(s, v, s == best_size) for s, v in tried]
+    model = fit(train, stages)
+    scored = margins(model.stages[-1], PipelineModel(model.stages[:-1]).transform(valid), sizes)
+    scored = cut_lineage(scored.select(F.col(label).cast("double").alias(label), *[f"_m{n}" for n in sizes]))
+    areas = [[BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=f"_m{n}", metricName=m).evaluate(scored)
+              for m in ("areaUnderPR", "areaUnderROC")] for n in sizes]
+    tried, chosen = stopping_point([pr for pr, _ in areas], patience, min_gain)
+    return [(n, pr, roc, i == chosen) for i, (n, (pr, roc)) in enumerate(zip(sizes, areas[:tried]))]
 
 
 def two_stage(

@@ -131,9 +131,9 @@ def l16_feature_importance(t: Tables) -> DataFrame:
 @query("l15_early_stopping")
 def l15_early_stopping(t: Tables) -> DataFrame:
     train, valid = (d.persist() for d in documents(t))
-    tried = learn.early_stop(train, valid, [2, 4, 6, 8], lambda n: [*assembled(), learn.boosted("label", rounds=n)], "label")
+    tried = learn.early_stop(train, valid, [2, 4, 6, 8], [*assembled(), learn.boosted("label", rounds=8)], "label")
     train.unpersist(), valid.unpersist()
-    return t.spark.createDataFrame(tried, "rounds int, auc_pr double, is_best boolean").coalesce(1)
+    return t.spark.createDataFrame(tried, "rounds int, auc_pr double, auc_roc double, is_best boolean").coalesce(1)
 
 
 @query("l18_mean_ensemble")
