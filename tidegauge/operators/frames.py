@@ -13,7 +13,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -62,6 +62,30 @@ def _partials(stats: Mapping[str, Stat]) -> list[Column]:
     return out
 
 
+def _extreme(df: DataFrame, keys: Sequence[str], time: str, start: int, end: int, name: str, best: Callable) -> tuple[DataFrame, Column]:
+    """Smallest or largest value of ``[t - start, t - end]``, in linear work.
+
+    Time is cut into blocks as long as the frame, so a frame is one whole block or the end of one and the beginning of the next.
+    The best value from each row to its block's end, and from its block's beginning to each row, answer both parts.
+    """
+    width = start - end + 1
+    block, low, high = (f"_{x}_{name}" for x in ("b", "up", "down"))
+
+    def block_of(at: Column) -> Column:
+        return F.floor(at / F.lit(width))
+
+    in_block = W.partitionBy(*keys, CELL, block)
+    df = df.withColumn(block, block_of(F.col(time)))
+    df = df.withColumns({
+        low: best("_s_" + name).over(in_block.orderBy(time).rowsBetween(W.unboundedPreceding, 0)),
+        high: best("_s_" + name).over(in_block.orderBy(F.desc(time)).rowsBetween(W.unboundedPreceding, 0))})
+    in_cell = W.partitionBy(*keys, CELL)
+    last = F.last(F.struct(block, low)).over(in_cell.orderBy(time).rangeBetween(W.unboundedPreceding, -end))
+    first = F.last(F.struct(block, high)).over(in_cell.orderBy(F.desc(time)).rangeBetween(W.unboundedPreceding, start))
+    parts = [F.when(last[block] == block_of(F.col(time) - end), last[low]), F.when(first[block] == block_of(F.col(time) - start), first[high])]
+    return df, (F.least if best is F.min else F.greatest)(*parts)
+
+
 def _framed(instants: DataFrame, keys: Sequence[str], time: str, start: int, end: int,
             stats: Mapping[str, Stat], cell: int | None) -> DataFrame:
     """Measures of every instant over ``[t - start, t - end]``."""
@@ -81,8 +105,7 @@ def _framed(instants: DataFrame, keys: Sequence[str], time: str, start: int, end
     measures = {}
     for name, stat in stats.items():
         if stat.kind in ("min", "max"):
-            frame = ordered.rangeBetween(-start, -end)
-            measures[name] = (F.min if stat.kind == "min" else F.max)("_s_" + name).over(frame)
+            out, measures[name] = _extreme(out, keys, time, start, end, name, F.min if stat.kind == "min" else F.max)
             continue
         n = grown(F.col("_n_" + name))
         s = F.col("_s_" + name)

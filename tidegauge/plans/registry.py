@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import shared_folder
 from ..sources.tables import read_table
 
 NAMES = (
@@ -30,13 +30,8 @@ class Tables:
         return read_table(self.spark, f"{self.folder}/{name}.parquet")
 
     def scratch(self, name: str) -> str:
-        """A new folder for files a query writes and reads back, beside the checkpoints if those are shared."""
-        shared = self.spark.sparkContext.getCheckpointDir() or self.spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        if shared:
-            return f"{shared.rstrip('/')}/scratch-{uuid.uuid4().hex}/{name}"
-        if not self.spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        return f"{tempfile.mkdtemp(prefix='tidegauge-')}/{name}"
+        """A new folder for files a query writes and reads back, beside the checkpoints."""
+        return f"{shared_folder(self.spark)}/scratch-{uuid.uuid4().hex}/{name}"
 
 
 @dataclass(frozen=True)

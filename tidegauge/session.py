@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -30,16 +32,20 @@ def build_session(master: str, app: str = "tidegauge", shuffle_partitions: int =
     return spark
 
 
-def _checkpoint_dir(spark: SparkSession) -> None:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which driver and executors share.
+
+    Only where all of Spark is one process, as in tests, is a folder of its own made if none is set.
+    """
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    shared = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="tidegauge-ckpt-")
-    sc.setCheckpointDir(shared)
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not re.match(r"local(\[|$)", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+            folder = tempfile.mkdtemp(prefix="tidegauge-")
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -48,5 +54,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     The copy survives the loss of executors, and a plan that refers to it twice reads
     the same rows both times even when the rows came out of a sampled range partitioning.
     """
-    _checkpoint_dir(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
