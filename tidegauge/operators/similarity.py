@@ -30,14 +30,14 @@ def _ordered_sets(sets: DataFrame) -> DataFrame:
 def _pairs_at_least(ordered: DataFrame, t: float, k: int) -> DataFrame:
     """The best ``k`` pairs of different sets among those with Jaccard >= t, exact.
 
-    Two such sets must share one of their rarest words (the prefix). A pair is produced
-    only at its rarest common word, only if sizes and positions still allow t, and goes
-    straight into a bounded top-k; pairs are never shuffled.
+    Two such sets must share one of their rarest words (the prefix), at places where sizes and positions still
+    allow t. Candidates carry two ids only, and a frequent word is split by adaptive execution; the words of both sets
+    are joined to what is left, and the scores go straight into a bounded top-k.
     """
     prefix = F.col("n") - F.ceil(F.col("n") * F.lit(t) - F.lit(1e-9)) + 1
-    entry = ordered.select("rep", "words", "n", F.posexplode(F.slice("words", F.lit(1), prefix.cast("int"))).alias("at", "word"))
-    a = entry.select("word", *[F.col(c).alias(c + "_a") for c in ("rep", "words", "n", "at")])
-    b = entry.select("word", *[F.col(c).alias(c + "_b") for c in ("rep", "words", "n", "at")])
+    entry = ordered.select("rep", "n", F.posexplode(F.slice("words", F.lit(1), prefix.cast("int"))).alias("at", "word"))
+    a = entry.select("word", *[F.col(c).alias(c + "_a") for c in ("rep", "n", "at")])
+    b = entry.select("word", *[F.col(c).alias(c + "_b") for c in ("rep", "n", "at")])
     need = F.lit(t / (1 + t)) * (F.col("n_a") + F.col("n_b")) - F.lit(1e-9)
     left = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
     possible = (
@@ -46,9 +46,10 @@ def _pairs_at_least(ordered: DataFrame, t: float, k: int) -> DataFrame:
         & (F.col("n_b") >= F.col("n_a") * F.lit(t) - F.lit(1e-9))
         & (left >= need)
     )
-    common = F.array_intersect("words_a", "words_b")
-    found = a.join(b, "word").filter(possible).withColumn("_c", common)
-    found = found.filter(F.get("_c", F.lit(0)) == F.col("word")).withColumn("shared", F.size("_c"))
+    pairs = a.join(b, "word").filter(possible).select("rep_a", "rep_b").distinct()
+    for side in ("_a", "_b"):
+        pairs = pairs.join(ordered.select(*[F.col(c).alias(c + side) for c in ("rep", "words", "n")]), "rep" + side)
+    found = pairs.withColumn("shared", F.size(F.array_intersect("words_a", "words_b")))
     union = F.col("n_a") + F.col("n_b") - F.col("shared")
     scored = found.withColumn("jaccard", F.col("shared") / union).filter(F.col("jaccard") >= t - 1e-9)
     return (
@@ -57,13 +58,8 @@ def _pairs_at_least(ordered: DataFrame, t: float, k: int) -> DataFrame:
     )
 
 
-def top_document_pairs(df: DataFrame, doc_id: str, text: str, k: int = 10) -> DataFrame:
-    """The ``k`` document pairs with the highest Jaccard of distinct words; ties by ids.
-
-    Equal word sets are handled as one, so a corpus with very many copies costs one set;
-    of each set only the first ``k + 1`` ids can appear in the answer. Different sets are
-    searched from high thresholds downwards and the search ends once ``k`` pairs are known.
-    """
+def _set_groups(df: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
+    """Documents with equal word sets as one row: the first ``k + 1`` ids, the words, and the first id as ``rep``."""
     sets = (
         df.select(F.col(doc_id).alias("id"), F.array_sort(F.array_distinct(tokens(F.col(text)))).alias("words"))
         .filter(F.size("words") > 0)
@@ -73,23 +69,47 @@ def top_document_pairs(df: DataFrame, doc_id: str, text: str, k: int = 10) -> Da
     heads = sets.withColumn("_rn", first).filter(F.col("_rn") <= k + 1)
     groups = cut_lineage(heads.groupBy("sig").agg(
         F.sort_array(F.collect_list("id")).alias("ids"), F.max_by("words", -F.col("_rn")).alias("words")))
-    groups = groups.withColumn("rep", F.get("ids", F.lit(0)))
+    return groups.withColumn("rep", F.get("ids", F.lit(0)))
+
+
+def _best_pairs(groups: DataFrame, k: int, known: int = 0) -> DataFrame:
+    """The best pairs of different sets, searched from high thresholds downwards until ``k`` with those known."""
+    ordered = cut_lineage(_ordered_sets(groups.select("rep", "words")))
+    best = None
+    for t in DESCENT:
+        best = cut_lineage(_pairs_at_least(ordered, t, k))
+        if known + best.count() >= k:
+            break
+    return best
+
+
+def top_set_pairs(df: DataFrame, doc_id: str, text: str, k: int = 10) -> DataFrame:
+    """The ``k`` pairs of different word sets with the highest Jaccard, each set under its smallest document id."""
+    best = _best_pairs(_set_groups(df, doc_id, text, 0), k)
+    return best.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "shared", "jaccard")
+
+
+def top_document_pairs(df: DataFrame, doc_id: str, text: str, k: int = 10) -> DataFrame:
+    """The ``k`` document pairs with the highest Jaccard of distinct words; ties by ids.
+
+    Equal word sets are handled as one, so a corpus with very many copies costs one set;
+    of each set only the first ``k + 1`` ids can appear in the answer, and of its own pairs only the
+    first ``k``. Different sets are searched only if copies do not fill the list.
+    """
+    groups = _set_groups(df, doc_id, text, k)
+    m = F.size("ids")
     copies = (
-        groups.filter(F.size("ids") > 1)
-        .select(F.size("words").alias("n"), "ids", F.explode("ids").alias("a"))
-        .select("n", "a", F.explode("ids").alias("b")).filter(F.col("a") < F.col("b"))
+        groups.filter(m > 1)
+        .select(F.size("words").alias("n"), "ids", m.alias("m"), F.posexplode("ids").alias("p", "a"))
+        .filter(F.col("p") * (F.col("m") - 1) - F.col("p") * (F.col("p") - 1) / 2 < k)  # pairs with a smaller first id
+        .select("n", "a", F.explode(F.slice("ids", F.col("p") + 2, F.col("m"))).alias("b"))
         .select("a", "b", F.col("n").alias("shared"), F.lit(1.0).alias("jaccard"))
         .orderBy("a", "b").limit(k)
     )
     known = copies.count()
     if known >= k:
         return copies
-    ordered = cut_lineage(_ordered_sets(groups.select("rep", "words")))
-    best = None
-    for t in DESCENT:
-        best = cut_lineage(_pairs_at_least(ordered, t, k))
-        if known + best.count() >= k:
-            break
+    best = _best_pairs(groups, k, known)
     ids = groups.select(F.col("rep"), F.col("ids"))
     left, right = ids.toDF("rep_a", "ids_a"), ids.toDF("rep_b", "ids_b")
     members = (

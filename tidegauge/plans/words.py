@@ -208,6 +208,17 @@ def rounded_model(m: DataFrame) -> DataFrame:
 SHOWN = "SELECT word, n0, n1, round(p0, 12) AS p0, round(p1, 12) AS p1, round(prior0, 12) AS prior0, round(prior1, 12) AS prior1 FROM model"
 
 
+@query("x8_set_pairs", f"""
+WITH reps AS (SELECT min(doc_id) AS doc_id, words FROM (SELECT doc_id, list_sort(list_distinct({TOKENS})) AS words FROM documents) WHERE len(words) > 0 GROUP BY words),
+     sets AS (SELECT doc_id, unnest(words) AS word, len(words) AS n FROM reps),
+     p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared FROM sets a JOIN sets b ON a.word = b.word AND a.doc_id < b.doc_id GROUP BY ALL)
+SELECT a, b, shared, round(1.0 * shared / (na + nb - shared), 9) AS jaccard FROM p ORDER BY round(1.0 * shared / (na + nb - shared), 12) DESC, a, b LIMIT 50""")
+def x8_set_pairs(t: Tables) -> DataFrame:
+    """Most similar pairs of different sets, so that the search runs at every scale."""
+    out = similarity.top_set_pairs(docs(t), "doc_id", "text", 50)
+    return out.select("a", "b", F.col("shared").cast("long").alias("shared"), F.round("jaccard", 9).alias("jaccard"))
+
+
 @query("x10_naive_bayes_plain", f"WITH {model_sql(0)} {SHOWN}")
 def x10_naive_bayes_plain(t: Tables) -> DataFrame:
     return rounded_model(text.train_naive_bayes(parts(t)[0], "text", "quality", 0.0))
