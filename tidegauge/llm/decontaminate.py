@@ -4,7 +4,8 @@ Search: the benchmark's passages (32 words, every 8 words) become TF-IDF vectors
 all documents; words below ``rare`` weigh nothing. A randomised SVD of that matrix, summed over tasks, gives a latent basis; its
 rank doubles until every passage keeps the share ``held`` of its length in it.
 Every document is cut into blocks of 16 words; two neighbouring blocks are a window, projected on the basis; its cosine with
-each passage is a matrix product. A passage shorter than a window can fill only part of it, so its threshold is lower.
+each passage is a sum over its words, and a bound on that sum rules most windows out. A passage shorter than a window can
+fill only part of it, so its threshold is lower.
 
 Check: around the windows found for an item, the longest common subsequence of words with the item is computed
 bit-parallel. The item is in the document if the subsequence covers ``sure`` of its words, or ``likely`` of them (a paraphrase)
@@ -154,41 +155,52 @@ class Index:
 
     def __init__(self, items: list[Item], vocabulary: Vocabulary, idf: np.ndarray, basis: np.ndarray, cosine: float, sure: float, likely: float):
         self.items, self.vocabulary, self.sure, self.likely = items, vocabulary, sure, likely
-        self.table = (basis * idf[:, None]).astype(np.float32)
         self.square = np.append(idf**2, np.mean(idf[idf > 0] ** 2) if idf.any() else 1.0)  # the last is for all other words
         parts = [(k, vocabulary.find(p)) for k, item in enumerate(items) for p in passages_of(item)]
         self.owner = np.array([k for k, _ in parts], np.int64)
-        vectors = np.array([self.table[p].sum(axis=0) for _, p in parts], np.float32).reshape(len(parts), self.table.shape[1])
+        # words and answer of each item as numbers, and how often it has each word; the last place is for all other words
+        self.numbered = [(w := vocabulary.find(i.words), vocabulary.find(i.answer), np.bincount(w, minlength=len(idf) + 1).astype(np.int32)) for i in items]
+        latent = basis * idf[:, None]
+        vectors = np.array([latent[p].sum(axis=0) for _, p in parts]).reshape(len(parts), basis.shape[1])
         norm = np.array([max(np.sqrt(self.square[p].sum()), 1e-9) for _, p in parts])
         reach = np.array([np.sqrt(min(1, len(p) / WINDOW)) for _, p in parts])
-        # cosine >= threshold * reach, written as a dot product with a scaled passage >= the window's norm
-        self.passages = (vectors / (norm * reach * cosine)[:, None]).T.copy() if parts else vectors.T
+        # What a word adds to the product with each passage in the latent space, scaled so that a window
+        # reaches the threshold * reach of a passage if its sum is no less than its own length.
+        self.gain = (latent @ (vectors / (norm * reach * cosine)[:, None]).T).astype(np.float32)
+        self.most = np.append(np.maximum(self.gain.max(axis=1), 0), 0.0) if len(parts) and len(idf) else np.zeros(len(idf) + 1)
 
-    def windows(self, at: np.ndarray, first: np.ndarray):
-        """(text, first word, vector, norm) arrays of all windows, in slices."""
+    def near(self, at: np.ndarray, first: np.ndarray):
+        """(text, first word, passage) of all windows that reach the threshold of a passage, in slices.
+
+        The sum of the most that each word can add is a bound; only windows whose bound is large enough are multiplied out.
+        """
         words = np.diff(first)
         blocks = -(-words // BLOCK)
         bounds = np.concatenate([[0], np.cumsum(blocks)])
         owner = np.repeat(np.arange(len(words)), blocks)
-        starts = first[:-1][owner] + (np.arange(bounds[-1]) - bounds[:-1][owner]) * BLOCK
-        single = blocks == 1
-        for low in range(0, int(bounds[-1]), 4096):
-            high = min(low + 4097, int(bounds[-1]))  # one block more, for the last window
-            begin, end = starts[low], (starts[high] if high < len(starts) else first[-1])
-            part = at[begin:end]
-            known = np.flatnonzero((part >= 0) & (self.square[part] > 0))
-            block = np.searchsorted(starts[low:high], np.arange(begin, end), "right") - 1
-            norm = np.bincount(block, self.square[part], high - low)
-            vector = np.zeros((high - low, self.table.shape[1]), np.float32)
-            if len(known):
-                mine = block[known]
+        n = len(owner)
+        starts = np.append(first[:-1][owner] + (np.arange(n) - bounds[:-1][owner]) * BLOCK, first[-1])
+        square, bound = (np.add.reduceat(x[at], starts[:-1]) for x in (self.square, self.most))
+        head = np.flatnonzero(np.append(owner[1:] == owner[:-1], False) | (blocks[owner] == 1))  # a window begins at each
+        tail = np.where(blocks[owner[head]] == 1, head, head + 1)
+        both = head != tail
+        length = np.sqrt(square[head] + both * square[tail])
+        open_ = np.flatnonzero((bound[head] + both * bound[tail] >= length * 0.999) & (length > 0))
+        for low in range(0, len(open_), 1024):
+            w = open_[low : low + 1024]
+            needed, place = np.unique(np.concatenate([head[w], tail[w]]), return_inverse=True)
+            sizes = starts[needed + 1] - starts[needed]
+            row = np.repeat(np.arange(len(needed)), sizes)
+            word = at[np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts[needed], sizes)]
+            useful = np.flatnonzero(self.most[word] > 0)
+            sums = np.zeros((len(needed), self.gain.shape[1]), np.float32)
+            if len(useful):
+                mine = row[useful]
                 heads = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
-                vector[mine[heads]] = np.add.reduceat(self.table[part[known]], heads, axis=0)
-            here = np.arange(low, min(low + 4096, int(bounds[-1])))
-            pair = here[(here + 1 < bounds[-1]) & (owner[np.minimum(here + 1, len(owner) - 1)] == owner[here])] - low
-            alone = here[single[owner[here]]] - low
-            yield (np.concatenate([owner[low + pair], owner[low + alone]]), np.concatenate([starts[low + pair], starts[low + alone]]),
-                   np.concatenate([vector[pair] + vector[pair + 1], vector[alone]]), np.sqrt(np.concatenate([norm[pair] + norm[pair + 1], norm[alone]])))
+                sums[mine[heads]] = np.add.reduceat(self.gain[word[useful]], heads, axis=0)
+            total = sums[place[: len(w)]] + sums[place[len(w) :]] * both[w, None]
+            hit, passage = np.nonzero(total >= length[w, None])
+            yield owner[head[w[hit]]], starts[head[w[hit]]], passage
 
     def search(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(text, item, length of the subsequence, first word) of all items found."""
@@ -197,14 +209,13 @@ class Index:
             return []
         at = self.vocabulary.find(hashes)
         spots: dict[tuple[int, int], list[int]] = {}
-        for owner, starts, vector, norm in self.windows(at, first):
-            near = vector @ self.passages >= np.maximum(norm, 1e-9)[:, None]
-            for w, p in zip(*np.nonzero(near)):
-                spots.setdefault((int(owner[w]), int(self.owner[p])), []).append(int(starts[w]))
+        for owners, starts, passages in self.near(at, first):
+            for text, start, p in zip(owners.tolist(), starts.tolist(), passages.tolist()):
+                spots.setdefault((text, int(self.owner[p])), []).append(start)
         out = []
         for (text, k), places in sorted(spots.items()):
-            item, low, high = self.items[k], int(first[text]), int(first[text + 1])
-            around, best = len(item.words), (0, 0)
+            (item, answer, count), low, high = self.numbered[k], int(first[text]), int(first[text + 1])
+            around, best = len(item), (0, 0)
             groups: list[list[int]] = []
             for p in sorted(set(places)):  # windows that overlap or touch are one place
                 if groups and p - groups[-1][1] <= WINDOW:
@@ -212,13 +223,16 @@ class Index:
                 else:
                     groups.append([p, p])
             for a, z in groups:
-                start = max(low, a - around)
-                words = hashes[start : min(high, z + WINDOW + around)]
-                for s in range(0, max(1, len(words) - 2 * around - WINDOW + 1), max(1, around // 2)):  # a stretch not much longer than the item
-                    part = words[s : s + 2 * around + WINDOW]
-                    n = common_length(item.words, part)
-                    if n >= self.sure * around or n >= self.likely * around and common_length(item.answer, part) >= self.sure * len(item.answer):
-                        best = max(best, (n, low - start - s), key=lambda x: x[0])
+                start, stop = max(low, a - around), min(high, z + WINDOW + around)
+                step = 2 * around + WINDOW  # a stretch not much longer than the item
+                for s in range(start, max(start + 1, stop - step + 1), max(1, around // 2)):
+                    part = at[s : min(s + step, stop)]
+                    part = part[count[part] > 0]  # no other word can be in a common subsequence
+                    if len(part) < self.likely * around or count[np.unique(part)].sum() < self.likely * around:
+                        continue
+                    n = common_length(item, part)
+                    if n >= self.sure * around or n >= self.likely * around and common_length(answer, part) >= self.sure * len(answer):
+                        best = max(best, (n, low - s), key=lambda x: x[0])
             if best[0]:
                 out.append((text, k, best[0], -best[1]))
         return out
