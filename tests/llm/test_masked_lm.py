@@ -31,18 +31,18 @@ def test_classes_cover_the_corpus(spark, make, odd_rows):
 
 def test_gradient_is_the_slope_of_the_loss():
     rng = np.random.default_rng(2)
-    network = M.Network(rng.normal(0, 0.3, (M.PLACES, M.CLASSES + 1, M.HIDDEN)), rng.normal(0, 0.3, (M.HIDDEN, M.CLASSES)), rng.normal(0, 0.3, M.CLASSES))
+    network = M.Network(rng.normal(0, 0.3, (M.PLACES, M.CLASSES + 1, M.HIDDEN)), rng.normal(0, 0.3, (M.HIDDEN + 1, M.CLASSES)))
     context, target = rng.integers(0, M.CLASSES + 1, (7, M.PLACES)), rng.integers(0, M.CLASSES, 7)
 
     def loss():
-        return -network.forward(context)[1][np.arange(7), target].mean()
+        return -network.forward(context, target, np.empty((7, M.CLASSES)))[2].mean()
 
-    state = [np.zeros_like(x) for x in (network.vectors, network.output, network.bias)]
-    keep = [x.copy() for x in (network.vectors, network.output, network.bias)]
+    state = [np.zeros_like(x) for x in (network.vectors, network.output)]
+    keep = [x.copy() for x in (network.vectors, network.output)]
     M.train(network, state, context, target)  # with an empty state a step is RATE times the sign of the gradient, the state its square
-    for value, old in zip((network.vectors, network.output, network.bias), keep):
+    for value, old in zip((network.vectors, network.output), keep):
         value[...] = old
-    for value, seen, place in ((network.vectors, state[0], (1, context[3, 1], 5)), (network.output, state[1], (4, target[2])), (network.bias, state[2], (target[0],))):
+    for value, seen, place in ((network.vectors, state[0], (1, context[3, 1], 5)), (network.output, state[1], (4, target[2])), (network.output, state[1], (M.HIDDEN, target[0]))):
         at = value[place]
         value[place] = at + 1e-5
         up = loss()
@@ -67,9 +67,9 @@ def test_scores_are_log_probabilities(spark, make, odd_rows):
     total = 0.0
     for i, c in enumerate(number):
         around = padded[i : i + M.SIDE] + padded[i + M.SIDE + 1 : i + 2 * M.SIDE + 1]
-        logs = network.forward(np.array([around]))[1][0]
-        assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4)
-        total += logs[c] - np.log(classes.sizes[c])
+        hidden = np.tanh(sum(network.vectors[p][k] for p, k in enumerate(around)).astype(float))
+        logits = hidden @ network.output[:-1] + network.output[-1]
+        total += logits[c] - np.log(np.exp(logits).sum()) - np.log(classes.sizes[c])
     assert got[rows[20][0]]["log_prob"] == pytest.approx(total, rel=1e-4)
     shuffled = make([(i + 10_000, " ".join(random.Random(i).sample(t.split(), 60))) for i, t in corpus()])
     mixed = [r["mean_log_prob"] for r in M.score(shuffled, classes, network).collect()]

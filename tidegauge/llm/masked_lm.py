@@ -31,7 +31,7 @@ from .common import stored, text_parts, word_hashes
 
 HEAD, ENDINGS, SIDE, HIDDEN = 384, 128, 2, 24
 CLASSES = HEAD + ENDINGS
-ROUNDS, BATCH, RATE = 2, 2048, 0.08
+ROUNDS, BATCH, PART, RATE = 2, 2048, 512, 0.08
 PLACES = 2 * SIDE
 GROUPS = 64
 
@@ -92,36 +92,68 @@ def learn_classes(docs: DataFrame) -> Classes:
 
 @dataclass
 class Network:
-    """Vectors by (position, class) with a last class for places outside the text; output weights and biases."""
+    """Vectors by (position, class) with a last class for places outside the text; output weights, their last row the biases."""
 
     vectors: np.ndarray
     output: np.ndarray
-    bias: np.ndarray
 
     @staticmethod
     def start(classes: Classes) -> Network:
         rng = np.random.default_rng(3)
-        return Network(rng.normal(0, 0.1, (PLACES, CLASSES + 1, HIDDEN)).astype(np.float32), rng.normal(0, 0.1, (HIDDEN, CLASSES)).astype(np.float32), np.log(classes.shares).astype(np.float32))
+        output = np.concatenate([rng.normal(0, 0.1, (HIDDEN, CLASSES)), np.log(classes.shares)[None, :]])
+        return Network(rng.normal(0, 0.1, (PLACES, CLASSES + 1, HIDDEN)).astype(np.float32), output.astype(np.float32))
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([self.vectors.ravel(), self.output.ravel(), self.bias])
+        return np.concatenate([self.vectors.ravel(), self.output.ravel()])
 
     @staticmethod
     def of(flat: np.ndarray) -> Network:
-        a, b = PLACES * (CLASSES + 1) * HIDDEN, HIDDEN * CLASSES
-        flat = flat.astype(np.float32)
-        return Network(flat[:a].reshape(PLACES, CLASSES + 1, HIDDEN).copy(), flat[a : a + b].reshape(HIDDEN, CLASSES).copy(), flat[a + b :].copy())
+        flat, cut = flat.astype(np.float32), PLACES * (CLASSES + 1) * HIDDEN
+        return Network(flat[:cut].reshape(PLACES, CLASSES + 1, HIDDEN).copy(), flat[cut:].reshape(HIDDEN + 1, CLASSES).copy())
 
-    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden layer and log probabilities of all classes, for contexts (rows x places)."""
-        hidden = self.vectors[0][context[:, 0]]
+    def forward(self, context: np.ndarray, target: np.ndarray, out: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hidden layer (with a column of ones), sums of the exponentials, and log probabilities of the targets.
+
+        ``out`` (rows x classes) gets the exponentials of all classes; it is used again and again and fits a core's cache.
+        """
+        hidden = np.ones((len(context), HIDDEN + 1), self.vectors.dtype)
+        inner = hidden[:, :HIDDEN]
+        inner[...] = self.vectors[0][context[:, 0]]
         for p in range(1, PLACES):
-            hidden = hidden + self.vectors[p][context[:, p]]
-        hidden = np.tanh(hidden)
-        logits = hidden @ self.output
-        logits += self.bias
-        logits -= logits.max(axis=1, keepdims=True)
-        return hidden, logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+            inner += self.vectors[p][context[:, p]]
+        np.tanh(inner, out=inner)
+        np.matmul(hidden, self.output, out=out)
+        if np.abs(self.output).sum(axis=0).max() > 80:  # else no exponential can overflow, as tanh is at most 1
+            out -= out.max(axis=1, keepdims=True)
+        chosen = out[np.arange(len(target)), target].astype(np.float64)
+        np.exp(out, out=out)
+        sums = out.sum(axis=1)
+        return hidden, sums, chosen - np.log(sums)
+
+
+def train(network: Network, state: list[np.ndarray], context: np.ndarray, target: np.ndarray) -> None:
+    """One step of Adagrad on the mean log loss, its rows taken in parts."""
+    n = len(target)
+    back = np.empty((HIDDEN, n), network.vectors.dtype)
+    output = np.zeros_like(network.output)
+    buffer = np.empty((min(n, PART), CLASSES), network.output.dtype)
+    for low in range(0, n, PART):
+        high = min(low + PART, n)
+        error = buffer[: high - low]
+        hidden, sums, _ = network.forward(context[low:high], target[low:high], error)
+        error *= (1 / (sums * n))[:, None]
+        error[np.arange(high - low), target[low:high]] -= 1 / n
+        output += hidden.T @ error
+        inner = hidden[:, :HIDDEN]
+        back[:, low:high] = ((error @ network.output[:HIDDEN].T) * (1 - inner * inner)).T
+    vectors = np.empty_like(network.vectors)
+    for p in range(PLACES):
+        at = np.ascontiguousarray(context[:, p])
+        for h in range(HIDDEN):
+            vectors[p, :, h] = np.bincount(at, back[h], CLASSES + 1)
+    for value, gradient, seen in zip((network.vectors, network.output), (vectors, output), state):
+        seen += gradient * gradient
+        value -= RATE * gradient / (np.sqrt(seen) + 1e-6)
 
 
 def contexts(classes: np.ndarray, first: np.ndarray, low: int, high: int) -> np.ndarray:
@@ -137,23 +169,6 @@ def contexts(classes: np.ndarray, first: np.ndarray, low: int, high: int) -> np.
     return np.stack(columns, axis=1)
 
 
-def train(network: Network, state: list[np.ndarray], context: np.ndarray, target: np.ndarray) -> None:
-    """One step of Adagrad on the mean log loss."""
-    hidden, logs = network.forward(context)
-    error = np.exp(logs)
-    error[np.arange(len(target)), target] -= 1
-    error /= len(target)
-    back = (error @ network.output.T) * (1 - hidden**2)
-    vectors = np.empty_like(network.vectors)
-    columns = np.ascontiguousarray(back.T)
-    for p in range(PLACES):
-        for h in range(HIDDEN):
-            vectors[p, :, h] = np.bincount(context[:, p], columns[h], CLASSES + 1)
-    for value, gradient, seen in zip((network.vectors, network.output, network.bias), (vectors, hidden.T @ error, error.sum(axis=0)), state):
-        seen += gradient * gradient
-        value -= RATE * gradient / (np.sqrt(seen) + 1e-6)
-
-
 def learn_network(docs: DataFrame, classes: Classes) -> Network:
     network = Network.start(classes)
     spark = docs.sparkSession
@@ -163,7 +178,7 @@ def learn_network(docs: DataFrame, classes: Classes) -> Network:
 
         def run(batches, given=given):
             own, classes, total = Network.of(given.value), known.value, 0
-            state = [np.full_like(x, 1e-4) for x in (own.vectors, own.output, own.bias)]
+            state = [np.full_like(x, 1e-4) for x in (own.vectors, own.output)]
             for _, data, offsets in text_parts(batches, "text", 1 << 20):
                 hashes, first, starts, ends = word_hashes(data, offsets)
                 number = classes.of(data, hashes, starts, ends)
@@ -192,14 +207,16 @@ def score(docs: DataFrame, classes: Classes, network: Network) -> DataFrame:
     def run(batches):
         classes, network = given.value
         rare = np.log(classes.sizes)
+        buffer = np.empty((PART, CLASSES), np.float32)
         for part, data, offsets in text_parts(batches, "text", 1 << 20):
             hashes, first, starts, ends = word_hashes(data, offsets)
             number = classes.of(data, hashes, starts, ends)
             logs = np.empty(len(number))
-            for low in range(0, len(number), BATCH):
-                high = min(low + BATCH, len(number))
-                _, found = network.forward(contexts(number, first, low, high))
-                logs[low:high] = found[np.arange(high - low), number[low:high]]
+            for begin in range(0, len(number), BATCH):
+                context = contexts(number, first, begin, min(begin + BATCH, len(number)))
+                for low in range(begin, begin + len(context), PART):
+                    high = min(low + PART, begin + len(context))
+                    logs[low:high] = network.forward(context[low - begin : high - begin], number[low:high], buffer[: high - low])[2]
             total = np.concatenate([[0.0], np.cumsum(logs - rare[number])])
             n = np.diff(first)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(total[first[1:]] - total[first[:-1]])], names=["doc_id", "n_words", "log_prob"])
