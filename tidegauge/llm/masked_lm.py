@@ -127,25 +127,26 @@ class Network:
             out -= out.max(axis=1, keepdims=True)
         chosen = out[np.arange(len(target)), target].astype(np.float64)
         np.exp(out, out=out)
-        sums = out.sum(axis=1)
+        sums = out @ np.ones(out.shape[1], out.dtype)
         return hidden, sums, chosen - np.log(sums)
 
 
 def train(network: Network, state: list[np.ndarray], context: np.ndarray, target: np.ndarray) -> None:
     """One step of Adagrad on the mean log loss, its rows taken in parts."""
     n = len(target)
-    back = np.empty((HIDDEN, n), network.vectors.dtype)
+    back = np.empty((HIDDEN, n))
     output = np.zeros_like(network.output)
     buffer = np.empty((min(n, PART), CLASSES), network.output.dtype)
     for low in range(0, n, PART):
         high = min(low + PART, n)
         error = buffer[: high - low]
         hidden, sums, _ = network.forward(context[low:high], target[low:high], error)
-        error *= (1 / (sums * n))[:, None]
-        error[np.arange(high - low), target[low:high]] -= 1 / n
-        output += hidden.T @ error
+        # the gradient is (error - sums at the targets) * scale; the small matrices are scaled instead of the large one
+        scale = (1 / (sums * n))[:, None]
+        error[np.arange(high - low), target[low:high]] -= sums
+        output += np.ascontiguousarray((hidden * scale).T) @ error
         inner = hidden[:, :HIDDEN]
-        back[:, low:high] = ((error @ network.output[:HIDDEN].T) * (1 - inner * inner)).T
+        back[:, low:high] = ((error @ network.output[:HIDDEN].T) * scale * (1 - inner * inner)).T
     vectors = np.empty_like(network.vectors)
     for p in range(PLACES):
         at = np.ascontiguousarray(context[:, p])
