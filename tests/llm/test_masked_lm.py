@@ -81,3 +81,27 @@ def test_scores_are_log_probabilities(spark, make, odd_rows):
 def test_empty_table(spark, make):
     assert M.score_corpus(make([])).count() == 0
     assert [r["n_words"] for r in M.score_corpus(make([(1, None), (2, "")])).collect()] == [0, 0]
+
+
+def test_rare_words_have_probabilities_of_their_own(spark, make):
+    """Words outside the most frequent ones against the counts of the corpus, one at a time; a word never seen is the least likely."""
+    common = [f"c{k}x" for k in range(M.HEAD)]
+    rare = {f"r{k}zz": k for k in range(1, 9)}
+    docs = make([(1, " ".join(common * 20)), (2, " ".join(w for w, n in rare.items() for _ in range(n))), (None, "c1x r8zz")])
+    classes = M.learn_classes(docs)
+    network = M.learn_network(docs, classes)
+    asked = [(10, "r8zz"), (11, "r1zz"), (12, "neverzz"), (13, "c5x"), (14, "r8zz r1zz neverzz r8zz"), (None, "r2zz"), (15, "")]
+    counts = M.stored(M.count_words(docs), "words")
+    rows = M.score(make(asked).repartition(2), classes, network, counts).collect()
+    got = {r["doc_id"]: r["log_prob"] for r in rows}
+    assert len(rows) == len(asked) and got[15] == 0
+    tokens = sum(rare.values()) + 1
+    chance = {w: (n + (w == "r8zz") + M.MORE) / (tokens + M.MORE * (len(rare) + 1)) for w, n in rare.items()}
+    never = M.MORE / (tokens + M.MORE * (len(rare) + 1))
+    assert sum(chance.values()) + never == pytest.approx(1)
+    assert got[10] - got[11] == pytest.approx(np.log(chance["r8zz"] / chance["r1zz"]))  # the same class in the same context
+    assert got[11] - got[12] == pytest.approx(np.log(chance["r1zz"] / never))
+    four = M.score(make([(1, "r8zz r8zz r8zz r8zz")]), classes, network, counts).first()["log_prob"]
+    assert got[14] - four == pytest.approx(np.log(chance["r1zz"] * never / chance["r8zz"] ** 2))
+    whole = {r["doc_id"]: r for r in M.score_corpus(docs).collect()}
+    assert whole[2]["n_words"] == 36 and None in whole

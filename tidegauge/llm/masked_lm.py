@@ -1,14 +1,17 @@
 """Masked pseudo-likelihood: each word is predicted from the words on both sides of it.
 
 Words fall into classes. The most frequent words of the whole corpus are classes of their own; every other word belongs to
-the class of its last two bytes. p(word | context) = p(class | context) / (words of the class), where a class of rare words counts its
-distinct words in the corpus and one more for words never seen. The network predicts the class of the middle from the classes
-of ``SIDE`` words on the left and on the right: one table of vectors per position, their sum, tanh, softmax. The sum of the log
-probabilities of all words is the score of a document.
+the class of its last two bytes. p(word | context) = p(class | context) * p(word | class). The network predicts the class of the
+middle from the classes of ``SIDE`` words on the left and on the right: one table of vectors per position, their sum, tanh,
+softmax. p(word | class) is 1 for a frequent word and (n + ``MORE``) / (tokens of the class + ``MORE`` * (its words + 1)) for a word that occurs n
+times in the corpus; a word never seen has n = 0. The sum of the log probabilities of all words is the score of a document.
+
+The table of all words grows with the corpus and stays in Spark: rare words of the documents go to buckets by hash, packed, meet the
+counts of the bucket there, and their sums go back to the part of the documents they came from.
 
 Counts come from all documents. Training is one pass over all documents in ``ROUNDS`` parts: in each, every task takes the network
 of the round before, trains it on its words of that part with numpy (Adagrad), and the networks are averaged, weighted by their words, in
-two steps. Nothing but the class list and the network (some 60,000 numbers) reaches the driver.
+two steps. Nothing but the class list and the network (some 60,000 numbers) reaches the driver; the word table does not.
 
 Words are split at ASCII white space, A-Z count as a-z. Null or empty texts have 0 words, log_prob 0 and null mean and perplexity.
 Repeated rows give repeated rows, an empty table an empty result, a null id stays null. Other columns are ignored.
@@ -34,6 +37,8 @@ CLASSES = HEAD + ENDINGS
 ROUNDS, BATCH, PART, RATE = 2, 2048, 512, 0.08
 PLACES = 2 * SIDE
 GROUPS = 64
+MORE = 0.5  # added to the count of each word of a class, and of one never seen
+LOOKUPS, SPLIT = 64, 1 << 21  # buckets of the word table: so many, and one more for so many words of text
 
 
 def endings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -45,12 +50,17 @@ def endings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
 
 @dataclass
 class Classes:
-    """Hashes of the head words in order of their hash, their class numbers, words per class and share of each class."""
+    """Hashes of the head words in order of their hash, their class numbers, words per class, share of each class, and its tokens."""
 
     hashes: np.ndarray
     numbers: np.ndarray
     sizes: np.ndarray
     shares: np.ndarray
+    tokens: np.ndarray
+
+    def whole(self) -> np.ndarray:
+        """log of what (n + MORE) is divided by in p(word | class); 0 for the classes of one word."""
+        return np.append(np.zeros(HEAD), np.log(self.tokens[HEAD:] + MORE * self.sizes[HEAD:]))
 
     def of(self, data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         found = HEAD + endings(data, starts, ends)
@@ -73,8 +83,9 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "hash long, ending int, n long").groupBy("hash", "ending").agg(F.sum("n").alias("n"))
 
 
-def learn_classes(docs: DataFrame) -> Classes:
-    counts = stored(count_words(docs), "words")
+def learn_classes(docs: DataFrame, counts: DataFrame | None = None) -> Classes:
+    """``counts`` is the stored table of ``count_words``; without it the words of ``docs`` are counted."""
+    counts = stored(count_words(docs), "words") if counts is None else counts
     head = counts.orderBy(F.desc("n"), "hash").limit(HEAD).collect()  # <= HEAD rows
     by_class = {r["ending"]: r for r in counts.groupBy("ending").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).collect()}  # <= ENDINGS rows
     sizes, total = np.ones(CLASSES), np.ones(CLASSES)
@@ -87,7 +98,7 @@ def learn_classes(docs: DataFrame) -> Classes:
         total[HEAD + r["ending"]] -= r["n"]
     hashes = np.array([r["hash"] for r in head], np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    return Classes(hashes[order], order, np.maximum(sizes, 1), total / total.sum())
+    return Classes(hashes[order], order, np.maximum(sizes, 1), total / total.sum(), total - 1)
 
 
 @dataclass
@@ -199,16 +210,46 @@ def learn_network(docs: DataFrame, classes: Classes) -> Network:
     return network
 
 
-def score(docs: DataFrame, classes: Classes, network: Network) -> DataFrame:
-    """doc_id, n_words, log_prob (the sum over all words), mean_log_prob and perplexity."""
+def _from_counts(rare: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
+    """(part, at, log): for each part and bucket the texts with rare words in it, and their sums of log(n + MORE)."""
+
+    def look(left: pa.Table, right: pa.Table) -> pa.Table:
+        known, n = right["hash"].to_numpy(), right["n"].to_numpy()
+        order = np.argsort(known)
+        known, value = known[order], np.append(np.log(n[order] + MORE), np.log(MORE))
+        out = []
+        for part, at, hashes in zip(left["part"].to_pylist(), left["at"].to_pylist(), left["hash"].to_pylist()):
+            at, hashes = np.frombuffer(at, "<u4"), np.frombuffer(hashes, "<i8")
+            place = np.searchsorted(known, hashes)
+            if len(known):
+                place = np.where(known[np.minimum(place, len(known) - 1)] == hashes, place, len(known))
+            heads = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+            out.append((part, at[heads].tobytes(), np.add.reduceat(value[place], heads).astype("<f8").tobytes()))
+        columns = list(zip(*out)) if out else [[], [], []]
+        return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], names=["part", "at", "log"])
+
+    words = counts.select(F.pmod("hash", F.lit(buckets)).cast("int").alias("bucket"), "hash", "n")
+    return rare.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(look, "part long, at binary, log binary")
+
+
+def score(docs: DataFrame, classes: Classes, network: Network, counts: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_words, log_prob (the sum over all words), mean_log_prob and perplexity.
+
+    ``counts`` is the stored table of ``count_words`` over the corpus; without it the words of ``docs`` are counted.
+    """
     sc = docs.sparkSession.sparkContext
     given = sc.broadcast((classes, network))
+    counts = stored(count_words(docs), "words") if counts is None else counts
+    buckets = LOOKUPS + (counts.agg(F.sum("n")).first()[0] or 0) // SPLIT
+    names = ["part", "bucket", "at", "hash", "doc_id", "n_words", "log"]
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64())]
 
     def run(batches):
         classes, network = given.value
-        rare = np.log(classes.sizes)
+        whole = classes.whole()
         buffer = np.empty((PART, CLASSES), np.float32)
-        for part, data, offsets in text_parts(batches, "text", 1 << 20):
+        number_of_part = TaskContext.get().partitionId() << 32
+        for part, data, offsets in text_parts(batches, "text", 4 << 20):
             hashes, first, starts, ends = word_hashes(data, offsets)
             number = classes.of(data, hashes, starts, ends)
             logs = np.empty(len(number))
@@ -217,16 +258,39 @@ def score(docs: DataFrame, classes: Classes, network: Network) -> DataFrame:
                 for low in range(begin, begin + len(context), PART):
                     high = min(low + PART, begin + len(context))
                     logs[low:high] = network.forward(context[low - begin : high - begin], number[low:high], buffer[: high - low])[2]
-            total = np.concatenate([[0.0], np.cumsum(logs - rare[number])])
-            n = np.diff(first)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(total[first[1:]] - total[first[:-1]])], names=["doc_id", "n_words", "log_prob"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_words long, log_prob double")
+            total = np.concatenate([[0.0], np.cumsum(logs - whole[number])])
+            rows = [(number_of_part, -1, None, None, part.column("doc_id").to_pylist(), np.diff(first), total[first[1:]] - total[first[:-1]])]
+            rare = np.flatnonzero(number >= HEAD)
+            text = np.repeat(np.arange(len(first) - 1, dtype="<u4"), np.diff(first))[rare]
+            words = hashes[rare].view(np.int64)
+            bucket = np.mod(words, buckets)
+            order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")  # texts stay in order
+            text, words = text[order], words[order].astype("<i8")
+            seen, heads = np.unique(bucket[order], return_index=True)
+            for b, low, high in zip(seen.tolist(), heads, np.append(heads[1:], len(words))):
+                rows.append((number_of_part, b, text[low:high].tobytes(), words[low:high].tobytes(), None, None, None))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+            number_of_part += 1
+
+    def add(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The texts of a part with what the buckets found for them."""
+        ids, n, log = (left[c].combine_chunks().values for c in ("doc_id", "n_words", "log"))
+        log = log.to_numpy().copy()
+        for at, value in zip(right["at"].to_pylist(), right["log"].to_pylist()):
+            log[np.frombuffer(at, "<u4")] += np.frombuffer(value, "<f8")
+        return pa.table([ids, n, pa.array(log)], names=["doc_id", "n_words", "log_prob"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = stored(rows.mapInArrow(run, "part long, bucket int, at binary, hash binary, doc_id array<long>, n_words array<long>, log array<double>"), "scored")
+    found = _from_counts(rows.filter("bucket >= 0").select("part", "bucket", "at", "hash"), counts, buckets)
+    texts = rows.filter("bucket < 0").select("part", "doc_id", "n_words", "log")
+    rows = texts.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(add, "doc_id long, n_words long, log_prob double")
     mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))
     return rows.select("doc_id", "n_words", "log_prob", mean.alias("mean_log_prob"), F.exp(-mean).alias("perplexity"))
 
 
 def score_corpus(docs: DataFrame) -> DataFrame:
     """Learn from all documents, score all of them."""
-    classes = learn_classes(docs)
-    return score(docs, classes, learn_network(docs, classes))
+    counts = stored(count_words(docs), "words")
+    classes = learn_classes(docs, counts)
+    return score(docs, classes, learn_network(docs, classes), counts)
