@@ -79,3 +79,39 @@ def test_empty_tables(spark, make):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.find(make([]), bench).count() == 0 and D.find(make([(1, "x")]), none).count() == 0
     assert D.keep_clean(make([]), bench).count() == 0 and D.keep_clean(make([(1, None)]), none).count() == 1
+
+
+def test_passage_in_a_third_of_all_documents(spark, make):
+    """A leaked passage lifts the document frequency of its own words; it must not lose its weight by that."""
+    rng = random.Random(18)
+    items = [(i, sentence(rng, 24)) for i in range(12)]
+    docs = []
+    for d in range(240):
+        head, tail = sentence(rng, rng.randint(20, 60)), sentence(rng, rng.randint(20, 60))
+        docs.append((d, f"{head} {items[d % 4 // 3][1]} {tail}" if d % 3 == 0 else f"{head} {tail}"))
+    want = {(d, d % 4 // 3) for d in range(0, 240, 3)}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in D.find(make(docs), bench).collect()}
+    # the same by the subsequence check alone
+    brute = {(d, i) for d, t in docs for i, x in items if D.common_length(D.words_of(x), D.words_of(t)) >= 0.8 * len(x.split())}
+    assert brute == want and got == want
+    assert D.keep_clean(make(docs), bench).count() == 160
+
+
+def test_words_in_most_documents_have_a_weight(spark, make):
+    rng = random.Random(19)
+    common = sentence(rng, 60).split()
+    item = " ".join(rng.sample(common, 40))
+    docs = [(d, " ".join(rng.sample(common, 60))) for d in range(60)] + [(100, item)]
+    got = D.find(make(docs), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [r["doc_id"] for r in got] == [100]
+
+
+def test_distinct_counts():
+    rng = np.random.default_rng(3)
+    for n in (1, 40, 3000, 100_000):
+        hashes = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+        row = np.zeros((1, D.REGISTERS), np.uint8)
+        hashes = D.mix(hashes)
+        np.maximum.at(row[0], (hashes % D.REGISTERS).astype(int), (53 - np.frexp((hashes >> np.uint64(12)).astype(float))[1]).astype(np.uint8))
+        assert abs(D.distinct(row)[0] / n - 1) < 0.25
