@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tidegauge.llm import near_dup as N
 from tidegauge.llm.components import components
@@ -113,3 +114,25 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {k: v for k, v in root.items() if any(k in p and p[0] != p[1] for p in links)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_links_of_very_long_texts_off_the_pivots_are_found(spark):
+    """Minima of large sets are small numbers, equal in their first bits by chance: the first common bucket must be a real one."""
+    rng = random.Random(21)
+    texts = []
+    for k in range(14):
+        base = [f"p{k}w{i}" for i in range(60_000)]
+        texts += [" ".join(base[:54_300]), " ".join(base[5_700:])]  # similar by 0.81
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    marks = N.stored(N.digest(docs, 2), "digest")
+    classes = N.stored(marks.withColumn("cid", F.col("doc_id") + 10), "classes")
+    every = classes.select(F.explode(F.arrays_zip(F.col("bands").alias("bucket"), F.sequence(F.lit(0), F.lit(N.BANDS - 1)).alias("band"))).alias("b"), "cid", "n_shingles").select("b.*", "cid", "n_shingles")
+    # a third member in each bucket, the smallest, with another component and too small to be similar
+    other = spark.createDataFrame([(-1, 1, classes.first()["sig"], [0] * N.BANDS, "x y")], "cid long, n_shingles long, sig binary, bands array<long>, text string")
+    pivot = every.select("bucket", "band").distinct().select("bucket", F.col("band").cast("int").alias("band"), F.lit(-1).cast("long").alias("cid"), F.lit(1).cast("long").alias("n_shingles"))
+    members = every.select("bucket", F.col("band").cast("int").alias("band"), "cid", "n_shingles").union(pivot)
+    classes = classes.select("cid", "n_shingles", "sig", "bands").union(other.select("cid", "n_shingles", "sig", "bands"))
+    all_texts = docs.select((F.col("doc_id") + 10).alias("cid"), "text").union(other.select("cid", "text"))
+    roots = spark.createDataFrame([], "node long, root long")
+    got = {tuple(sorted((r["a"], r["b"]))) for r in N._across(members, classes, all_texts, roots, 2, 80).collect()}
+    assert got == {(2 * k + 10, 2 * k + 11) for k in range(14)}

@@ -10,7 +10,7 @@
    only if their ends are not in one component by then.
 4. A link need not touch a pivot. Wherever a bucket of three or more still has members of several components, each
    member outside the first pivot's component is compared with the members of other components, in blocks of
-   bounded size, by signature and then on the full sets. Of the buckets that two members share, only the first compares them, and a block
+   bounded size, by signature and then on the full sets. Of the buckets that two members share (all 64 bits of them), only the first compares them, and a block
    returns no more links than it takes to join its components. So no link inside a bucket is lost and no list of pairs is made.
 5. Components by alternating large-star and small-star; the smallest doc_id of a component names it.
 
@@ -203,10 +203,10 @@ def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, roots: Dat
     rows = stored(rows.join(stored(groups, "groups"), "bucket"), "mixed")
     is_minor = F.col("root") != F.col("first")
     counts = stored(rows.filter(is_minor).groupBy("bucket").agg(F.sum("n_shingles").alias("minor_weight")), "minor")
-    rows = rows.join(counts, "bucket").join(classes.select("cid", "sig"), "cid").join(texts, "cid")
+    rows = rows.join(counts, "bucket").join(classes.select("cid", "sig", "bands"), "cid").join(texts, "cid")
     blocks, chunks = F.ceil(F.col("minor_weight") / BLOCK).cast("int"), F.ceil(F.col("weight") / CHUNK).cast("int")
     spread = F.xxhash64("cid", F.lit(1))
-    rest = ["band", "cid", "root", "n_shingles", "sig", "text"]
+    rest = ["band", "cid", "root", "n_shingles", "sig", "bands", "text"]
     as_minor = rows.filter(is_minor).select("bucket", F.pmod(spread, blocks).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), F.lit(True).alias("minor"), *rest)
     as_other = rows.select("bucket", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.pmod(spread, chunks).cast("int").alias("chunk"), F.lit(False).alias("minor"), *rest)
 
@@ -214,6 +214,7 @@ def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, roots: Dat
         minor = df["minor"].to_numpy()
         ids, root, n, band = (df[c].to_numpy() for c in ("cid", "root", "n_shingles", "band"))
         sig = np.frombuffer(b"".join(df["sig"]), "<u2").reshape(len(df), -1)
+        bands = np.stack(df["bands"].to_list())
         sets = _text_sets(pa.array(df["text"], pa.large_string()), size)
         joined = {r: r for r in root.tolist()}
 
@@ -226,9 +227,8 @@ def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, roots: Dat
         found = []
         for i in np.flatnonzero(minor):
             near = others[(root[others] != root[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
-            same = sig[near] == sig[i]
-            near, same = near[same.sum(axis=1) >= least], same[same.sum(axis=1) >= least]
-            near = near[same.reshape(len(near), BANDS, ROWS).all(axis=2).argmax(axis=1) == band[i]]  # else another bucket compares them
+            near = near[(sig[near] == sig[i]).sum(axis=1) >= least]
+            near = near[(bands[near] == bands[i]).argmax(axis=1) == band[i]]  # else another bucket compares them
             for j in near:
                 a, b = top(int(root[i])), top(int(root[j]))
                 if a != b:
