@@ -136,3 +136,13 @@ def test_links_of_very_long_texts_off_the_pivots_are_found(spark):
     roots = spark.createDataFrame([], "node long, root long")
     got = {tuple(sorted((r["a"], r["b"]))) for r in N._across(members, classes, all_texts, roots, 2, 80).collect()}
     assert got == {(2 * k + 10, 2 * k + 11) for k in range(14)}
+
+
+def test_rows_without_an_id_stay(spark, make):
+    """One row of each group, whatever ids its rows have."""
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    one, two, three, four = (" ".join(f"{w}{k}" for w in words) for k in range(4))
+    rows = [(None, one), (None, two), (None, two), (5, three), (None, three), (6, four), (6, "another text under the same id"), (None, None), (None, ""), (7, ""), (7, "")]
+    got = [(r["doc_id"], r["text"]) for r in N.keep_one(make(rows).repartition(3)).collect()]
+    want = [(None, one), (None, two), (5, three), (6, four), (6, "another text under the same id"), (None, None), (None, ""), (7, "")]
+    assert sorted(got, key=str) == sorted(want, key=str)

@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import fresh, mix, stored, text_parts, windows, word_hashes
 from .components import components
@@ -246,8 +247,8 @@ def _open(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return _rooted(_rooted(pairs, roots, "a", "ra"), roots, "b", "rb").filter(F.col("ra") != F.col("rb")).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row; similarity is ``percent`` per cent at least."""
+def _groups(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The digest, and the root of each class with its key and smallest doc_id."""
     marks = stored(digest(docs, size), "digest")
     classes = marks.filter(F.col("key").isNotNull()).groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
@@ -274,7 +275,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     if late.first() is not None:
         roots = components(links.union(late))
 
-    named = stored(_rooted(classes.select("cid", "key", "doc_id"), roots, "cid", "root"), "named")
+    return marks, stored(_rooted(classes.select("cid", "key", "doc_id"), roots, "cid", "root"), "named")
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for each row; similarity is ``percent`` per cent at least."""
+    marks, named = _groups(docs, size, percent)
     lowest = stored(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "lowest")
     names = stored(named.join(lowest, "root").select("key", "component_id"), "names")
     out = marks.select("doc_id", "n_shingles", "key").join(names, "key", "left")
@@ -282,10 +288,32 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def _with_key(docs: DataFrame, key: str, size: int) -> DataFrame:
+    """``docs`` with the key of each text's set in the column ``key``."""
+    place = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([batch.column(place)], names=["text"])
+            keys = [k for _, data, offsets in text_parts([texts], "text", 1 << 20) for k in set_keys(*shingle_sets(data, offsets, size))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=[*batch.schema.names, key])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(key, BinaryType())]))
+
+
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, with all its columns; of several rows with the id that stays, one."""
-    kept = stored(near_duplicates(docs, size, percent).filter("kept").select("doc_id").distinct(), "kept")
-    number, own = fresh(docs, "_number"), fresh(docs, "_id")
-    rows = docs.withColumn(own, F.col("doc_id").cast("long")).join(kept.withColumnRenamed("doc_id", own), own, "left_semi")
-    first = F.row_number().over(Window.partitionBy(own).orderBy(own))
+    """One document of each group, with all its columns: one with the smallest id, of several the one with the smallest set key.
+
+    A group may have no id at all; one of it stays, too. Texts without words are alone: each id of theirs stays once, and each row without an id.
+    """
+    marks, named = _groups(docs, size, percent)
+    chosen = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("c")).select("c.doc_id", "c.key")
+    chosen = stored(chosen.union(marks.filter(F.col("key").isNull()).select("doc_id", "key").distinct()), "kept")
+    number, own, key = fresh(docs, "_number"), fresh(docs, "_id"), fresh(docs, "_key")
+    rows = _with_key(docs, key, size).withColumn(own, F.col("doc_id").cast("long"))
+    chosen = chosen.select(F.col("doc_id").alias("_chosen_id"), F.col("key").alias("_chosen_key"))
+    rows = rows.join(chosen, F.col(own).eqNullSafe(F.col("_chosen_id")) & F.col(key).eqNullSafe(F.col("_chosen_key")), "left_semi")
+    alone = F.when(F.col(own).isNull() & F.col(key).isNull(), F.monotonically_increasing_id())
+    rows = rows.withColumn(number, alone)  # null but for rows that nothing tells apart
+    first = F.row_number().over(Window.partitionBy(own, key, number).orderBy(own))
     return rows.withColumn(number, first).filter(F.col(number) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
