@@ -42,3 +42,9 @@ def test_no_python_in_the_plan(spark):
     labelled = spark.createDataFrame(U.LABELLED, "url string, blocked int")
     plan = U.verdicts(spark.createDataFrame([(1, "http://x")], "page_id long, url string"), URL_RULES, labelled)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_labels_hold_no_host_of_the_test_tables(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    known = {brute(r["url"])[0].removeprefix("www.").removeprefix("m.").removeprefix("blog.").split(".")[0] for r in pages.collect()} - {""}
+    assert known and not known & {brute(u)[0].removeprefix("www.").removeprefix("m.").removeprefix("blog.").split(".")[0] for u, _ in U.LABELLED}
