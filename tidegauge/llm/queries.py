@@ -7,7 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, masked_lm, near_dup, packing, quality_classifier, quality_rules, token_count, toxicity, url_filter
+from . import (
+    centroid_clusters,
+    decontaminate,
+    fingerprints,
+    language_id,
+    masked_lm,
+    near_dup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    spelling,
+    sql,
+    token_count,
+    toxicity,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -87,3 +102,18 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_masked_lm")
 def op4_masked_lm(spark: SparkSession, folder: str) -> DataFrame:
     return masked_lm.score_corpus(table(spark, folder, "documents"))
+
+
+@query("op11_spelling_variants", sql.SPELLING)
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+@query("op12_fingerprints", sql.FINGERPRINTS)
+def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint(table(spark, folder, "documents"))
+
+
+@query("op13_centroid_clusters", sql.CENTROIDS)
+def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroid_clusters.cluster(table(spark, folder, "embeddings"))
