@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 BLOCK = 2048
+GROUPS = 32
 SCALE = 1024
 LARGEST = 100_000.0
 #: More than rounding can add to sums of square roots below 2e9.
@@ -169,7 +170,7 @@ def advance(data: bytes | None, x: np.ndarray, centroids: np.ndarray, drift: np.
 
 
 def assign(blocks: DataFrame, state: DataFrame | None, parts: int, centroids: np.ndarray, drift: np.ndarray) -> DataFrame:
-    """Heaps per block, and one row per task without a block that holds what moved."""
+    """Heaps per block, and a row per task, with a negative number, that holds what moved."""
     k, dims = centroids.shape
 
     def run(batches):
@@ -180,7 +181,8 @@ def assign(blocks: DataFrame, state: DataFrame | None, parts: int, centroids: np
                 heaps, moved = advance(batch.column(2)[i].as_py(), x, centroids, drift)
                 total += moved
                 yield row(batch.column(0)[i].as_py(), heaps.data(), None)
-        yield row(None, None, total.ravel().tolist())
+        if total.any():
+            yield row(-1 - TaskContext.get().partitionId(), None, total.ravel().tolist())
 
     def row(block, heaps, moved):
         arrays = [pa.array([block], pa.int64()), pa.array([heaps], pa.binary()), pa.array([moved], pa.list_(pa.int64()))]
@@ -193,16 +195,20 @@ def with_heaps(blocks: DataFrame, state: DataFrame | None, parts: int) -> DataFr
     """Blocks beside their heaps; only the heaps are shuffled."""
     if state is None:
         return blocks.withColumn("heaps", F.lit(None).cast("binary"))
-    own = state.filter(F.col("block").isNotNull()).select("block", "heaps").repartition(parts, "block")
+    own = state.filter(F.col("block") >= 0).select("block", "heaps").repartition(parts, "block")
     return blocks.join(own.hint("shuffle_hash"), "block")
 
 
 def total_moved(state: DataFrame, shape: tuple[int, int]) -> np.ndarray:
-    parts = state.filter(F.col("moved").isNotNull()).select(F.posexplode("moved").alias("at", "n"))
-    out = np.zeros(shape[0] * shape[1], np.int64)
-    for r in parts.groupBy("at").agg(F.sum("n").alias("n")).collect():  # k times (dims + 1) rows
-        out[r["at"]] = r["n"]
-    return out.reshape(shape)
+    """Sum of what moved in all tasks; the driver adds up ``GROUPS`` arrays at most."""
+
+    def add(rows: pa.Table) -> pa.Table:
+        moved = rows["moved"].combine_chunks().flatten().to_numpy().reshape(-1, shape[0] * shape[1])
+        return pa.table({"moved": pa.array([moved.sum(axis=0)], pa.list_(pa.int64()))})
+
+    parts = state.filter(F.col("block") < 0).select((F.col("block") % GROUPS).alias("part"), "moved")
+    sums = parts.groupBy("part").applyInArrow(add, "moved array<long>").collect()
+    return sum((np.array(r["moved"], np.int64).reshape(shape) for r in sums), np.zeros(shape, np.int64))
 
 
 def moved_on(centroids: np.ndarray, sums: np.ndarray) -> np.ndarray:
