@@ -27,7 +27,7 @@ def plain_mark(text, df, n):
     out = f"{level:02d}"
     for at in range(level, level + fp.LEVELS):
         for k in range(fp.LISTS):
-            chosen = [t for t in own if int(hashlib.sha256(f"{k // 8}:{t}".encode()).hexdigest()[k % 8 * 8 : k % 8 * 8 + 8], 16) < 2 ** (32 - at)]
+            chosen = [t for t in own if int(hashlib.md5(t.encode()).hexdigest()[16:], 16) * fp.factor(k) % 2**64 < 2 ** (64 - at)]
             out += hashlib.md5(" ".join(chosen).encode()).hexdigest()[:4] if chosen else "...."
     return out
 

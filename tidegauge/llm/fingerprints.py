@@ -5,8 +5,8 @@ lexicon holds the terms whose inverse document frequency ln(N / df) lies in a ba
 are over all documents, equal texts included. A term is counted under its bucket, 24 bits of its md5, so the counts of
 any corpus fit 2^24 numbers and the lexicon is a bit map of 2 MB, which goes to every task; terms of one bucket share a count.
 
-Each of ``LISTS`` random functions thins the lexicon level by level: level l keeps one term in 2^l, as 32 bits of a
-sha256 of the term decide, and a level's terms are among those of the level above. A document of n lexicon terms
+Each of ``LISTS`` random functions thins the lexicon level by level: level l keeps one term in 2^l, as the upper half of the
+term's md5 times the function's factor decides (64 bits), and a level's terms are among those of the level above. A document of n lexicon terms
 uses the ``LEVELS`` levels from floor(log2 n) on, where a thinned lexicon holds one or two of its terms at first, then fewer. For each
 level and function its distinct terms there are sorted and hashed; the fingerprint is the first level and the 160 hashes (four dots
 if no term is there). The likeness of two fingerprints is the number of equal hashes at levels that both use, divided by
@@ -42,10 +42,11 @@ BITS = 24
 LISTS = 32
 LEVELS = 5
 EMPTY = "...."
+EMPTY_CODE = int.from_bytes(EMPTY.encode(), "little")
 BARE = "--"
 MAX_LEVEL = 28
 #: Terms that a task remembers; it forgets all of them when there are more.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 LOW, HIGH = math.log(2), math.log(1 << 20)
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
@@ -58,25 +59,30 @@ def bucket(term: bytes) -> int:
     return int.from_bytes(hashlib.md5(term).digest()[:3], "big")
 
 
+def factor(k: int) -> int:
+    """The odd 32-bit number of a function."""
+    return int(hashlib.md5(str(k).encode()).hexdigest()[:8], 16) | 1
+
+
+FACTORS = np.array([factor(k) for k in range(LISTS)], np.uint64)
+
+
 def count_terms(batches):
     """(bucket, number of documents with a term there), and the number of documents as bucket -1."""
-    counts, n, known = np.zeros(1 << BITS, np.int64), 0, {}
+    counts, n, known = np.zeros(1 << BITS, np.int32), 0, {}
     for batch in batches:
         for text in batch.column(0).to_pylist():
             n += 1
-            found = set()
-            for t in terms(text):
-                b = known.get(t)
-                if b is None:
-                    b = known[t] = bucket(t)
-                found.add(b)
-            counts[list(found)] += 1
+            found = terms(text)
             if len(known) > REMEMBERED:
                 known.clear()
+            for t in found.difference(known):
+                known[t] = bucket(t)
+            counts[list({known[t] for t in found})] += 1
     at = np.flatnonzero(counts)
     for first in range(0, len(at), 1 << 16):
         part = at[first : first + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(counts[part])], names=["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(counts[part].astype(np.int64))], names=["bucket", "n"])
     yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([n])], names=["bucket", "n"])
 
 
@@ -93,40 +99,37 @@ def lexicon(docs: DataFrame, text: str, low: float, high: float) -> bytes:
     return bits.tobytes()
 
 
-def draws(term: bytes) -> bytes:
-    """A 32-bit number per function."""
-    return b"".join(hashlib.sha256(b"%d:%s" % (k, term)).digest() for k in range(LISTS // 8))
-
-
 class Fingerprinter:
     def __init__(self, bits: bytes):
-        self.bits, self.known = np.frombuffer(bits, np.uint32), {}
-
-    def drawn(self, term: bytes) -> bytes:
-        """The numbers of a lexicon term; nothing for other terms."""
-        got = self.known.get(term)
-        if got is None:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            b = bucket(term)
-            got = self.known[term] = draws(term) if self.bits[b >> 5] >> np.uint32(b & 31) & np.uint32(1) else b""
-        return got
+        self.bits, self.known = np.frombuffer(bits, np.uint32).tolist(), {}
+
+    def learn(self, found: set[bytes]) -> dict[bytes, bytes | None]:
+        """md5 of known terms, with these among them; None for terms outside the lexicon."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        for t in found.difference(self.known):
+            digest = hashlib.md5(t).digest()
+            b = int.from_bytes(digest[:3], "big")
+            self.known[t] = digest if self.bits[b >> 5] >> (b & 31) & 1 else None
+        return self.known
 
     def __call__(self, text: str) -> str:
         found = terms(text)
-        own = sorted(t for t in found if self.drawn(t))
+        known = self.learn(found)
+        own = sorted([t for t in found if known[t]])
         if not own:
             return BARE + hashlib.md5(b" ".join(sorted(found))).hexdigest()
         middle = min(len(own).bit_length() - 1, MAX_LEVEL)
-        numbers = np.frombuffer(b"".join(map(self.drawn, own)), ">u4").reshape(-1, LISTS)
-        out = []
-        for level in range(middle, middle + LEVELS):
-            lists: list[list[bytes]] = [[] for _ in range(LISTS)]
-            which, at = np.nonzero(numbers.astype(np.uint64) < 1 << (32 - level))
-            for w, k in zip(which.tolist(), at.tolist()):
-                lists[k].append(own[w])
-            out += [hashlib.md5(b" ".join(x)).hexdigest()[:4] if x else EMPTY for x in lists]
-        return f"{middle:02d}" + "".join(out)
+        last = np.frombuffer(b"".join([known[t] for t in own]), ">u8")[1::2].astype(np.uint64)
+        numbers = last[:, None] * FACTORS >> np.uint64(32)
+        which, at = np.nonzero(numbers < np.uint64(1 << 32 - middle))  # row by row, so terms stay sorted
+        zeros = 32 - np.frexp(numbers[which, at].astype(np.float64))[1]
+        deepest = np.minimum(zeros - middle, LEVELS - 1)
+        lists: list[list[bytes]] = [[] for _ in range(LISTS * LEVELS)]
+        for w, k, d in zip(which.tolist(), at.tolist(), deepest.tolist()):
+            for level in range(d + 1):
+                lists[level * LISTS + k].append(own[w])
+        return f"{middle:02d}" + "".join([EMPTY if not x else (known[x[0]] if len(x) == 1 else hashlib.md5(b" ".join(x)).digest())[:2].hex() for x in lists])
 
 
 def likeness(a: str, b: str) -> float:
@@ -135,16 +138,15 @@ def likeness(a: str, b: str) -> float:
         return 1.0
     if a.startswith(BARE) or b.startswith(BARE):
         return 0.0
-    first, second = int(a[:2]), int(b[:2])
-    equal = places = 0
-    for level in range(max(first, second), min(first, second) + LEVELS):
-        i, k = (2 + 4 * LISTS * (level - m) for m in (first, second))
-        for j in range(0, 4 * LISTS, 4):
-            x, y = a[i + j : i + j + 4], b[k + j : k + j + 4]
-            if x != EMPTY or y != EMPTY:
-                places += 1
-                equal += x == y
-    return equal / places if places else 0.0
+    ahead = int(a[:2]) - int(b[:2])
+    if abs(ahead) >= LEVELS:
+        return 0.0
+    x, y = (np.frombuffer(m[2:].encode(), "<u4") for m in (a, b))
+    x, y = x[max(-ahead, 0) * LISTS :], y[max(ahead, 0) * LISTS :]
+    x, y = x[: len(y)], y[: len(x)]
+    used = (x != EMPTY_CODE) | (y != EMPTY_CODE)
+    places = int(used.sum())
+    return int((used & (x == y)).sum()) / places if places else 0.0
 
 
 def edited(text: str, successor: str) -> str:

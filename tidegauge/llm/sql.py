@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .fingerprints import BITS, EMPTY, HIGH, LEVELS, LISTS, LOW, MAX_LEVEL
+from .fingerprints import BITS, EMPTY, HIGH, LEVELS, LISTS, LOW, MAX_LEVEL, factor
 
 
 def _crc_digits() -> str:
@@ -74,9 +74,11 @@ terms AS MATERIALIZED (
 named AS MATERIALIZED (SELECT term, md5(term)[1:{BITS // 4}] AS bucket FROM (SELECT DISTINCT term FROM terms)),
 counts AS (SELECT bucket, count(DISTINCT pos) AS df FROM terms JOIN named USING (term) WHERE kind = 0 GROUP BY bucket),
 lexicon AS MATERIALIZED (
-  SELECT term, sha256('0:' || term) || sha256('1:' || term) || sha256('2:' || term) || sha256('3:' || term) AS x
+  SELECT term, CAST(CAST('0x' || md5(term)[17:32] AS UBIGINT) AS HUGEINT) AS x
   FROM named JOIN counts USING (bucket) WHERE ln((SELECT count(*) FROM own) / df) BETWEEN {LOW!r} AND {HIGH!r}),
-drawn AS (SELECT term, k, CAST('0x' || x[8 * k + 1 : 8 * k + 8] AS BIGINT) AS number FROM lexicon, (SELECT unnest(range({LISTS})) AS k)),
+drawn AS (
+  SELECT term, k, CAST(x * factor % 18446744073709551616 // 4294967296 AS BIGINT) AS number
+  FROM lexicon, (SELECT unnest(range({LISTS})) AS k, unnest({[factor(k) for k in range(LISTS)]}) AS factor)),
 sizes AS (SELECT pos, kind, least(CAST(floor(log2(count(*))) AS INTEGER), {MAX_LEVEL}) AS middle FROM terms JOIN lexicon USING (term) GROUP BY pos, kind),
 listed AS (
   SELECT s.pos, s.kind, l.level, d.k, md5(string_agg(d.term, ' ' ORDER BY d.term))[1:4] AS h
