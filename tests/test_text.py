@@ -177,3 +177,39 @@ def test_postings(spark):
     df = spark.createDataFrame([(1, "a b a"), (2, "b c"), (3, "")], "id int, t string")
     got = {(r.word, r.id): (r.n_words, r.doc_freq) for r in text.postings(df, "id", "t").collect()}
     assert got == {("a", 1): (2, 1), ("b", 1): (2, 2), ("b", 2): (2, 2), ("c", 2): (2, 1)}
+
+
+@pytest.mark.parametrize("seed, k", [(1, 5), (2, 40), (3, 400)])
+def test_set_pairs_over_several_batches(spark, seed, k):
+    """Few alike, frequent words in all sets, sets of very different sizes."""
+    import random
+    rng = random.Random(seed)
+    common, rare = ["common" + c for c in "abcde"], ["w" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(500)]
+    docs = [(i, " ".join(rng.sample(common, rng.randint(1, 5)) + rng.sample(rare, rng.choice([0, 2, 10, 60])))) for i in range(60)]
+    docs += [(100 + i, docs[i][1] + " extra" + chr(97 + i)) for i in range(6)]
+    got = similarity.top_set_pairs(spark.createDataFrame(docs, "id long, text string"), "id", "text", k).collect()
+    first = {}
+    for d, t in docs:
+        first.setdefault(frozenset(t.split()), d)
+    same([(r.a, r.b, r.jaccard) for r in got], brute_pairs([(d, " ".join(s)) for s, d in first.items()], k))
+
+
+def test_queue_ends_at_the_last_of_the_best(spark, monkeypatch):
+    """Pairs that are alike fill the list from the first places; no other place is met."""
+    import random
+    rng = random.Random(4)
+    base = [["d" + chr(97 + d // 26) + chr(97 + d % 26) + chr(97 + i) for i in range(20)] for d in range(100)]
+    docs = [(d, " ".join(ws + ["everywhere"])) for d, ws in enumerate(base)] + [(1000 + d, " ".join(ws[1:] + ["everywhere"])) for d, ws in enumerate(base)]
+    lows, new_pairs = [], similarity._new_pairs
+    monkeypatch.setattr(similarity, "_new_pairs", lambda o, low, *rest: lows.append(low) or new_pairs(o, low, *rest))
+    rng.shuffle(docs)
+    got = similarity.top_set_pairs(spark.createDataFrame(docs, "id long, text string"), "id", "text", 50).collect()
+    assert all(r.b == r.a + 1000 for r in got) and min(lows) > 0.85 * similarity.STEPS
+
+
+def test_next_batch_keeps_to_the_work_allowed():
+    work = {10: 5, 9: 5, 8: 50, 7: 1}
+    assert similarity.next_batch(work, 11, 1, 20) == 9
+    assert similarity.next_batch(work, 9, 1, 20) == 8
+    assert similarity.next_batch(work, 9, 1, 10**6) == 1
+    assert similarity.next_batch(work, 11, 10, 10**6) == 10

@@ -15,7 +15,12 @@ from ..session import cut_lineage
 from .skew import attach
 from .text import rows_of
 
-DESCENT = (0.99, 0.97, 0.95, 0.9, 0.8, 0.65, 0.5, 0.35, 0.2, 1e-9)
+#: Steps of the bound that the queue of prefixes is ordered by.
+STEPS = 512
+#: Steps of the queue whose work is counted at a time.
+RANGE = 128
+#: How much more work, in possible pairs, each batch of the queue may bring than the one before.
+GROWTH = 8
 
 
 def _ordered_sets(sets: DataFrame) -> DataFrame:
@@ -27,35 +32,62 @@ def _ordered_sets(sets: DataFrame) -> DataFrame:
     return grouped.select("rep", F.col("_p.word").alias("words"), F.size("_p").alias("n"))
 
 
-def _pairs_at_least(ordered: DataFrame, t: float, k: int) -> DataFrame:
-    """The best ``k`` pairs of different sets among those with Jaccard >= t, exact.
+def _events(ordered: DataFrame, low: int) -> DataFrame:
+    """One row per set and place: the word there, and the step of the bound that holds from this place on, if ``low`` or more.
 
-    Two such sets must share one of their rarest words (the prefix), at places where sizes and positions still
-    allow t. Candidates carry two ids only, and a frequent word is split by adaptive execution; the words of both sets
-    are joined to what is left, and the scores go straight into a bounded top-k.
+    If the first word that two sets share is at place p of a set of n words, their Jaccard is at most (n - p) / n.
     """
-    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(t) - F.lit(1e-9)) + 1
-    entry = ordered.select("rep", "n", F.posexplode(F.slice("words", F.lit(1), prefix.cast("int"))).alias("at", "word"))
-    a = entry.select("word", *[F.col(c).alias(c + "_a") for c in ("rep", "n", "at")])
-    b = entry.select("word", *[F.col(c).alias(c + "_b") for c in ("rep", "n", "at")])
-    need = F.lit(t / (1 + t)) * (F.col("n_a") + F.col("n_b")) - F.lit(1e-9)
-    left = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    possible = (
-        (F.col("rep_a") < F.col("rep_b"))
-        & (F.col("n_a") >= F.col("n_b") * F.lit(t) - F.lit(1e-9))
-        & (F.col("n_b") >= F.col("n_a") * F.lit(t) - F.lit(1e-9))
-        & (left >= need)
-    )
-    pairs = a.join(b, "word").filter(possible).select("rep_a", "rep_b").distinct()
+    places = F.ceil(F.col("n") * F.lit((STEPS - low + 1) / STEPS)).cast("int")
+    rows = ordered.select("rep", "n", F.posexplode(F.slice("words", F.lit(1), places)).alias("at", "word"))
+    return rows.withColumn("step", F.ceil((F.col("n") - F.col("at")) / F.col("n") * STEPS).cast("int")).filter(F.col("step") >= low)
+
+
+def _work(ordered: DataFrame, low: int) -> dict[int, int]:
+    """How many pairs of places with the same word each step from ``low`` on adds to the higher ones."""
+    by_word = _events(ordered, low).groupBy("word", "step").agg(F.count(F.lit(1)).alias("c"))
+    above = F.sum("c").over(W.partitionBy("word").orderBy(F.desc("step")).rowsBetween(W.unboundedPreceding, -1))
+    pairs = by_word.withColumn("more", F.col("c") * (F.col("c") - 1) / 2 + F.col("c") * F.coalesce(above, F.lit(0)))
+    return {r["step"]: int(r["more"]) for r in pairs.groupBy("step").agg(F.sum("more").alias("more")).collect()}  # STEPS rows
+
+
+def next_batch(work: dict[int, int], high: int, end: int, allowed: int) -> int:
+    """The step down to which the queue is worked off: at least one step, then to ``end`` while the work is allowed."""
+    low = high - 1
+    done = work.get(low, 0)
+    while low > end and done + work.get(low - 1, 0) <= allowed:
+        low -= 1
+        done += work.get(low, 0)
+    return low
+
+
+def _new_pairs(ordered: DataFrame, low: int, high: int, least: float, k: int) -> DataFrame:
+    """The best ``k`` pairs of sets whose first shared word has the lower of its two steps in [low, high).
+
+    Pairs below ``least`` are ruled out twice before any words are fetched: each shared place bounds what is still to come, and the
+    number of shared words so far with the place of the last one bounds the whole. Candidates carry numbers
+    only, and a frequent word is split by adaptive execution; the scores go straight into a bounded top-k.
+    """
+    live = _events(ordered, low).filter((F.col("n") - F.col("at")) / F.col("n") >= least - 1e-9)
+    a, b = (live.select("word", *[F.col(c).alias(c + side) for c in ("rep", "n", "at", "step")]) for side in ("_a", "_b"))
+    total = F.col("n_a") + F.col("n_b")
+
+    def possible(shared: Column) -> Column:
+        return shared >= F.lit(least) * (total - shared) - 1e-9
+
+    to_come = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    met = a.join(b, "word").filter((F.col("rep_a") < F.col("rep_b")) & possible(to_come))
+    pairs = met.groupBy("rep_a", "rep_b", "n_a", "n_b").agg(
+        F.count(F.lit(1)).alias("so_far"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b"), F.max(F.least("step_a", "step_b")).alias("first"))
+    pairs = pairs.filter((F.col("first") < high) & possible(F.col("so_far") - 1 + to_come)).select("rep_a", "rep_b", "n_a", "n_b")
     for side in ("_a", "_b"):
-        pairs = pairs.join(ordered.select(*[F.col(c).alias(c + side) for c in ("rep", "words", "n")]), "rep" + side)
+        pairs = pairs.join(ordered.select(*[F.col(c).alias(c + side) for c in ("rep", "words")]), "rep" + side)
     found = pairs.withColumn("shared", F.size(F.array_intersect("words_a", "words_b")))
-    union = F.col("n_a") + F.col("n_b") - F.col("shared")
-    scored = found.withColumn("jaccard", F.col("shared") / union).filter(F.col("jaccard") >= t - 1e-9)
-    return (
-        scored.select("rep_a", "rep_b", "shared", "n_a", "n_b", "jaccard")
-        .orderBy(F.desc(F.round("jaccard", 12)), "rep_a", "rep_b").limit(k)
-    )
+    scored = found.withColumn("jaccard", F.col("shared") / (total - F.col("shared")))
+    return _best(scored.select("rep_a", "rep_b", "shared", "n_a", "n_b", "jaccard"), k)
+
+
+def _best(pairs: DataFrame, k: int) -> DataFrame:
+    return pairs.orderBy(F.desc(F.round("jaccard", 12)), "rep_a", "rep_b").limit(k)
 
 
 def _set_groups(df: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
@@ -72,14 +104,27 @@ def _set_groups(df: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
     return groups.withColumn("rep", F.get("ids", F.lit(0)))
 
 
-def _best_pairs(groups: DataFrame, k: int, known: int = 0) -> DataFrame:
-    """The best pairs of different sets, searched from high thresholds downwards until ``k`` with those known."""
+def _best_pairs(groups: DataFrame, k: int) -> DataFrame:
+    """The best ``k`` pairs of different sets, exact.
+
+    Prefixes of all sets grow word by word, rarest first, in the order of a bound on what a longer prefix can still bring. The
+    queue is worked off in batches; a batch meets all places before it. Once ``k`` pairs are known, the score of
+    the last one is the bound at which the queue ends, and what each later batch skips. The first batch may bring
+    as many possible pairs as there are sets, each further one ``GROWTH`` times as many.
+    """
     ordered = cut_lineage(_ordered_sets(groups.select("rep", "words")))
-    best = None
-    for t in DESCENT:
-        best = cut_lineage(_pairs_at_least(ordered, t, k))
-        if known + best.count() >= k:
-            break
+    best, high, least, work, allowed, counted = None, STEPS + 1, 0.0, {}, max(ordered.count(), k), STEPS + 1
+    while best is None or (high > 1 and (high - 1) / STEPS >= least):
+        end = max(math.floor(least * STEPS), 1)
+        if high == counted:
+            counted = max(high - RANGE, end)
+            work = _work(ordered, counted)
+        low = next_batch(work, high, max(counted, end), allowed)
+        found = _new_pairs(ordered, low, high, least, k)
+        best = cut_lineage(found if best is None else _best(best.union(found), k))
+        scores = [r["jaccard"] for r in best.select("jaccard").collect()]  # k rows
+        least = min(scores) if len(scores) == k else 0.0
+        high, allowed = low, allowed * GROWTH
     return best
 
 
@@ -109,7 +154,7 @@ def top_document_pairs(df: DataFrame, doc_id: str, text: str, k: int = 10) -> Da
     known = copies.count()
     if known >= k:
         return copies
-    best = _best_pairs(groups, k, known)
+    best = _best_pairs(groups, k)
     ids = groups.select(F.col("rep"), F.col("ids"))
     left, right = ids.toDF("rep_a", "ids_a"), ids.toDF("rep_b", "ids_b")
     members = (
