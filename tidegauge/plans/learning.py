@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import hash_unit, tokens
-from ..operators import clean, descent, evaluate, learn, split
+from ..operators import clean, descent, evaluate, learn, split, trees
 from ..session import cut_lineage
 from ..sources.tables import spread
 from .registry import Tables, query
@@ -144,6 +144,104 @@ def l18_mean_ensemble(t: Tables) -> DataFrame:
     return learn.mean_probability(test, models).select("doc_id", "label", F.round("prob", 6).alias("prob"))
 
 
+# ---- models as tables ------------------------------------------------------------------
+
+TOKENS = "regexp_extract_all(lower(text), '[a-z]+')"
+CELLS_SQL = f"""w AS (SELECT doc_id, CAST(quality AS DOUBLE) AS label, n_chars, {TOKENS} AS w FROM documents JOIN labels USING (doc_id)),
+     r AS MATERIALIZED (SELECT doc_id, label, {unit("doc_id", 3)} < 0.7 AS train,
+       [CAST(n_chars AS DOUBLE), len(w), len(list_distinct(w)), length(array_to_string(w, '')) / greatest(len(w), 1), len(list_distinct(w)) / greatest(len(w), 1)] AS x FROM w),
+     x AS MATERIALIZED (SELECT doc_id, label, train, unnest(range({len(FEATURES)})) AS f, coalesce(unnest(x), 0) AS x FROM r),
+     cuts AS (SELECT DISTINCT f, unnest(quantile_disc(x, [i / 16.0 for i in range(1, 16)])) AS t FROM x WHERE train AND label IS NOT NULL GROUP BY f),
+     bins AS MATERIALIZED (SELECT doc_id, x.f, count(t) AS bin FROM x LEFT JOIN cuts ON cuts.f = x.f AND t < x GROUP BY doc_id, x.f)"""
+
+
+def levels_sql(name: str, depth: int, least: int, seed: int | None) -> str:
+    """Tables that grow trees from ``{name}m`` (doc_id, tree, w, s) and end with ``{name}v`` (doc_id, tree, value)."""
+    drawn = "" if seed is None else f" AND {unit("concat(tree, ':', node, ':', f)", seed)} < 0.6"
+    parts = [f"{name}0 AS MATERIALIZED (SELECT doc_id, tree, 1 AS node FROM r, (SELECT DISTINCT tree FROM {name}m))"]
+    for i in range(depth):
+        parts.append(f"""{name}h{i} AS (SELECT tree, node, f, bin, sum(w) AS w, sum(s) AS s FROM {name}{i} JOIN {name}m USING (doc_id, tree) JOIN bins USING (doc_id) WHERE node >= {1 << i} AND w > 0 GROUP BY ALL),
+{name}c{i} AS (SELECT tree, node, f, bin, CAST(sum(w) OVER a AS DOUBLE) AS lw, CAST(sum(s) OVER a AS DOUBLE) AS ls, CAST(sum(w) OVER b AS DOUBLE) AS w, CAST(sum(s) OVER b AS DOUBLE) AS s FROM {name}h{i}
+   WINDOW a AS (PARTITION BY tree, node, f ORDER BY bin), b AS (PARTITION BY tree, node, f)),
+{name}b{i} AS MATERIALIZED (SELECT tree, node, f, bin, ls * ls / lw + (s - ls) * (s - ls) / (w - lw) - s * s / w AS gain FROM {name}c{i} WHERE lw >= {least} AND w - lw >= {least}{drawn}
+   QUALIFY gain > 1e-9 AND row_number() OVER (PARTITION BY tree, node ORDER BY gain DESC, f, bin) = 1),
+{name}{i + 1} AS MATERIALIZED (SELECT a.doc_id, a.tree, CASE WHEN b.f IS NULL THEN a.node ELSE 2 * a.node + CAST(x.bin > b.bin AS INTEGER) END AS node
+   FROM {name}{i} a LEFT JOIN {name}b{i} b ON b.tree = a.tree AND b.node = a.node LEFT JOIN bins x ON x.doc_id = a.doc_id AND x.f = b.f)""")
+    parts.append(f"""{name}l AS (SELECT tree, node, CAST(sum(s) AS DOUBLE) / CAST(sum(w) AS DOUBLE) AS value FROM {name}{depth} JOIN {name}m USING (doc_id, tree) GROUP BY ALL),
+{name}v AS MATERIALIZED (SELECT doc_id, tree, value FROM {name}{depth} JOIN {name}l USING (tree, node))""")
+    return ",\n".join(parts)
+
+
+FOREST_SQL = f"""{CELLS_SQL}, fm AS MATERIALIZED (SELECT doc_id, tree, 1 AS w, CAST(label AS BIGINT) AS s FROM r, (SELECT unnest(range(10)) AS tree) WHERE train AND label IS NOT NULL AND {unit("concat(doc_id, ':', tree)", 7)} < 0.7),
+{levels_sql("f", 4, 5, 7)}"""
+
+
+def boosted_sql(rounds: int) -> str:
+    out = [CELLS_SQL, "q0 AS MATERIALIZED (SELECT doc_id, label, train, 0.0::DOUBLE AS margin FROM r)"]
+    for i in range(rounds):
+        p = "(1 / (1 + exp(-margin)))"
+        out.append(f"""t{i}m AS MATERIALIZED (SELECT doc_id, {i} AS tree, CAST(round({p} * (1 - {p}) * 1048576) AS BIGINT) AS w, CAST(round((label - {p}) * 1048576) AS BIGINT) AS s FROM q{i} WHERE train AND label IS NOT NULL),
+{levels_sql(f"t{i}", 3, 1 << 20, None)},
+q{i + 1} AS MATERIALIZED (SELECT doc_id, label, train, margin + 0.1::DOUBLE * value AS margin FROM q{i} JOIN t{i}v USING (doc_id))""")
+    return ",\n".join(out)
+
+
+def test_scores(rows: DataFrame, prob) -> DataFrame:
+    return rows.select("doc_id", "label", F.round(prob, 6).alias("prob"), F.when(prob > 0.5, 1.0).otherwise(0.0).alias("prediction"))
+
+
+@query("l7_forest_table", f"""
+WITH {FOREST_SQL} SELECT doc_id, any_value(label) AS label, round(avg(value), 6) AS prob, CAST(avg(value) > 0.5 AS DOUBLE) AS prediction FROM fv JOIN r USING (doc_id) WHERE NOT train GROUP BY doc_id""")
+def l7_forest_table(t: Tables) -> DataFrame:
+    """A forest grown from aggregates, applied as a table of nodes."""
+    train, test = documents(t)
+    return test_scores(test, trees.mean_value(trees.grow_forest(train, FEATURES, "label", "doc_id").collect()))
+
+
+@query("l16_table_importance", f"""
+WITH {FOREST_SQL}, g AS ({" UNION ALL ".join(f"SELECT tree, f, gain FROM fb{i}" for i in range(4))}),
+     s AS (SELECT tree, f, sum(gain) / sum(sum(gain)) OVER (PARTITION BY tree) AS s FROM g GROUP BY tree, f)
+SELECT {FEATURES!r}[f + 1] AS feature, round(sum(s) / sum(sum(s)) OVER (), 6) AS importance FROM s GROUP BY f""")
+def l16_table_importance(t: Tables) -> DataFrame:
+    train, _ = documents(t)
+    out = trees.importances(trees.grow_forest(train, FEATURES, "label", "doc_id"))
+    return out.select("feature", F.round("importance", 6).alias("importance"))
+
+
+@query("l8_boosted_table", f"""
+WITH {boosted_sql(5)} SELECT doc_id, label, round(1 / (1 + exp(-margin)), 6) AS prob, CAST(margin > 0 AS DOUBLE) AS prediction FROM q5 WHERE NOT train""")
+def l8_boosted_table(t: Tables) -> DataFrame:
+    """Boosted trees grown from aggregates, applied as a table of nodes."""
+    train, test = documents(t)
+    return test_scores(test, trees.logistic(trees.margin(trees.grow_boosted(train, FEATURES, "label").collect())))
+
+
+@query("l15_table_stopping", f"""
+WITH {boosted_sql(6)}, e AS ({" UNION ALL ".join(f"SELECT {n} AS rounds, avg(ln(1 + exp(-margin * (2 * label - 1)))) AS loss FROM q{n} WHERE NOT train AND label IS NOT NULL" for n in (2, 4, 6))}),
+     p AS (SELECT *, lag(loss) OVER (ORDER BY rounds) AS before FROM e), k AS (SELECT min(rounds) AS stop FROM p WHERE before - loss <= 0.001)
+SELECT CAST(rounds AS INTEGER) AS rounds, round(loss, 6) AS loss, rounds = coalesce(stop - 2, 6) AS is_best FROM p, k WHERE rounds <= coalesce(stop, 6)""")
+def l15_table_stopping(t: Tables) -> DataFrame:
+    """Loss on other rows of the first trees of one boosted table, up to the first size that brings next to nothing."""
+    train, valid = documents(t)
+    nodes = trees.grow_boosted(train, FEATURES, "label", rounds=6).collect()
+    sizes = [2, 4, 6]
+    losses = valid.filter(F.col("label").isNotNull()).agg(*[F.avg(F.log(1 + F.exp(-trees.margin(nodes, n) * (2 * F.col("label") - 1)))).alias(str(n)) for n in sizes]).first()
+    tried, chosen = learn.stopping_point([-losses[str(n)] for n in sizes], 1, 0.001)
+    rows = [(n, round(losses[str(n)], 6), i == chosen) for i, n in enumerate(sizes[:tried])]
+    return t.spark.createDataFrame(rows, "rounds int, loss double, is_best boolean").coalesce(1)
+
+
+@query("l18_table_ensemble", f"""
+WITH {FOREST_SQL}, f AS (SELECT doc_id, avg(value) AS p FROM fv GROUP BY doc_id), {boosted_sql(3).split(CELLS_SQL + ",")[1]}
+SELECT q3.doc_id, label, round((p + 1 / (1 + exp(-margin))) / 2, 6) AS prob FROM q3 JOIN f USING (doc_id) WHERE NOT train""")
+def l18_table_ensemble(t: Tables) -> DataFrame:
+    """Mean probability of a forest and of boosted trees, both as tables."""
+    train, test = documents(t)
+    forest, boosted = (n.collect() for n in (trees.grow_forest(train, FEATURES, "label", "doc_id"), trees.grow_boosted(train, FEATURES, "label", rounds=3)))
+    prob = (trees.mean_value(forest) + trees.logistic(trees.margin(boosted))) / 2
+    return test.select("doc_id", "label", F.round(prob, 6).alias("prob"))
+
+
 # ---- order and line models -------------------------------------------------------------
 
 
