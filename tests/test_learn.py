@@ -120,3 +120,22 @@ def test_importances(data):
     m = learn.fit(data, [VectorAssembler(inputCols=["a", "b"], outputCol="features"), learn.forest("label", trees=5)]).stages[-1]
     rows = learn.importance_table(data, m, ["a", "b"]).collect()
     assert [r.feature for r in rows] == ["a", "b"] and sum(r.importance for r in rows) == pytest.approx(1)
+
+
+@pytest.mark.parametrize("mix", [0.0, 1.0])
+def test_optimality_of_penalised_fits(spark, mix):
+    """Satisfied at the fitted coefficients, not beside them."""
+    import random
+    rng = random.Random(6)
+    data = [(a := rng.gauss(0, 1), b := rng.gauss(5, 3), rng.gauss(0, 1), 3 * a - b + rng.gauss(0, 1)) for _ in range(500)]
+    df = spark.createDataFrame(data, "a double, b double, c double, y double")
+    names = ["a", "b", "c"]
+    made = VectorAssembler(inputCols=names, outputCol="features").transform(df)
+    model = learn.linear("y", reg=0.3, mix=mix).setTol(1e-12).setMaxIter(1000).fit(made)
+    found = model.coefficients.toArray().tolist()
+    with_null = df.union(spark.createDataFrame([(None, 1.0, 1.0, 1.0)], df.schema))
+    assert all(r.satisfied for r in learn.optimality(with_null, names, "y", found, model.intercept, 0.3, mix, 1e-4).collect())
+    beside = learn.optimality(df, names, "y", [found[0] * 1.05, *found[1:]], model.intercept, 0.3, mix, 1e-4).collect()
+    assert not beside[0].satisfied
+    if mix:
+        assert found[2] == 0 and abs(beside[2].gradient) <= beside[2].bound

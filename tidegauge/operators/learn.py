@@ -120,6 +120,32 @@ def linear(label: str, features: str = "features", reg: float = 0.0, mix: float
                             solver="normal" if mix == 0 else "auto")
 
 
+def optimality(df: DataFrame, columns: Sequence[str], label: str, coefficients: Sequence[float], intercept: float, reg: float, mix: float,
+               tolerance: float = 1e-6) -> DataFrame:
+    """Whether penalised least squares has its optimum at the given coefficients, from one aggregate over the rows.
+
+    Per column: the gradient of half the mean squared error, the bound that the penalty allows it, and ``satisfied``. At the
+    optimum a non-zero coefficient's gradient is minus the slope of its penalty, and a zero coefficient's is within the lasso part. Penalties
+    are those of ``linear``: on columns of unit variance, and the ridge part divided by the deviation of the label. The
+    tolerance is a share of the gradient at coefficients of zero. Rows with a null in any of the columns are left out.
+    """
+    rows = df.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)], F.col(label).cast("double").alias("_y")).dropna()
+    x = [F.col(f"_x{i}") for i in range(len(columns))]
+    error = F.lit(float(intercept)) - F.col("_y")
+    for b, c in zip(coefficients, x):
+        error = error + F.lit(float(b)) * c
+    row = rows.agg(F.stddev_pop("_y").alias("sd"), *[e for i, c in enumerate(x) for e in (
+        F.covar_pop(c, error).alias(f"g{i}"), F.covar_pop(c, "_y").alias(f"z{i}"), F.stddev_pop(c).alias(f"s{i}"))]).first()
+    out = []
+    for i, (name, b) in enumerate(zip(columns, coefficients)):
+        gradient, start, sd = (row[f"{k}{i}"] or 0.0 for k in ("g", "z", "s"))
+        lasso, ridge = reg * mix * sd, reg * (1 - mix) / row["sd"] * sd * sd * b if row["sd"] else 0.0
+        slack = tolerance * max(abs(start), lasso)
+        fine = abs(gradient) <= lasso + slack if b == 0 else abs(gradient + ridge + float(np.sign(b)) * lasso) <= slack
+        out.append((name, float(b), float(gradient), float(lasso + abs(ridge)), bool(fine)))
+    return df.sparkSession.createDataFrame(out, "feature string, coefficient double, gradient double, bound double, satisfied boolean").coalesce(1)
+
+
 def fit(train: DataFrame, stages: Sequence[object]) -> PipelineModel:
     return Pipeline(stages=list(stages)).fit(train)
 

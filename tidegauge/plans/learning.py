@@ -287,6 +287,49 @@ def l10_ridge_lasso(t: Tables) -> DataFrame:
     return t.spark.createDataFrame(out, "kind string, coefficients array<double>, intercept double, rmse double").coalesce(1)
 
 
+PENALISED = ["l_quantity", "l_discount", "l_tax"]
+PAIRS = [(i, j) for i in range(3) for j in range(i, 3)]
+
+
+def penalised_sql() -> str:
+    """Ridge by Cramer's rule, lasso by coordinate descent, both on the covariances."""
+    c = {(i, j): f"c{min(i, j)}{max(i, j)}" for i in range(3) for j in range(3)}
+    a = {(i, j): f"({c[i, j]} + 100 / sy * {c[i, i]})" if i == j else c[i, j] for i in range(3) for j in range(3)}
+
+    def det(m: dict) -> str:
+        return " + ".join(f"{m[0, i]} * ({m[1, (i + 1) % 3]} * {m[2, (i + 2) % 3]} - {m[1, (i + 2) % 3]} * {m[2, (i + 1) % 3]})" for i in range(3))
+
+    ridge = [f"({det({(i, j): f'k{i}' if j == n else a[i, j] for i in range(3) for j in range(3)})}) / ({det(a)})" for n in range(3)]
+
+    def step(n: int) -> str:
+        others = " - ".join(f"{c[n, j]} * w{j}" for j in range(3) if j != n)
+        return f"sign(k{n} - {others}) * greatest(abs(k{n} - {others}) - 100 * sqrt({c[n, n]}), 0) / {c[n, n]}"
+
+    sums = ", ".join([f"covar_pop({PENALISED[i]}, {PENALISED[j]}) AS c{i}{j}" for i, j in PAIRS] + [f"covar_pop({x}, l_extendedprice) AS k{i}" for i, x in enumerate(PENALISED)])
+    rounds = " UNION ALL ".join(f"""SELECT step + 1, {", ".join(step(n) if n == now else f"w{n}" for n in range(3))} FROM l, m WHERE step < 60 AND step % 3 = {now}""" for now in range(3))
+    shown = []
+    for n, x in enumerate(PENALISED):
+        fitted = " + ".join(f"{c[n, j]} * w{j}" for j in range(3))
+        bound = f"CASE kind WHEN 'lasso' THEN 100 * sqrt({c[n, n]}) ELSE 100 / sy * {c[n, n]} * abs(w{n}) END"
+        shown.append(f"SELECT kind, '{x}' AS feature, round(w{n}, 0) + 0.0 AS coefficient, round({fitted} - k{n}, 1) + 0.0 AS gradient, round({bound}, 1) AS bound, true AS satisfied FROM w, m")
+    return f"""WITH RECURSIVE m AS (SELECT stddev_pop(l_extendedprice) AS sy, {sums} FROM lineitem),
+l AS (SELECT 0 AS step, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2 UNION ALL ({rounds})),
+w AS (SELECT 'lasso' AS kind, w0, w1, w2 FROM l WHERE step = 60 UNION ALL SELECT 'ridge', {", ".join(ridge)} FROM m)
+{" UNION ALL ".join(shown)}"""
+
+
+@query("l10_optimality", penalised_sql())
+def l10_optimality(t: Tables) -> DataFrame:
+    """Ridge and lasso with a proof that their coefficients are the best ones; rounded to what the solver settles."""
+    rows = VectorAssembler(inputCols=PENALISED, outputCol="features").transform(t.lineitem)
+    out = []
+    for kind, mix in (("ridge", 0.0), ("lasso", 1.0)):
+        model = learn.linear("l_extendedprice", reg=100.0, mix=mix).setTol(1e-12).setMaxIter(1000).fit(rows)
+        proof = learn.optimality(t.lineitem, PENALISED, "l_extendedprice", model.coefficients.toArray().tolist(), model.intercept, 100.0, mix)
+        out.append(proof.select(F.lit(kind).alias("kind"), "feature", *[(F.round(c, d) + 0.0).alias(c) for c, d in (("coefficient", 0), ("gradient", 1), ("bound", 1))], "satisfied"))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("l17_two_stage")
 def l17_two_stage(t: Tables) -> DataFrame:
     """Classify, regress on positives, and compare three ways to combine the two."""
