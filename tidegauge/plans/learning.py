@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import hash_unit, tokens
-from ..operators import clean, descent, evaluate, learn, split, trees
+from ..operators import clean, descent, evaluate, learn, perceptron, split, trees
 from ..session import cut_lineage
 from ..sources.tables import spread
 from .registry import Tables, query
@@ -231,6 +231,47 @@ def l15_table_stopping(t: Tables) -> DataFrame:
     return t.spark.createDataFrame(rows, "rounds int, loss double, is_best boolean").coalesce(1)
 
 
+HIDDEN, STEPS = 3, 12
+
+
+def perceptron_sql() -> str:
+    """Each step as one more pass over the rows."""
+    n = len(FEATURES)
+    names = perceptron.places([n, HIDDEN, 2])
+    w = {p: f"w{i}" for i, p in enumerate(names)}
+    first = ", ".join(f"{perceptron.first_weight(*p, 7)!r}::DOUBLE AS {c}" for p, c in w.items())
+    hidden = ", ".join(f"1 / (1 + exp(-({w[0, -1, j]} + {' + '.join(f'{w[0, i, j]} * x{i}' for i in range(n))}))) AS h{j}" for j in range(HIDDEN))
+    z = [f"({w[1, -1, j]} + {' + '.join(f'{w[1, i, j]} * h{i}' for i in range(HIDDEN))})" for j in range(2)]
+    out = [CELLS_SQL, f"u AS (SELECT f, avg(x) AS m, stddev_pop(x) AS s FROM x WHERE train GROUP BY f)",
+           f"""d AS MATERIALIZED (SELECT doc_id, any_value(label) AS label, any_value(train) AS train, {", ".join(f"sum((x - m) / s) FILTER (x.f = {i}) AS x{i}" for i in range(n))}
+   FROM x JOIN u USING (f) GROUP BY doc_id)""", f"s0 AS MATERIALIZED (SELECT {first})"]
+    slopes = []
+    for k, i, j in names:
+        one = "1" if i < 0 else f"h{i}" if k else f"x{i}"
+        slopes.append(f"any_value({w[k, i, j]}) - avg({'-' if k and not j else ''}e * {one}" + ("" if k else f" * ({w[1, j, 1]} - {w[1, j, 0]}) * h{j} * (1 - h{j})") + f") AS {w[k, i, j]}")
+    for i in range(STEPS + 1):
+        out += [f"h{i} AS (SELECT *, {hidden} FROM d, s{i})", f"e{i} AS (SELECT *, 1 / (1 + exp({z[0]} - {z[1]})) - label AS e FROM h{i})"]
+        if i < STEPS:
+            out.append(f"s{i + 1} AS MATERIALIZED (SELECT {', '.join(slopes)} FROM e{i} WHERE train AND label IS NOT NULL)")
+    return "WITH " + ",\n".join(out) + f"\nSELECT doc_id, label, round(e + label, 6) AS prob, CAST(e + label > 0.5 AS DOUBLE) AS prediction FROM e{STEPS} WHERE NOT train"
+
+
+@query("l9_perceptron_table", perceptron_sql())
+def l9_perceptron_table(t: Tables) -> DataFrame:
+    """A perceptron trained by aggregates over scaled columns, applied as a table of weights by joins and sums."""
+    train, test = documents(t)
+    row = train.agg(*[e for c in FEATURES for e in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))]).first()
+
+    def scaled_columns(rows: DataFrame) -> DataFrame:
+        return rows.select("doc_id", "label", *[((F.col(c) - row[f"m_{c}"]) / row[f"s_{c}"]).alias(c) for c in FEATURES])
+
+    weights = perceptron.descend(scaled_columns(train), FEATURES, "label", HIDDEN, STEPS)
+    rows = scaled_columns(test)
+    long = rows.select(F.col("doc_id").alias("id"), F.posexplode(F.array(*FEATURES)).alias("place", "x"))
+    p = perceptron.score_long(long, weights, 3).filter("target = 1").select(F.col("id").alias("doc_id"), "p")
+    return test_scores(rows.select("doc_id", "label").join(p, "doc_id"), F.col("p"))
+
+
 @query("l18_table_ensemble", f"""
 WITH {FOREST_SQL}, f AS (SELECT doc_id, avg(value) AS p FROM fv GROUP BY doc_id), {boosted_sql(3).split(CELLS_SQL + ",")[1]}
 SELECT q3.doc_id, label, round((p + 1 / (1 + exp(-margin))) / 2, 6) AS prob FROM q3 JOIN f USING (doc_id) WHERE NOT train""")
