@@ -4,9 +4,10 @@ import zlib
 
 import public_tokenizers
 import pytest
+from check_queries import compare, connect
 from tokenizers import Tokenizer
 
-from tidegauge.llm.queries import QUERIES
+from tidegauge.llm.queries import QUERIES, SQL
 
 from .test_near_dup import brute as near_groups
 from .test_packing import check as check_packing
@@ -98,3 +99,9 @@ def test_packing(run, docs):
     rows = run("op10_packing")
     check_packing(docs, rows)
     assert sum(r["length"] for r in rows) >= 0.97 * 2048 * len({r["sequence_id"] for r in rows})
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_matches_sql(spark, name):
+    problem, n, types = compare(spark, connect(FOLDER), name, FOLDER)
+    assert problem is None and types == "" and n > 0
