@@ -166,3 +166,20 @@ def test_chi_square_selection_of_continuous_columns(spark):
     got = learn.select_by_chi2(df, ["noise", "gappy", "good"], "y", 2).collect()
     assert [(r["place"], r["column"], r["dof"]) for r in got][0] == (1, "good", 9)
     assert learn.select_by_chi2(df.limit(0), ["good"], "y", 1).count() == 0
+
+
+def test_stored_sketches_merge_to_the_sketch_of_all(spark):
+    rows = [(i % 7, i % 900, None if i % 5 else f"v{i % 40}", None) for i in range(6000)]
+    df = spark.createDataFrame(rows, "day int, a long, b string, c string")
+    by_day = stats.distinct_sketches(df, ["a", "b", "c"], stats.F.col("day"), "day")
+    whole = {r.column: r.n_distinct for r in stats.merged_distinct(stats.distinct_sketches(df, ["a", "b", "c"], stats.F.lit(0), "day")).collect()}
+    merged = {r.column: r.n_distinct for r in stats.merged_distinct(by_day).collect()}
+    assert merged == whole and abs(merged["a"] - 900) <= 45 and merged["b"] == 8 and merged["c"] == 0
+    per_day = {(r.day, r.column): r.n_distinct for r in stats.merged_distinct(by_day, ["day"]).collect()}
+    assert len(per_day) == 21 and all(abs(per_day[d, "a"] - len({i % 900 for i in range(6000) if i % 7 == d})) <= 45 for d in range(7))
+    # a later day is added without the rows of the others
+    late = spark.createDataFrame([(8, 10_000 + i, "new", "x") for i in range(100)], df.schema)
+    more = stats.merged_distinct(by_day.union(stats.distinct_sketches(late, ["a", "b", "c"], stats.F.col("day"), "day")))
+    got = {r.column: r.n_distinct for r in more.collect()}
+    assert got["b"] == 9 and got["c"] == 1 and abs(got["a"] - 1000) <= 50
+    assert stats.merged_distinct(by_day.filter("day > 100")).count() == 0

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import bin_floor, ladder
 from ..functions.time import time_block
 from ..operators import stats
+from ..sources.tables import write_stage
 from .enrichment import route_rows
 from .registry import Tables, query
 
@@ -73,6 +74,15 @@ def a6_approx_distinct(t: Tables) -> DataFrame:
     return stats.approx_distinct_counts(t.lineitem, DISTINCT_COLUMNS)
 
 
+@query("a6_merged_sketches", each(DISTINCT_COLUMNS, "SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct, true AS within FROM lineitem"))
+def a6_merged_sketches(t: Tables) -> DataFrame:
+    """Monthly sketches, stored and merged, beside the exact counts: is the estimate within six standard deviations?"""
+    months = stats.distinct_sketches(t.lineitem, DISTINCT_COLUMNS, F.date_trunc("month", "l_shipdate"), "month")
+    merged = stats.merged_distinct(write_stage(months, t.scratch("sketches"))).withColumnRenamed("n_distinct", "estimate")
+    close = F.abs(F.col("estimate") - F.col("n_distinct")) <= F.greatest(0.1 * F.col("n_distinct"), F.lit(1.0))
+    return stats.distinct_counts(t.lineitem, DISTINCT_COLUMNS).join(merged, "column").select("column", "n_distinct", close.alias("within"))
+
+
 @query("a7_quantiles", each([(c, p) for c in NUMBERS for p in (0.01, 0.25, 0.5, 0.95)],
                             "SELECT '{c[0]}' AS \"column\", CAST({c[1]} AS DOUBLE) AS prob, quantile_disc({c[0]}, {c[1]}) AS value FROM lineitem"))
 def a7_quantiles(t: Tables) -> DataFrame:
