@@ -7,7 +7,7 @@ from .words import sentence
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that the operators give to their own columns.
-CLASHES = ["n_words", "kept", "score", "held_out", "own", "key", "part", "place", "component_id", "_label", "label", "at", "rule", "host", "_number", "_id", "bucket"]
+CLASHES = ["n_words", "kept", "score", "held_out", "own", "key", "part", "place", "component_id", "_label", "label", "at", "rule", "host", "_number", "_id", "bucket", "_chosen_id", "_chosen_key"]
 
 
 @pytest.fixture(scope="session")

@@ -59,8 +59,18 @@ def check(rows, pieces):
     assert want == sorted((r["doc_tokens"], r["start"], r["length"], r["ids_crc32"]) for r in pieces)
 
 
+def test_long_runs_are_encoded_by_the_library():
+    for text in (" " * 1_000_000, "a" + " " * 3_000_000 + "b", "\n" * 1_000_000, "x" * 1_000_000, " <|endoftext|> " + "\t" * 1_000_000):
+        got = P.ids_of(text, encoder(), public_tokenizers.path("byte_bpe_50k.json"))
+        assert np.array_equal(got, LIBRARY.encode(text, add_special_tokens=False).ids)
+
+
+def test_counts_of_tasks_are_not_broadcast(make):
+    assert "Broadcast" not in pack_documents(make([(1, "a b")]))._jdf.queryExecution().executedPlan().toString()
+
+
 def test_query(spark, make, odd_rows):
     rng = random.Random(3)
-    rows = [*odd_rows, *[(100 + i, "tide gauge " * rng.randint(0, 900)) for i in range(60)], *[(300 + i, "tie") for i in range(50)]]
+    rows = [*odd_rows, *[(100 + i, "tide gauge " * rng.randint(0, 900)) for i in range(60)], *[(300 + i, "tie") for i in range(50)], (400, " " * 1_000_000)]
     check(rows, pack_documents(make(rows).repartition(5)).collect())
     assert pack_documents(make([])).count() == 0

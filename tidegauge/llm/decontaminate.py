@@ -33,9 +33,11 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, text_parts, word_hashes
+from .common import mix, sparing, text_parts, word_hashes
 
 REGISTERS = 256
+#: Bytes of text and windows that a task works on at a time; what it holds beside the index grows with these.
+SLICE, AT_ONCE = 1 << 18, 128
 BLOCK, STEP = 16, 8
 WINDOW = 2 * BLOCK
 ANSWER = re.compile(rb".*(?:\?|\banswer\s*:)", re.I | re.S)
@@ -127,7 +129,7 @@ def document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[int,
     def run(batches):
         counts, total = np.zeros(size, np.int64), 0
         registers = np.zeros((size, REGISTERS), np.uint8)
-        for _, data, offsets in text_parts(batches, "text", 1 << 20, lower=True):
+        for _, data, offsets in text_parts(batches, "text", SLICE, lower=True):
             hashes, first, _, _ = word_hashes(data, offsets, letters=True)
             at = vocabulary.find(hashes)
             row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))[at >= 0]
@@ -144,7 +146,7 @@ def document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[int,
         found = np.frombuffer(b"".join(table["registers"].to_pylist()), np.uint8).reshape(-1, REGISTERS).max(axis=0)
         return pa.table([table["word"][:1], pa.array([pc.sum(table["n"]).as_py()], pa.int64()), pa.array([distinct(found[None, :])[0]], pa.float64())], names=["word", "n", "around"])
 
-    rows = docs.select("text").mapInArrow(run, "word long, n long, registers binary").groupBy("word").applyInArrow(merge, "word long, n long, around double").toArrow()  # a row per word of the slice
+    rows = docs.select("text").mapInArrow(sparing(run), "word long, n long, registers binary").groupBy("word").applyInArrow(merge, "word long, n long, around double").toArrow()  # a row per word of the slice
     out, around = np.zeros(size + 1, np.int64), np.zeros(size + 1)
     out[rows["word"].to_numpy()], around[rows["word"].to_numpy()] = rows["n"].to_numpy(), rows["around"].to_numpy()
     return int(out[-1]), np.minimum(out[:-1], np.ceil(around[:-1]))
@@ -171,7 +173,7 @@ def latent_basis(passages: DataFrame, idf: np.ndarray, rank: int, rounds: int =
             words = np.flatnonzero(seen)
             yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(list(total[words]), pa.list_(pa.float64()))], names=["word", "row"])
 
-        sums = passages.mapInArrow(run, "word long, row array<double>").withColumn("row", array_to_vector("row")).groupBy("word").agg(Summarizer.sum(F.col("row")).alias("row"))
+        sums = passages.mapInArrow(sparing(run), "word long, row array<double>").withColumn("row", array_to_vector("row")).groupBy("word").agg(Summarizer.sum(F.col("row")).alias("row"))
         rows = sums.select("word", vector_to_array("row").alias("row")).toArrow()  # a row per word of the slice
         z = np.zeros((size, rank))
         if rows.num_rows:
@@ -216,8 +218,8 @@ class Index:
         both = head != tail
         length = np.sqrt(square[head] + both * square[tail])
         open_ = np.flatnonzero((bound[head] + both * bound[tail] >= length * 0.999) & (length > 0))
-        for low in range(0, len(open_), 1024):
-            w = open_[low : low + 1024]
+        for low in range(0, len(open_), AT_ONCE):
+            w = open_[low : low + AT_ONCE]
             needed, place = np.unique(np.concatenate([head[w], tail[w]]), return_inverse=True)
             sizes = starts[needed + 1] - starts[needed]
             row = np.repeat(np.arange(len(needed)), sizes)
@@ -315,7 +317,7 @@ def find(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
 
         def run(batches, shared=shared):
             index = shared.value
-            for part, data, offsets in text_parts(batches, "text", 1 << 20, lower=True):
+            for part, data, offsets in text_parts(batches, "text", SLICE, lower=True):
                 ids, best = part.column("doc_id").to_pylist(), {}
                 for text, k, n, start in index.search(data, offsets):
                     key = (text, index.items[k].item_id)
@@ -323,7 +325,7 @@ def find(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
                 rows = [(ids[t], item, *v) for (t, item), v in best.items()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 5)], names=[c.split()[0] for c in HITS.split(", ")])
 
-        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, HITS)
+        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sparing(run), HITS)
         out = found if out is None else out.union(found)
     return out if out is not None else spark.createDataFrame([], HITS)
 
@@ -338,10 +340,10 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
             for batch in batches:
                 texts = pa.RecordBatch.from_arrays([batch.column(place), pa.array(np.arange(batch.num_rows))], names=["text", "row"])
                 clean = np.ones(batch.num_rows, bool)
-                for part, data, offsets in text_parts([texts], "text", 1 << 20, lower=True):
+                for part, data, offsets in text_parts([texts], "text", SLICE, lower=True):
                     rows = part.column("row").to_numpy()
                     clean[[rows[hit[0]] for hit in shared.value.search(data, offsets)]] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(sparing(run), docs.schema)
     return docs

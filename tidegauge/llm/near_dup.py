@@ -309,10 +309,10 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     marks, named = _groups(docs, size, percent)
     chosen = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("c")).select("c.doc_id", "c.key")
     chosen = stored(chosen.union(marks.filter(F.col("key").isNull()).select("doc_id", "key").distinct()), "kept")
-    number, own, key = fresh(docs, "_number"), fresh(docs, "_id"), fresh(docs, "_key")
+    number, own, key, chosen_id, chosen_key = (fresh(docs, c) for c in ("_number", "_id", "_key", "_chosen_id", "_chosen_key"))
     rows = _with_key(docs, key, size).withColumn(own, F.col("doc_id").cast("long"))
-    chosen = chosen.select(F.col("doc_id").alias("_chosen_id"), F.col("key").alias("_chosen_key"))
-    rows = rows.join(chosen, F.col(own).eqNullSafe(F.col("_chosen_id")) & F.col(key).eqNullSafe(F.col("_chosen_key")), "left_semi")
+    chosen = chosen.select(F.col("doc_id").alias(chosen_id), F.col("key").alias(chosen_key))
+    rows = rows.join(chosen, F.col(own).eqNullSafe(F.col(chosen_id)) & F.col(key).eqNullSafe(F.col(chosen_key)), "left_semi")
     alone = F.when(F.col(own).isNull() & F.col(key).isNull(), F.monotonically_increasing_id())
     rows = rows.withColumn(number, alone)  # null but for rows that nothing tells apart
     first = F.row_number().over(Window.partitionBy(own, key, number).orderBy(own))

@@ -9,7 +9,11 @@ program tells how many of each length it takes. The pattern is used as often as
 
 Rests find their place without any list of them in one task: each task numbers the rests of a
 length as it writes them, the counts by (task, length) give each task its first number, and a
-piece's number within its length tells pattern, repetition and offset.
+piece's number within its length tells pattern, repetition and offset. That table grows with the tasks, so it is
+merged with the pieces by a shuffle, not broadcast.
+
+Texts are encoded by tiktoken, which is faster; where its pattern search gives up (runs of some hundred thousand
+blanks), the text is encoded by tokenizers itself.
 
 Null or empty texts have just the end id. Repeated rows are packed as often as they occur. An empty table
 gives an empty result. Null ids stay null. Other input columns are ignored.
@@ -27,6 +31,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .common import stored
 
@@ -42,7 +47,20 @@ def encoder(ranks: str, pattern: str, special: tuple[tuple[str, int], ...]) -> t
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens=dict(special))
 
 
-def cut_into_pieces(docs: DataFrame, ranks: str, pattern: str, special: dict[str, int], window: int, end_id: int) -> DataFrame:
+@lru_cache(4)
+def library(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
+def ids_of(text: str, enc: tiktoken.Encoding, vocabulary: str) -> np.ndarray:
+    """Ids of a text, special strings included."""
+    try:
+        return enc.encode_to_numpy(text, allowed_special="all")
+    except ValueError:  # the pattern search ran out of stack
+        return np.array(library(vocabulary).encode(text, add_special_tokens=False).ids, np.uint32)
+
+
+def cut_into_pieces(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, special: dict[str, int], window: int, end_id: int) -> DataFrame:
     """Pieces of at most ``window`` ids with the task that made them and their number among its pieces of that length."""
     names = tuple(special.items())
 
@@ -52,7 +70,7 @@ def cut_into_pieces(docs: DataFrame, ranks: str, pattern: str, special: dict[str
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.append(enc.encode_to_numpy(text or "", allowed_special="all"), np.uint32(end_id)).astype("<u4")
+                ids = np.append(ids_of(text or "", enc, vocabulary), np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
                     rows.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids), part, seen[len(piece)]))
@@ -115,9 +133,12 @@ def slots(patterns: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
     return {k: np.array(v, np.int64) for k, v in out.items()}
 
 
-def pack(docs: DataFrame, ranks: str, pattern: str, special: dict[str, int], window: int = 2048, end_id: int = 1) -> DataFrame:
-    """A row per piece: its document, span, checksum, sequence and offset there."""
-    pieces = stored(cut_into_pieces(docs, ranks, pattern, special, window, end_id), "pieces")
+def pack(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, special: dict[str, int], window: int = 2048, end_id: int = 1) -> DataFrame:
+    """A row per piece: its document, span, checksum, sequence and offset there.
+
+    ``vocabulary`` is the tokenizers file, ``ranks`` the same vocabulary as a rank file.
+    """
+    pieces = stored(cut_into_pieces(docs, vocabulary, ranks, pattern, special, window, end_id), "pieces")
     by_task = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     by_task = stored(by_task, "piece-counts")
     counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # <= window rows
@@ -136,5 +157,5 @@ def pack(docs: DataFrame, ranks: str, pattern: str, special: dict[str, int], win
                 sequence[rows], offset[rows] = slot[:, 2] + repeat, slot[:, 3] + copy * k
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset)], names=[c.split()[0] for c in PACKED.split(", ")])
 
-    numbered = pieces.join(firsts, ["part", "length"]).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("first") + F.col("place")).alias("number"))
+    numbered = pieces.join(firsts.hint("merge"), ["part", "length"]).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("first") + F.col("place")).alias("number"))
     return numbered.mapInArrow(put, PACKED)

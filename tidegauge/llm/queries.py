@@ -56,7 +56,7 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, BYTE_BPE_SPECIAL)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, BYTE_BPE_SPECIAL)
 
 
 @query("op10_packing")
