@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import hash_unit, tokens
-from ..operators import clean, descent, evaluate, learn, perceptron, split, trees
+from ..operators import clean, descent, evaluate, grid, learn, perceptron, split, trees
 from ..session import cut_lineage
 from ..sources.tables import spread
 from .registry import Tables, query
@@ -272,6 +272,53 @@ def l9_perceptron_table(t: Tables) -> DataFrame:
     return test_scores(rows.select("doc_id", "label").join(p, "doc_id"), F.col("p"))
 
 
+PENALTIES = [grid.Setting(r, m) for r in (0.001, 0.1) for m in (0.0, 1.0)]
+
+
+def grid_sql(settings: list[grid.Setting], folds: int, rounds: int, weight: str = "1.0") -> str:
+    """Tables that train every setting without each fold and on all rows (held = -2), step by step, up to ``g{rounds}``."""
+    names = ", ".join(f"({i}, {s.reg!r}::DOUBLE, {s.mix!r}::DOUBLE)" for i, s in enumerate(settings))
+    fold = f"floor({unit('doc_id', 5)} * {folds})" if folds else "-1"
+    out = [CELLS_SQL, "u AS (SELECT f, avg(x) AS m, stddev_pop(x) AS s FROM x WHERE train AND label IS NOT NULL GROUP BY f)",
+           f"k AS MATERIALIZED (SELECT doc_id, label, {fold} AS fold, {weight} AS w FROM r WHERE train AND label IS NOT NULL)",
+           "z AS MATERIALIZED (SELECT doc_id, f, coalesce((x - m) / nullif(s, 0), 0) AS z FROM x JOIN u USING (f) UNION ALL SELECT doc_id, -1, 1.0 FROM r)",
+           f"m AS (SELECT * FROM (VALUES {names}) t(setting, reg, mix), (SELECT unnest([{', '.join(map(str, [*range(folds), -2]))}]) AS held))",
+           """p AS MATERIALIZED (SELECT setting, held, reg * mix AS lasso, reg * (1 - mix) AS ridge, sum(w) FILTER (f = -1) AS n, 1 / (sum(w * z * z) / sum(w) FILTER (f = -1) / 4 + reg * (1 - mix)) AS step
+   FROM m JOIN k ON fold <> held JOIN z USING (doc_id) GROUP BY setting, held, reg, mix)""",
+           f"g0 AS (SELECT setting, held, f, 0.0::DOUBLE AS b, 0.0::DOUBLE AS v FROM m, (SELECT unnest(range(-1, {len(FEATURES)})) AS f))"]
+    for t in range(rounds):
+        out.append(f"""e{t} AS MATERIALIZED (SELECT setting, held, doc_id, (1 / (1 + exp(-sum(z * v))) - any_value(label)) * any_value(w) AS e FROM g{t} JOIN k ON fold <> held JOIN z USING (doc_id, f) GROUP BY setting, held, doc_id),
+d{t} AS (SELECT setting, held, f, sum(e * z) AS d FROM e{t} JOIN z USING (doc_id) GROUP BY setting, held, f),
+q{t} AS (SELECT setting, held, f, b, v - step * (d / n + CASE WHEN f < 0 THEN 0 ELSE ridge * v END) AS q, CASE WHEN f < 0 THEN 0 ELSE step * lasso END AS cut FROM g{t} JOIN d{t} USING (setting, held, f) JOIN p USING (setting, held)),
+g{t + 1} AS MATERIALIZED (SELECT setting, held, f, sign(q) * greatest(abs(q) - cut, 0) AS b, sign(q) * greatest(abs(q) - cut, 0) * (1 + {t / (t + 3)!r}::DOUBLE) - {t / (t + 3)!r}::DOUBLE * b AS v FROM q{t})""")
+    return ",\n".join(out)
+
+
+@query("l14_grid_table", f"""
+WITH {grid_sql(PENALTIES, 3, 10)},
+     s AS (SELECT setting, held, doc_id, sum(z * b) AS margin, any_value(label) AS label FROM g10 JOIN k ON fold = held JOIN z USING (doc_id, f) GROUP BY setting, held, doc_id),
+     f AS (SELECT setting, held, avg(ln(1 + exp(-margin * (2 * label - 1)))) AS loss FROM s GROUP BY setting, held),
+     a AS (SELECT setting, avg(loss) AS loss FROM f GROUP BY setting)
+SELECT reg, mix, round(loss, 6) AS loss, row_number() OVER (ORDER BY round(loss, 9), setting) = 1 AS is_best FROM a JOIN (SELECT DISTINCT setting, reg, mix FROM m) USING (setting)""")
+def l14_grid_table(t: Tables) -> DataFrame:
+    """All penalties and folds trained in the same passes; mean log loss on the folds left out."""
+    train, _ = documents(t)
+    fit = grid.train(train, FEATURES, "label", PENALTIES, F.floor(hash_unit(F.col("doc_id"), seed=5) * 3), 3, rounds=10)
+    rows = [(s.reg, s.mix, round(float(loss), 6), i == fit.best()) for i, (s, loss) in enumerate(zip(PENALTIES, fit.losses.mean(axis=1)))]
+    return t.spark.createDataFrame(rows, "reg double, mix double, loss double, is_best boolean").coalesce(1)  # a row per setting
+
+
+@query("l6_logistic_table", f"""
+WITH {grid_sql([grid.Setting(0.01, 0.5)], 0, 20, "count(*) OVER () / ((SELECT count(DISTINCT label) FROM r WHERE train) * CAST(count(*) OVER (PARTITION BY label) AS DOUBLE))")},
+     s AS (SELECT doc_id, 1 / (1 + exp(-sum(z * b))) AS p FROM g20 JOIN z USING (f) GROUP BY doc_id)
+SELECT doc_id, label, round(p, 6) AS prob, CAST(p > 0.5 AS DOUBLE) AS prediction FROM s JOIN r USING (doc_id) WHERE NOT train""")
+def l6_logistic_table(t: Tables) -> DataFrame:
+    """Elastic net with balanced class weights by descent; the probability is an expression of the columns."""
+    train, test = documents(t)
+    fit = grid.train(split.class_weights(train, "label"), FEATURES, "label", [grid.Setting(0.01, 0.5)], weight="weight", rounds=20)
+    return test_scores(test, fit.probability(0))
+
+
 @query("l18_table_ensemble", f"""
 WITH {FOREST_SQL}, f AS (SELECT doc_id, avg(value) AS p FROM fv GROUP BY doc_id), {boosted_sql(3).split(CELLS_SQL + ",")[1]}
 SELECT q3.doc_id, label, round((p + 1 / (1 + exp(-margin))) / 2, 6) AS prob FROM q3 JOIN f USING (doc_id) WHERE NOT train""")
