@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from collections import Counter
@@ -52,3 +53,68 @@ def test_keeps_columns_and_empty_tables(spark, make, odd_rows):
 def test_no_python_in_the_plan(spark, make):
     plan = Q.verdicts(make([(1, "a b c", "en", "a")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def brute_kept(rows, least=100, tail=20, reach=1):
+    """The verdict of every row, by whole lists instead of sketches."""
+    def shares(text):
+        n, chars, symbols, lines, repeats, failed = brute(text)
+        n_lines = sum(bool(WORD.search(x)) for x in (text or "").split("\n"))
+        values = {"symbol_share": symbols / n if n else 0, "dup_line_share": lines / n_lines if n_lines else 0, "repeat_share": repeats / n if n else 0, "mean_word": chars / n if n else 0}
+        return {m: math.ceil(math.log(v) / math.log(Q.STEP)) if v > 0 else None for m, v in values.items()}, failed
+
+    seen = [(r, *shares(r[1])) for r in rows]
+    out = []
+    for r, own, failed in seen:
+        fine = not failed
+        for m, low_too in Q.MEASURES.items():
+            for same in (lambda x: x[2:4] == r[2:4], lambda x: x[2] == r[2], lambda x: True):
+                v = sorted(b[m] for x, b, f in seen if not f and b[m] is not None and same(x))
+                if len(v) >= least:
+                    break
+            else:
+                continue
+            low, mid, high = (v[math.ceil(q * len(v) / 1000) - 1] for q in (tail, 500, 1000 - tail))
+            if own[m] is not None:
+                fine &= own[m] <= high + reach * max(high - mid, 1)
+                fine &= not low_too or own[m] >= low - reach * max(mid - low, 1)
+        out.append((r[0], fine))
+    return out
+
+
+def varied(n=700):
+    rng = random.Random(9)
+    letters = "abcdefgh"
+
+    def text(k, strange):
+        size, share = (3, 0.3) if k == "wild" else (1, 0.05)
+        words = ["".join(rng.choices(letters, k=max(1, round(rng.gauss(5, size))))) + ("#" if rng.random() < share else "") for _ in range(rng.randint(5, 60))]
+        if strange:
+            words = [w * 3 + "#%" for w in words]
+        lines = [" ".join(words[i : i + 8]) for i in range(0, len(words), 8)]
+        return "\n".join(lines + lines[:1] * (rng.random() < 0.3))
+
+    return [(100 + i, text(k, i % 40 == 0), rng.choice(["en", "en", "de", None]), k) for i in range(n) for k in [rng.choice(["wild", "calm", "calm", None])]]
+
+
+def test_verdicts_equal_brute_force_and_do_not_depend_on_the_order(spark, make, odd_rows):
+    rows = [*odd_rows[:4], *odd_rows[5:], *varied()]
+    rows = [(r[0], r[1], r[2], r[3]) for r in rows]
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    want = sorted(brute_kept(rows), key=key)
+    random.Random(3).shuffle(rows)
+    for parts in (1, 7):
+        assert sorted(((r["doc_id"], r["kept"]) for r in Q.verdicts(make(rows).repartition(parts)).collect()), key=key) == want
+    failed = {r[0] for r in rows if brute(r[1])[5]}
+    assert any(not k for i, k in want if i not in failed)
+
+
+def test_limits_differ_by_source(spark, make):
+    rows = {(r["group_lang"], r["group_source"]): r for r in Q.limits(Q.stored(Q.measure(make(varied())), "measures"), least=30).collect()}
+    wild, calm = rows[("en", "wild")], rows[("en", "calm")]
+    assert wild["mean_word_high"] > calm["mean_word_high"]
+    for k, got in (("wild", wild), ("calm", calm)):
+        seen = [brute(r[1]) for r in varied() if r[2:4] == ("en", k)]
+        v = sorted(math.ceil(math.log(b[2] / b[0]) / math.log(Q.STEP)) for b in seen if b[2] and not b[5])
+        mid, high = (v[math.ceil(q * len(v) / 1000) - 1] for q in (500, 980))
+        assert len(v) >= 30 and got["symbol_share_high"] == high + max(high - mid, 1)
