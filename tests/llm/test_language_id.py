@@ -40,3 +40,26 @@ def test_learns_and_leaves_out_the_held_out(spark, make, odd_rows):
     assert {r["lang_pred"] for r in odd if r["doc_id"] in (1, 2, 3, 10)} == {"und"}
     assert L.identify_held_out(make([])).count() == 0
     assert {r["lang_pred"] for r in L.identify_held_out(make([(1, "text", None)])).collect()} == {"und"}
+
+
+def test_many_short_texts_of_many_letters_need_little_memory(spark):
+    import subprocess
+    import sys
+
+    code = """
+import random, resource
+import pyarrow as pa
+from tidegauge.llm import language_id as L
+rng = random.Random(1)
+texts = ["".join(chr(rng.randint(0x4E00, 0x4F00)) for _ in range(100)) for _ in range(3000)]
+L.bundles(["warm up"], 1024)
+L.letters()
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+n = 0
+for rows, part in L.small_parts([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])], "text", 1 << 20):
+    n += len(L.bundles(part, 64))
+assert n == 3000
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    used = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=200).stdout)
+    assert used < 300

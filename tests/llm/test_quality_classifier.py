@@ -63,3 +63,15 @@ def test_empty_tables(spark, make):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert Q.score_held_out(make([]), none).count() == 0 and Q.keep_good(make([]), none).count() == 0
     assert {r["score"] for r in Q.score_held_out(make([(1, "x"), (2, None)]).drop("n_chars"), none).collect()} == {0.5}
+
+
+def test_rows_with_one_id_count_once_in_the_sample(spark):
+    from tidegauge.llm.common import labelled_sample
+
+    docs = spark.createDataFrame([(1 + i % 2 * (i // 500), f"text {i}") for i in range(2000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 40)], "doc_id long, quality long")
+    for bound in (1, 3, 100):
+        rows = labelled_sample(docs, labels, "quality", 3, 1, bound).collect()
+        assert len(rows) == len({r["doc_id"] for r in rows}) <= bound
+    again = labelled_sample(docs.repartition(5), labels, "quality", 3, 1, 100).collect()
+    assert sorted(rows) == sorted(again)

@@ -12,6 +12,19 @@ def test_fold(text, want):
     assert X.fold(text).split() == want.split()
 
 
+@pytest.mark.parametrize("words", ["각 간 가 감", "हिन्दी हन्दा हद", "กา กี กู ก", "كَتَب كُتُب كتب", "क़लम कलम"])
+def test_other_scripts_keep_their_words_apart(words):
+    import unicodedata
+
+    folded = X.fold(words).split()
+    assert len(folded) == len(set(folded)) == len(words.split())
+    assert X.fold(unicodedata.normalize("NFD", words)) == X.fold(words)
+
+
+def test_ligatures_and_empty_marks():
+    assert X.fold("ﬁlth \u2764\ufe0f straße").split() == X.fold("filth straße").split()
+
+
 def test_matches_whole_words_and_spares_phrases():
     lexicon = X.Lexicon({"idiot": 5.0, "ciown": 4.0}, ["ciown fish"])
     found = lexicon.automaton()

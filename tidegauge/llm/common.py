@@ -152,15 +152,17 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, bound: int) -> DataFrame:
-    """At most ``bound`` documents with a label outside the held-out fold; ``docs`` needs doc_id.
+    """At most ``bound`` rows with a label outside the held-out fold; ``docs`` needs doc_id and text.
 
-    Only labels are bounded, by a hash of the id, so the list of (id, label) has at most ``bound`` rows and may be
-    broadcast. A document with several labels counts with the largest.
+    Labels are bounded by a hash of the id, so the list of (id, label) has at most ``bound`` rows and may be
+    broadcast. A document with several labels counts with the largest; of several rows with one id, the one whose text has the smallest hash.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold_of("doc_id", folds) != held))
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("_label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    return docs.join(F.broadcast(chosen), "doc_id")
+    rows = docs.join(F.broadcast(chosen), "doc_id")
+    inner = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    return rows.groupBy(F.col("doc_id").alias("_one")).agg(F.min_by(inner, F.xxhash64("text")).alias("_row")).select("_row.*")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

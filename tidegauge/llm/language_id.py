@@ -36,6 +36,8 @@ UNKNOWN = "und"
 SPACE_LETTER = 32
 TOP = 0x110000
 GROUPS = 64
+#: Texts and different runs in a matrix of counts: 32 MB.
+TEXTS, WIDTH = 1024, 4096
 
 
 @lru_cache(1)
@@ -55,7 +57,6 @@ def letter_vector(code: int, dims: int) -> np.ndarray:
     return np.random.default_rng([7, code]).integers(0, 2, dims, dtype=np.int8) * np.int8(2) - np.int8(1)
 
 
-@lru_cache(16)
 def run_vectors(runs: bytes, dims: int) -> np.ndarray:
     """Bound vectors of runs given as rows of three code points."""
     codes = np.frombuffer(runs, np.int32).reshape(-1, 3)
@@ -101,8 +102,8 @@ def bundles(texts: list[str], dims: int) -> np.ndarray:
         column = dense[run]
     else:
         found, column = np.unique(run, return_inverse=True)
-    for low in range(0, len(found), 16_384):  # bounds the count matrix when there are very many different runs
-        ids = found[low : low + 16_384]
+    for low in range(0, len(found), WIDTH):  # bounds the count matrix when there are very many different runs
+        ids = found[low : low + WIDTH]
         here = (column >= low) & (column < low + len(ids))
         counts = np.bincount(row[here] * len(ids) + column[here] - low, minlength=len(texts) * len(ids)).reshape(len(texts), -1)
         codes3 = np.stack([alphabet[ids // size**2], alphabet[ids // size % size], alphabet[ids % size]], axis=1)
@@ -111,9 +112,11 @@ def bundles(texts: list[str], dims: int) -> np.ndarray:
 
 
 def small_parts(batches, text: str, size: int):
-    """Lists of texts of about ``size`` bytes with their rows of the batch; null texts are empty."""
+    """Lists of at most ``TEXTS`` texts of about ``size`` bytes with their rows of the batch; null texts are empty."""
     for part, _, _ in text_parts(batches, text, size):
-        yield part, [t or "" for t in part.column(text).to_pylist()]
+        for first in range(0, len(part), TEXTS):
+            rows = part.slice(first, TEXTS)
+            yield rows, [t or "" for t in rows.column(text).to_pylist()]
 
 
 def unit(rows: np.ndarray) -> np.ndarray:

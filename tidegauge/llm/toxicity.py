@@ -2,7 +2,7 @@
 
 Texts are folded first: compatibility forms and accents to base letters, look-alike letters of other scripts to
 Latin ones, digits and signs that stand for letters to those letters, invisible characters away, everything else to
-spaces. As 1 may stand for i or l, these two fold to the same letter, in texts and lexicon alike.
+spaces. Syllables of Hangul stay whole, and vowel signs and other marks of scripts that need them stay inside their words. As 1 may stand for i or l, these two fold to the same letter, in texts and lexicon alike.
 
 The lexicon is learned from a bounded sample of labelled documents: words (and their weights, the log odds)
 that a fair share of the toxic ones have and others hardly. Exception phrases are two-word phrases around a lexicon word
@@ -35,31 +35,50 @@ LOOK_ALIKE = dict(zip("аеорсухіјѕһԁԛԝкмтвнгαεικνορτ
 # Digits and signs that stand for letters.
 STAND_IN = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "l": "i"}
 SIGNS = {"$": "s", "@": "a", "!": "i", "|": "i", "€": "e", "¡": "i"}
-INVISIBLE = [0xAD, *range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF, *range(0x300, 0x370)]
+ACCENTS = range(0x300, 0x370)
+INVISIBLE = [0xAD, *range(0x180B, 0x180E), *range(0x200B, 0x2010), *range(0x2060, 0x2065), *range(0x20D0, 0x2100), *range(0xFE00, 0xFE10), 0xFEFF, *range(0xE0100, 0xE01F0), *ACCENTS]
 BLANK = 32
 
 
+def base_letter(x: str) -> str:
+    """A letter or digit without accents and compatibility form; itself if that takes several code points (Hangul)."""
+    plain = "".join(c for c in unicodedata.normalize("NFKD", x) if ord(c) not in ACCENTS)
+    return (plain if len(plain) == 1 else x).lower()[0]
+
+
 @lru_cache(1)
-def folding() -> tuple[np.ndarray, np.ndarray]:
-    """Folded code point of each code point (0: leave out), and the same for signs that stand before a letter."""
+def folding() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Folded code point of each code point (0: leave out), the same for signs that stand before a letter, and which are written as several."""
     table = np.full(0x110000, BLANK, np.uint32)
+    several = np.zeros(0x110000, bool)
     for c in range(0x110000):
         x = chr(c)
         if x.isalnum():
-            low = unicodedata.normalize("NFKD", x)[0].lower()[0]
+            low = base_letter(x)
             low = LOOK_ALIKE.get(low, low)
             table[c] = ord(STAND_IN.get(low, low))
+            several[c] = len(unicodedata.normalize("NFKC", x)) > 1  # such as ligatures
+        elif unicodedata.category(x) in ("Mn", "Mc"):
+            table[c] = c
     table[INVISIBLE] = 0
     signs = np.zeros(0x110000, np.uint32)
     for x, y in SIGNS.items():
         signs[ord(x)] = ord(STAND_IN.get(y, y))
-    return table, signs
+    return table, signs, several
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 def fold(text: str) -> str:
     """The folded text with a space at either end."""
-    table, signs = folding()
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    table, signs, several = folding()
+    if not unicodedata.is_normalized("NFC", text):  # one spelling for letters with marks and for Hangul
+        text = unicodedata.normalize("NFC", text)
+    codes = _codes(text)
+    if several[codes].any():
+        codes = _codes("".join(unicodedata.normalize("NFKC", x) if several[ord(x)] else x for x in text))
     out = table[codes]
     sign = signs[codes]
     marks = np.flatnonzero(sign)
