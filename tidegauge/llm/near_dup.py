@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import fresh, mix, stored, text_parts, windows, word_hashes
+from .common import fresh, mix, sparing, stored, text_parts, windows, word_hashes
 from .components import components
 
 BANDS, ROWS = 32, 5
@@ -36,6 +36,7 @@ FACTORS = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2
 SHIFTS = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 PIVOTS = 3
 MAP_BITS = 26
+SLICE = 1 << 18  # bytes of text worked on at a time
 BLOCK, CHUNK = 200_000, 2_000_000  # shingles on either side of a block
 
 
@@ -95,7 +96,7 @@ def digest(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, n_shingles, key of the set, signature, band hashes; the last three null for empty sets."""
 
     def run(batches):
-        for part, data, offsets in text_parts(batches, "text", 1 << 20):
+        for part, data, offsets in text_parts(batches, "text", SLICE):
             runs, bounds = shingle_sets(data, offsets, size)
             sizes = np.diff(bounds)
             full = np.flatnonzero(sizes)
@@ -109,7 +110,7 @@ def digest(docs: DataFrame, size: int) -> DataFrame:
                 [part.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(set_keys(runs, bounds), pa.binary()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
                 names=["doc_id", "n_shingles", "key", "sig", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, key binary, sig binary, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sparing(run), "doc_id long, n_shingles long, key binary, sig binary, bands array<long>")
 
 
 def _similar_sizes(a: str, b: str, percent: int):
@@ -134,7 +135,7 @@ def _by_signature(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFra
                 x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
                 yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least))
 
-    return rows.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
+    return rows.select("a", "b", "sig_a", "sig_b").mapInArrow(sparing(run), "a long, b long")
 
 
 def _bitmap(ids: DataFrame) -> np.ndarray:
@@ -155,12 +156,12 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             place = batch.column("place").to_numpy()
             batch = batch.filter(pa.array((bits[place >> 6] >> (place & 63)) & 1 == 1))
-            for part, data, offsets in text_parts([batch.select(["doc_id", "text"])], "text", 1 << 20):
+            for part, data, offsets in text_parts([batch.select(["doc_id", "text"])], "text", SLICE):
                 keys = set_keys(*shingle_sets(data, offsets, size))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(keys, pa.binary()), part.column("text")], names=["doc_id", "key", "text"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << MAP_BITS)).alias("place"))
-    rows = rows.mapInArrow(run, "doc_id long, key binary, text string").withColumnRenamed("doc_id", "d")
+    rows = rows.mapInArrow(sparing(run), "doc_id long, key binary, text string").withColumnRenamed("doc_id", "d")
     found = rows.join(wanted, ["key"]).filter(F.col("d").eqNullSafe(F.col("doc_id")))
     return found.groupBy("key").agg(F.first("cid").alias("cid"), F.first("text").alias("text")).select("cid", "text")
 
@@ -179,7 +180,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
                     good.append(100 * both >= percent * (len(x) + len(y) - both))
                 yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return rows.select("a", "b", "text_a", "text_b").mapInArrow(sparing(run), "a long, b long")
 
 
 def _rooted(df: DataFrame, roots: DataFrame, node: str, root: str) -> DataFrame:
@@ -189,7 +190,7 @@ def _rooted(df: DataFrame, roots: DataFrame, node: str, root: str) -> DataFrame:
 
 def _text_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     out = []
-    for _, data, offsets in text_parts([pa.RecordBatch.from_arrays([texts], names=["text"])], "text", 1 << 20):
+    for _, data, offsets in text_parts([pa.RecordBatch.from_arrays([texts], names=["text"])], "text", SLICE):
         runs, bounds = shingle_sets(data, offsets, size)
         out += [runs[bounds[i] : bounds[i + 1]] for i in range(len(bounds) - 1)]
     return out
@@ -295,10 +296,10 @@ def _with_key(docs: DataFrame, key: str, size: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts = pa.RecordBatch.from_arrays([batch.column(place)], names=["text"])
-            keys = [k for _, data, offsets in text_parts([texts], "text", 1 << 20) for k in set_keys(*shingle_sets(data, offsets, size))]
+            keys = [k for _, data, offsets in text_parts([texts], "text", SLICE) for k in set_keys(*shingle_sets(data, offsets, size))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=[*batch.schema.names, key])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(key, BinaryType())]))
+    return docs.mapInArrow(sparing(run), StructType([*docs.schema.fields, StructField(key, BinaryType())]))
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

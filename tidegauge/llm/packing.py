@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import stored
+from .common import sparing, stored
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, place long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -79,7 +79,7 @@ def cut_into_pieces(docs: DataFrame, vocabulary: str, ranks: str, pattern: str,
                 types = (pa.int64(),) * 5 + (pa.int32(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=[c.split()[0] for c in PIECES.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sparing(cut), PIECES)
 
 
 def fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -158,4 +158,4 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, special: di
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset)], names=[c.split()[0] for c in PACKED.split(", ")])
 
     numbered = pieces.join(firsts.hint("merge"), ["part", "length"]).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("first") + F.col("place")).alias("number"))
-    return numbered.mapInArrow(put, PACKED)
+    return numbered.mapInArrow(sparing(put), PACKED)

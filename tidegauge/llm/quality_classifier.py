@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_of, labelled_sample, sigmoid, text_parts, word_hashes
+from .common import fold_of, labelled_sample, sigmoid, sparing, text_parts, word_hashes
 
 BUCKETS = 1 << 13
 _KIND = np.zeros((256, 6), np.float32)  # upper case, digits, signs, white space, line ends, beyond ASCII
@@ -35,6 +35,7 @@ _KIND[[9, 10, 11, 12, 13, 32], 3] = 1
 _KIND[10, 4] = 1
 _KIND[128:, 5] = 1
 STATS = 12
+SLICE = 1 << 18  # bytes of text worked on at a time
 
 
 def sums_by_row(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -134,7 +135,7 @@ def _inputs(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def _parts(batches):
-    for part, data, offsets in text_parts(batches, "text", 1 << 20):
+    for part, data, offsets in text_parts(batches, "text", SLICE):
         yield part, features(data, offsets, part.column("n_chars").to_numpy(zero_copy_only=False).astype(float))
 
 
@@ -150,7 +151,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, bou
                 names=["doc_id", "at", "x", "label"])
 
     sample = labelled_sample(_inputs(docs), labels, "quality", folds, held, bound).select("doc_id", "text", "n_chars", "_label")
-    rows = sample.mapInArrow(run, "doc_id long, at array<int>, x array<float>, label int").toArrow()  # <= bound documents
+    rows = sample.mapInArrow(sparing(run), "doc_id long, at array<int>, x array<float>, label int").toArrow()  # <= bound documents
     ids = rows["doc_id"].to_numpy()
     order = np.argsort(ids, kind="stable")  # the order of tasks must not matter
     at, x, y = rows["at"].combine_chunks(), rows["x"].combine_chunks(), rows["label"].to_numpy()
@@ -166,7 +167,7 @@ def score_rows(machine: Machine):
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
-    return _inputs(docs).mapInArrow(score_rows(machine), "doc_id long, score double")
+    return _inputs(docs).mapInArrow(sparing(score_rows(machine)), "doc_id long, score double")
 
 
 def score_held_out(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:
@@ -188,4 +189,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, folds:
             margins = [machine.margin(*found) for _, found in _parts([inputs])]
             yield batch.filter(pa.array(sigmoid(np.concatenate(margins)) >= threshold)) if margins else batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(sparing(run), docs.schema)
