@@ -46,7 +46,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: SQL has no factorisation machine, MinHash or tokeniser; tests/llm compares the stages with brute force.
+#: SQL has no factorisation machine, MinHash or tokeniser; tests/llm compares single operators with brute force, not yet all five stages together.
 ORACLE_SQL = None
 
 
