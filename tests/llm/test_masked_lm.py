@@ -105,3 +105,66 @@ def test_rare_words_have_probabilities_of_their_own(spark, make):
     assert got[14] - four == pytest.approx(np.log(chance["r1zz"] * never / chance["r8zz"] ** 2))
     whole = {r["doc_id"]: r for r in M.score_corpus(docs).collect()}
     assert whole[2]["n_words"] == 36 and None in whole
+
+
+def test_powers_are_as_exact_as_the_products():
+    x = np.linspace(-57, 57, 200_001).astype(np.float32)[None, :]
+    got = x.copy()
+    M.powers(got, np.empty((2, *x.shape), np.float32))
+    assert np.abs(got.astype(float) * float(M.SCALE) / np.exp2(x.astype(float)) - 1).max() < 3e-6
+
+
+@pytest.mark.parametrize("weight", [0.3, 9.0])
+def test_single_precision_steps_like_double(weight):
+    """Powers of two and factors in place of exponentials and biases; large weights take the other way, without overflow."""
+    rng = np.random.default_rng(5)
+    exact = M.Network(rng.normal(0, weight, (M.PLACES, M.CLASSES + 1, M.HIDDEN)), rng.normal(0, weight, (M.HIDDEN + 1, M.CLASSES)))
+    quick = M.Network(exact.vectors.astype(np.float32), exact.output.astype(np.float32))
+    assert quick.ready()[2] == (weight < 1) and not exact.ready()[2]
+    n = M.PART + 9
+    context, target = rng.integers(0, M.CLASSES + 1, (n, M.PLACES)), rng.integers(0, M.CLASSES, n)
+    logs = [a.forward(context, target, np.empty((n, M.CLASSES), a.output.dtype))[2] for a in (exact, quick)]
+    assert logs[1] == pytest.approx(logs[0], rel=1e-4, abs=1e-4)
+    states = [[np.zeros_like(x) for x in (a.vectors, a.output)] for a in (exact, quick)]
+    for a, state in zip((exact, quick), states):
+        M.train(a, state, context, target)  # the state is the square of the gradient
+    for a, b in zip(*states):
+        assert np.sqrt(b) == pytest.approx(np.sqrt(a), rel=2e-3, abs=1e-4 * np.sqrt(a.max()))
+
+
+def test_rows_add_up_by_place():
+    rng = np.random.default_rng(6)
+    for kind in (np.float32, np.float64):
+        places, rows = rng.integers(0, 40, (700, 4)) + np.arange(4) * 40, rng.normal(0, 1, (700, M.HIDDEN)).astype(kind)
+        want = np.zeros((160, M.HIDDEN))
+        for p in range(4):
+            np.add.at(want, places[:, p], rows)
+        got = M.add_rows(places, rows, 160)
+        assert got.dtype == kind and got == pytest.approx(want, abs=1e-4)
+
+
+def test_head_words_that_share_a_slot():
+    top = np.uint64(7) << np.uint64(48)
+    hashes = np.array([3, top + np.uint64(1), top + np.uint64(9), top * np.uint64(2)], np.uint64)
+    classes = M.Classes(hashes, np.array([2, 0, 3, 1]), *[np.ones(M.CLASSES)] * 3)
+    data = np.frombuffer(b"ab", np.uint8)
+    asked = np.append(hashes, [np.uint64(0), top, top + np.uint64(2), ~np.uint64(0)])
+    got = classes.of(data, asked, np.zeros(8, int), np.full(8, 2))
+    assert got.tolist() == [2, 0, 3, 1] + [M.HEAD + (ord("b") * 31 + ord("a")) % M.ENDINGS] * 4
+
+
+def test_word_hashes_byte_by_byte():
+    """Short and long words, empty texts, words at the edges of texts, against one byte after the other."""
+    from tidegauge.llm import common as C
+    rng = random.Random(8)
+    texts = [b"", b"a", b" B ", b"x" * 15, b"x" * 16, b"x" * 17 + b" y", b"Long" * 900, b"\n\t", "d'\u00e9t\u00e9 a-b".encode(), *[bytes(rng.choice(b"abC \n.\xc3\xa9") for _ in range(80)) for _ in range(30)]]
+    offsets = np.cumsum([0] + [len(t) for t in texts])
+    for letters in (False, True):
+        table = (C._BYTE_LETTERS if letters else C._BYTE_LOWER).tolist()
+        want = []
+        for t in texts:
+            parts = (bytes(32 if letters and C._MARKS[c] else c for c in t)).split()
+            want.append([sum(table[c] * pow(int(C._BASE), k, 1 << 64) for k, c in enumerate(w)) % (1 << 64) for w in parts])
+        hashes, first, starts, ends = C.word_hashes(np.frombuffer(b"".join(texts), np.uint8), offsets, letters)
+        assert hashes.tolist() == C.mix(np.array([h for w in want for h in w], np.uint64)).tolist()
+        assert np.diff(first).tolist() == [len(w) for w in want] and len(starts) == len(ends) == len(hashes)

@@ -129,17 +129,39 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, letters: bool = False) ->
     if not len(starts):
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), np.zeros(len(offsets), np.int64), none, none
-    place = np.arange(n)
-    place -= np.maximum.accumulate(np.where(first, place, 0))
-    place[~inside] = 0
-    powers = np.full(int(place.max()) + 1, _BASE)
-    powers[0] = 1
-    values = (_BYTE_LETTERS if letters else _BYTE_LOWER)[data] * np.cumprod(powers, dtype=np.uint64)[place]
     last = inside.copy()
     last[:-1] &= ~inside[1:]
     last[edges - 1] = inside[edges - 1]
-    hashes = mix(np.add.reduceat(values, starts))
-    return hashes, np.searchsorted(starts, offsets), starts, np.flatnonzero(last) + 1
+    ends = np.flatnonzero(last) + 1
+    hashes = mix(_sums(data, starts, ends - starts, _BYTE_LETTERS if letters else _BYTE_LOWER))
+    return hashes, np.searchsorted(starts, offsets), starts, ends
+
+
+def _sums(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """For each word the sum over its bytes k of table[byte] * _BASE**k: the first bytes of all words, then the second ones; long words by themselves."""
+    short = 16
+    order = np.argsort(np.minimum(sizes, short + 1).astype(np.uint8), kind="stable")[::-1]  # the longest first
+    starts, sizes = starts[order], sizes[order]
+    powers = np.full(short, _BASE)
+    powers[0] = 1
+    powers = np.cumprod(powers, dtype=np.uint64)
+    longer = len(sizes) - np.cumsum(np.bincount(np.minimum(sizes, short + 1), minlength=short + 2))
+    sums = table[data[starts]]
+    for k in range(1, short):
+        some = longer[k]
+        sums[:some] += table[data[starts[:some] + k]] * powers[k]
+    some = longer[short]
+    if some:
+        sizes = sizes[:some]
+        heads = np.cumsum(sizes) - sizes
+        place = np.arange(sizes.sum()) - np.repeat(heads, sizes)
+        powers = np.full(int(sizes.max()), _BASE)
+        powers[0] = 1
+        values = table[data[np.repeat(starts[:some], sizes) + place]] * np.cumprod(powers, dtype=np.uint64)[place]
+        sums[:some] = np.add.reduceat(values, heads)
+    out = np.empty_like(sums)
+    out[order] = sums
+    return out
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:

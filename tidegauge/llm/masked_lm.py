@@ -16,11 +16,15 @@ two steps. Nothing but the class list and the network (some 60,000 numbers) reac
 Words are split at ASCII white space, A-Z count as a-z. Null or empty texts have 0 words, log_prob 0 and null mean and perplexity.
 Repeated rows give repeated rows, an empty table an empty result, a null id stays null. Other columns are ignored.
 Equal counts: the smaller hash is the more frequent word.
+
+Most of the time goes into the softmax over all classes. Its exponentials are powers of two by a polynomial (``powers``), whose error is that of the
+products in single precision; biases are factors of the sums, so the products have no column of ones.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +34,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_parts, word_hashes
+from .common import _LOWER, stored, text_parts, word_hashes
 
 HEAD, ENDINGS, SIDE, HIDDEN = 384, 128, 2, 24
 CLASSES = HEAD + ENDINGS
@@ -39,12 +43,19 @@ PLACES = 2 * SIDE
 GROUPS = 64
 MORE = 0.5  # added to the count of each word of a class, and of one never seen
 LOOKUPS, SPLIT = 64, 1 << 21  # buckets of the word table: so many, and one more for so many words of text
+STEPS = np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])
+LOG2E = np.float32(1.4426950408889634)
+#: 2**x for x in [-0.5, 0.5] is SCALE * (((x + c0) * x + c1) * x + c2) * x + c3, with a relative error of at most 2.6e-6, as much above as below.
+POWER = [np.float32(c) for c in (5.8429743858996614, 25.103959245914712, 72.42575067589274, 104.49201806330325)]
+SCALE = np.float32(0.009570101908070106)
+ROUND = np.float32(12582912)  # 1.5 * 2**23: added to a whole number, its low bits are that number
+LIMIT = 40.0  # logits below this leave the exponents of single precision room
 
 
 def endings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Class of the last two bytes of each word, A-Z as a-z."""
-    low = np.where((data >= 65) & (data < 91), data + 32, data).astype(np.int64)
-    last, before = low[ends - 1], np.where(ends - starts > 1, low[np.maximum(ends - 2, 0)], 0)
+    last = _LOWER[data[ends - 1]].astype(np.int64)
+    before = np.where(ends - starts > 1, _LOWER[data[np.maximum(ends - 2, 0)]], 0)
     return (last * 31 + before) % ENDINGS
 
 
@@ -64,12 +75,25 @@ class Classes:
 
     def of(self, data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         found = HEAD + endings(data, starts, ends)
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-            known = self.hashes[at] == hashes
-            found[known] = self.numbers[at[known]]
+        slots, numbers, others = self.slots
+        at = (hashes >> np.uint64(48)).astype(np.int64)
+        found = np.where(slots[at] == hashes, numbers[at], found)
+        for k in others:
+            found[hashes == self.hashes[k]] = self.numbers[k]
         return found
 
+    @cached_property
+    def slots(self) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """Hashes and numbers of the head words by the first 16 bits of the hash, and places of those whose slot is taken."""
+        every = np.arange(1 << 16, dtype=np.uint64)
+        first, numbers, others = ~(every << np.uint64(48)), np.zeros(1 << 16, np.int64), []  # an empty slot has a hash that belongs elsewhere
+        for k, slot in enumerate((self.hashes >> np.uint64(48)).astype(np.int64).tolist()):
+            if first[slot] >> np.uint64(48) == slot:
+                others.append(k)
+            else:
+                first[slot], numbers[slot] = self.hashes[k], self.numbers[k]
+        return first, numbers, others
+
 
 def count_words(docs: DataFrame) -> DataFrame:
     """(hash, ending, n) of each distinct word of all texts; each task adds up its own first."""
@@ -101,6 +125,26 @@ def learn_classes(docs: DataFrame, counts: DataFrame | None = None) -> Classes:
     return Classes(hashes[order], order, np.maximum(sizes, 1), total / total.sum(), total - 1)
 
 
+def powers(x: np.ndarray, spare: np.ndarray) -> None:
+    """Turns x into 2**x / SCALE; ``spare`` is room for two more of its kind."""
+    whole, value = spare
+    np.rint(x, out=whole)
+    x -= whole
+    whole += ROUND
+    np.add(x, POWER[0], out=value)
+    for c in POWER[1:]:
+        value *= x
+        value += c
+    exponent = whole.view(np.int32)
+    exponent <<= 23
+    np.add(value.view(np.int32), exponent, out=x.view(np.int32))
+
+
+def room(kind: type = np.float32) -> np.ndarray:
+    """What ``train`` and ``forward`` work in; used again and again."""
+    return np.empty((3, PART, CLASSES), kind)
+
+
 @dataclass
 class Network:
     """Vectors by (position, class) with a last class for places outside the text; output weights, their last row the biases."""
@@ -122,62 +166,86 @@ class Network:
         flat, cut = flat.astype(np.float32), PLACES * (CLASSES + 1) * HIDDEN
         return Network(flat[:cut].reshape(PLACES, CLASSES + 1, HIDDEN).copy(), flat[cut:].reshape(HIDDEN + 1, CLASSES).copy())
 
-    def forward(self, context: np.ndarray, target: np.ndarray, out: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hidden layer (with a column of ones), sums of the exponentials, and log probabilities of the targets.
+    def ready(self) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Weights and factors by class: the exponentials are the factors times what ``forward`` leaves in ``out``. True: by ``powers``."""
+        weights, biases = self.output[:HIDDEN], self.output[HIDDEN]
+        if weights.dtype == np.float32 and (np.abs(weights).sum(axis=0) + np.abs(biases)).max() < LIMIT:  # no logit is larger, as tanh is at most 1
+            return weights * LOG2E, np.exp(biases) * SCALE, True
+        return weights, np.ones(CLASSES, weights.dtype), False
 
-        ``out`` (rows x classes) gets the exponentials of all classes; it is used again and again and fits a core's cache.
+    def forward(self, context: np.ndarray, target: np.ndarray, out: np.ndarray, spare: np.ndarray | None = None, ready: tuple | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hidden layer, sums of the exponentials, and log probabilities of the targets.
+
+        ``out`` (rows x classes) gets the exponentials of all classes, each to be multiplied by the factor of its class.
         """
-        hidden = np.ones((len(context), HIDDEN + 1), self.vectors.dtype)
-        inner = hidden[:, :HIDDEN]
-        inner[...] = self.vectors[0][context[:, 0]]
+        weights, factors, quick = ready or self.ready()
+        vectors = self.vectors.reshape(-1, HIDDEN)
+        hidden = vectors.take(context[:, 0], axis=0)
         for p in range(1, PLACES):
-            inner += self.vectors[p][context[:, p]]
-        np.tanh(inner, out=inner)
-        np.matmul(hidden, self.output, out=out)
-        if np.abs(self.output).sum(axis=0).max() > 80:  # else no exponential can overflow, as tanh is at most 1
+            hidden += vectors.take(context[:, p] + p * (CLASSES + 1), axis=0)
+        np.tanh(hidden, out=hidden)
+        np.matmul(hidden, weights, out=out)
+        rows = np.arange(len(target))
+        if quick:
+            chosen = out[rows, target] / LOG2E + self.output[HIDDEN][target]
+            powers(out, np.empty((2, *out.shape), out.dtype) if spare is None else spare)
+        else:
+            out += self.output[HIDDEN]
             out -= out.max(axis=1, keepdims=True)
-        chosen = out[np.arange(len(target)), target].astype(np.float64)
-        np.exp(out, out=out)
-        sums = out.sum(axis=1)
-        return hidden, sums, chosen - np.log(sums)
+            chosen = out[rows, target]
+            np.exp(out, out=out)
+        sums = out @ factors
+        return hidden, sums, chosen.astype(np.float64) - np.log(sums.astype(np.float64))
+
+
+def add_rows(places: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of rows by place: row i counts in each of ``places[i]``."""
+    flat = places.astype(np.uint16).ravel()
+    order = np.argsort(flat, kind="stable")
+    flat = flat[order]
+    heads = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+    sums = np.zeros((n, rows.shape[1]), rows.dtype)
+    pairs = np.result_type(rows, np.complex64)  # two numbers are added at a time
+    sums.view(pairs)[flat[heads]] = np.add.reduceat(rows.take(order // places.shape[1], axis=0).view(pairs), heads, axis=0)
+    return sums
 
 
-def train(network: Network, state: list[np.ndarray], context: np.ndarray, target: np.ndarray) -> None:
+def train(network: Network, state: list[np.ndarray], context: np.ndarray, target: np.ndarray, work: np.ndarray | None = None) -> None:
     """One step of Adagrad on the mean log loss, its rows taken in parts."""
     n = len(target)
-    back = np.empty((HIDDEN, n), network.vectors.dtype)
+    work = room(network.output.dtype) if work is None else work
+    ready = network.ready()
+    factors = ready[1]
+    back = np.empty((n, HIDDEN), network.vectors.dtype)
     output = np.zeros_like(network.output)
-    buffer = np.empty((min(n, PART), CLASSES), network.output.dtype)
+    weighted = (network.output[:HIDDEN] * factors).T
     for low in range(0, n, PART):
         high = min(low + PART, n)
-        error = buffer[: high - low]
-        hidden, sums, _ = network.forward(context[low:high], target[low:high], error)
-        error *= (1 / (sums * n))[:, None]
-        error[np.arange(high - low), target[low:high]] -= 1 / n
-        output += hidden.T @ error
-        inner = hidden[:, :HIDDEN]
-        back[:, low:high] = ((error @ network.output[:HIDDEN].T) * (1 - inner * inner)).T
-    vectors = np.empty_like(network.vectors)
-    for p in range(PLACES):
-        at = np.ascontiguousarray(context[:, p])
-        for h in range(HIDDEN):
-            vectors[p, :, h] = np.bincount(at, back[h], CLASSES + 1)
+        error, spare = work[0, : high - low], work[1:, : high - low]
+        hidden, sums, _ = network.forward(context[low:high], target[low:high], error, spare, ready)
+        part = (1 / (sums * n))[:, None]
+        error[np.arange(high - low), target[low:high]] -= sums / factors[target[low:high]]  # now the error of the softmax is error * factors * part * n
+        output[:HIDDEN] += (hidden * part).T @ error
+        output[HIDDEN] += part[:, 0] @ error
+        back[low:high] = (error @ weighted) * part * (1 - hidden * hidden)
+    output *= factors
+    vectors = add_rows(context + np.arange(PLACES) * (CLASSES + 1), back, PLACES * (CLASSES + 1)).reshape(network.vectors.shape)
     for value, gradient, seen in zip((network.vectors, network.output), (vectors, output), state):
         seen += gradient * gradient
         value -= RATE * gradient / (np.sqrt(seen) + 1e-6)
 
 
-def contexts(classes: np.ndarray, first: np.ndarray, low: int, high: int) -> np.ndarray:
-    """Classes around the words low..high-1; places outside a word's text get the class ``CLASSES``."""
-    place = np.arange(low, high)
-    text = np.searchsorted(first, place, "right") - 1
-    begin, end = first[text], first[text + 1]
-    columns = []
-    for step in [*range(-SIDE, 0), *range(1, SIDE + 1)]:
-        at = place + step
-        inside = (at >= begin) & (at < end)
-        columns.append(np.where(inside, classes[np.where(inside, at, 0)], CLASSES))
-    return np.stack(columns, axis=1)
+def lines(classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All texts in one line with ``SIDE`` places of class ``CLASSES`` around each, and where its words are."""
+    at = np.arange(len(classes)) + SIDE * np.repeat(np.arange(1, len(first)), np.diff(first))
+    line = np.full(len(classes) + SIDE * len(first), CLASSES)
+    line[at] = classes
+    return line, at
+
+
+def contexts(line: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Classes around the places ``at``."""
+    return line[at[:, None] + STEPS]
 
 
 def learn_network(docs: DataFrame, classes: Classes) -> Network:
@@ -189,14 +257,14 @@ def learn_network(docs: DataFrame, classes: Classes) -> Network:
 
         def run(batches, given=given):
             own, classes, total = Network.of(given.value), known.value, 0
-            state = [np.full_like(x, 1e-4) for x in (own.vectors, own.output)]
+            state, work = [np.full_like(x, 1e-4) for x in (own.vectors, own.output)], room()
             for _, data, offsets in text_parts(batches, "text", 1 << 20):
                 hashes, first, starts, ends = word_hashes(data, offsets)
                 number = classes.of(data, hashes, starts, ends)
+                line, at = lines(number, first)
                 total += len(number)
                 for low in range(0, len(number), BATCH):
-                    high = min(low + BATCH, len(number))
-                    train(own, state, contexts(number, first, low, high), number[low:high])
+                    train(own, state, contexts(line, at[low : low + BATCH]), number[low : low + BATCH], work)
             if total:
                 group = TaskContext.get().partitionId() % GROUPS
                 yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([float(total)]), pa.array([(own.flat().astype(np.float64) * total)], pa.list_(pa.float64()))], names=["grp", "n", "flat"])
@@ -247,17 +315,16 @@ def score(docs: DataFrame, classes: Classes, network: Network, counts: DataFrame
     def run(batches):
         classes, network = given.value
         whole = classes.whole()
-        buffer = np.empty((PART, CLASSES), np.float32)
+        work, ready = room(), network.ready()
         number_of_part = TaskContext.get().partitionId() << 32
         for part, data, offsets in text_parts(batches, "text", 4 << 20):
             hashes, first, starts, ends = word_hashes(data, offsets)
             number = classes.of(data, hashes, starts, ends)
             logs = np.empty(len(number))
-            for begin in range(0, len(number), BATCH):
-                context = contexts(number, first, begin, min(begin + BATCH, len(number)))
-                for low in range(begin, begin + len(context), PART):
-                    high = min(low + PART, begin + len(context))
-                    logs[low:high] = network.forward(context[low - begin : high - begin], number[low:high], buffer[: high - low])[2]
+            line, at = lines(number, first)
+            for low in range(0, len(number), PART):
+                high = min(low + PART, len(number))
+                logs[low:high] = network.forward(contexts(line, at[low:high]), number[low:high], work[0, : high - low], work[1:, : high - low], ready)[2]
             total = np.concatenate([[0.0], np.cumsum(logs - whole[number])])
             rows = [(number_of_part, -1, None, None, part.column("doc_id").to_pylist(), np.diff(first), total[first[1:]] - total[first[:-1]])]
             rare = np.flatnonzero(number >= HEAD)
