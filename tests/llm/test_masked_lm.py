@@ -168,3 +168,16 @@ def test_word_hashes_byte_by_byte():
         hashes, first, starts, ends = C.word_hashes(np.frombuffer(b"".join(texts), np.uint8), offsets, letters)
         assert hashes.tolist() == C.mix(np.array([h for w in want for h in w], np.uint64)).tolist()
         assert np.diff(first).tolist() == [len(w) for w in want] and len(starts) == len(ends) == len(hashes)
+
+
+def test_distinct_hashes_keep_their_endings():
+    rng = np.random.default_rng(9)
+    for near in (False, True):  # with hashes that differ in the last bits only
+        known = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+        known = np.append(known, known[:9] ^ np.uint64(5)) if near else known
+        ending = rng.integers(0, M.ENDINGS, len(known))
+        at = rng.integers(0, len(known), 4000)
+        got = M.distinct(known[at], ending[at])
+        want, first, n = np.unique(known[at], return_index=True, return_counts=True)
+        assert got[0].tolist() == want.tolist() and got[1].tolist() == ending[at][first].tolist() and got[2].tolist() == n.tolist()
+    assert [len(x) for x in M.distinct(np.zeros(0, np.uint64), np.zeros(0, np.int64))] == [0, 0, 0]

@@ -95,14 +95,30 @@ class Classes:
         return first, numbers, others
 
 
+def distinct(hashes: np.ndarray, ending: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes in ascending order, their endings and counts.
+
+    Values sort much faster than their order is found: the hashes are sorted once, and once with the ending in place of the last bits.
+    """
+    low = np.uint64(ENDINGS - 1)
+    words = np.sort(hashes)
+    heads = np.flatnonzero(np.append(True, words[1:] != words[:-1])) if len(words) else np.zeros(0, np.int64)
+    n = np.diff(np.append(heads, len(words)))
+    marked = np.sort((hashes & ~low) | ending.astype(np.uint64))
+    if len(heads) and ((words[heads[1:]] ^ words[heads[:-1]]) <= low).any():  # words that differ in the last bits only
+        words, first, n = np.unique(hashes, return_index=True, return_counts=True)
+        return words, ending[first], n
+    return words[heads], (marked[heads] & low).astype(np.int64), n
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """(hash, ending, n) of each distinct word of all texts; each task adds up its own first."""
 
     def run(batches):
         for part, data, offsets in text_parts(batches, "text", 8 << 20):
             hashes, _, starts, ends = word_hashes(data, offsets)
-            words, first, n = np.unique(hashes, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(endings(data, starts[first], ends[first]).astype(np.int32)), pa.array(n.astype(np.int64))], names=["hash", "ending", "n"])
+            words, ending, n = distinct(hashes, endings(data, starts, ends))
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(ending.astype(np.int32)), pa.array(n)], names=["hash", "ending", "n"])
 
     return docs.select("text").mapInArrow(run, "hash long, ending int, n long").groupBy("hash", "ending").agg(F.sum("n").alias("n"))
 
@@ -173,29 +189,32 @@ class Network:
             return weights * LOG2E, np.exp(biases) * SCALE, True
         return weights, np.ones(CLASSES, weights.dtype), False
 
-    def forward(self, context: np.ndarray, target: np.ndarray, out: np.ndarray, spare: np.ndarray | None = None, ready: tuple | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hidden layer, sums of the exponentials, and log probabilities of the targets.
+    def spread(self, context: np.ndarray, out: np.ndarray, spare: np.ndarray | None, ready: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+        """Hidden layer, sums of the exponentials, and what was taken off the logits.
 
         ``out`` (rows x classes) gets the exponentials of all classes, each to be multiplied by the factor of its class.
         """
-        weights, factors, quick = ready or self.ready()
-        vectors = self.vectors.reshape(-1, HIDDEN)
+        weights, factors, quick = ready
+        vectors, less = self.vectors.reshape(-1, HIDDEN), 0.0
         hidden = vectors.take(context[:, 0], axis=0)
         for p in range(1, PLACES):
             hidden += vectors.take(context[:, p] + p * (CLASSES + 1), axis=0)
         np.tanh(hidden, out=hidden)
         np.matmul(hidden, weights, out=out)
-        rows = np.arange(len(target))
         if quick:
-            chosen = out[rows, target] / LOG2E + self.output[HIDDEN][target]
             powers(out, np.empty((2, *out.shape), out.dtype) if spare is None else spare)
         else:
             out += self.output[HIDDEN]
-            out -= out.max(axis=1, keepdims=True)
-            chosen = out[rows, target]
+            less = out.max(axis=1)
+            out -= less[:, None]
             np.exp(out, out=out)
-        sums = out @ factors
-        return hidden, sums, chosen.astype(np.float64) - np.log(sums.astype(np.float64))
+        return hidden, out @ factors, less
+
+    def forward(self, context: np.ndarray, target: np.ndarray, out: np.ndarray, spare: np.ndarray | None = None, ready: tuple | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hidden layer, sums of the exponentials, and log probabilities of the targets; ``out`` as in ``spread``."""
+        hidden, sums, less = self.spread(context, out, spare, ready or self.ready())
+        chosen = np.einsum("ij,ji->i", hidden, self.output[:HIDDEN].take(target, axis=1)) + self.output[HIDDEN].take(target)
+        return hidden, sums, (chosen - less).astype(np.float64) - np.log(sums.astype(np.float64))
 
 
 def add_rows(places: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -222,7 +241,7 @@ def train(network: Network, state: list[np.ndarray], context: np.ndarray, target
     for low in range(0, n, PART):
         high = min(low + PART, n)
         error, spare = work[0, : high - low], work[1:, : high - low]
-        hidden, sums, _ = network.forward(context[low:high], target[low:high], error, spare, ready)
+        hidden, sums, _ = network.spread(context[low:high], error, spare, ready)
         part = (1 / (sums * n))[:, None]
         error[np.arange(high - low), target[low:high]] -= sums / factors[target[low:high]]  # now the error of the softmax is error * factors * part * n
         output[:HIDDEN] += (hidden * part).T @ error
@@ -231,8 +250,13 @@ def train(network: Network, state: list[np.ndarray], context: np.ndarray, target
     output *= factors
     vectors = add_rows(context + np.arange(PLACES) * (CLASSES + 1), back, PLACES * (CLASSES + 1)).reshape(network.vectors.shape)
     for value, gradient, seen in zip((network.vectors, network.output), (vectors, output), state):
-        seen += gradient * gradient
-        value -= RATE * gradient / (np.sqrt(seen) + 1e-6)
+        step = np.square(gradient)
+        seen += step
+        np.sqrt(seen, out=step)
+        step += 1e-6
+        np.divide(gradient, step, out=step)
+        step *= RATE
+        value -= step
 
 
 def lines(classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
