@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import ratio
 from ..functions.text import tokens
 from ..session import cut_lineage
+from .blocks import counted_lines, distinct_pairs
 from .ranking import top_per_group
 from .skew import attach
 
@@ -59,12 +60,9 @@ def merge_counts(parts: Sequence[DataFrame]) -> DataFrame:
 def ngrams(df: DataFrame, text: str, size: int = 5) -> DataFrame:
     """Distinct word n-grams of whole texts with their number of occurrences.
 
-    Each text is sliced inside its own row; equal n-grams meet in a map-side aggregate.
+    Neighbouring n-grams travel as one run of words in compressed blocks, see ``blocks``.
     """
-    words = df.select(tokens(F.col(text)).alias("_w"))
-    starts = F.when(F.size("_w") >= size, F.sequence(F.lit(1), F.size("_w") - (size - 1)))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice("_w", i, size), " "))
-    return rows_of(words, grams, "ngram").groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
+    return counted_lines(df.select(tokens(F.col(text)).alias("_w")), size)
 
 
 def weighted_words(grams: DataFrame) -> DataFrame:
@@ -76,11 +74,10 @@ def weighted_words(grams: DataFrame) -> DataFrame:
 def neighbour_pairs(grams: DataFrame) -> DataFrame:
     """Distinct unordered pairs of different words that share an n-gram.
 
-    An n-gram has a fixed number of words, so a line gives at most ten pairs.
+    An n-gram has a fixed number of words, so a line gives at most ten pairs. They travel in compressed blocks, see ``blocks``.
     """
-    words = grams.select(F.array_distinct(F.split(F.lower("ngram"), " ")).alias("_w"))
-    a = rows_of(words, F.col("_w"), "a", ["_w"])
-    return rows_of(a, F.col("_w"), "b", ["a"]).filter(F.col("a") < F.col("b")).distinct()
+    pairs = distinct_pairs(grams.select(F.lower("ngram").alias("_w")))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def neighbour_counts(grams: DataFrame) -> DataFrame:
