@@ -6,13 +6,15 @@ import pyarrow as pa
 import pytest
 
 from tidegauge.operators import blocks, text
+from tidegauge.plans import words
+from tidegauge.plans.registry import Tables
 
 
-def texts(seed, n, words, vocabulary):
+def texts(seed, n, size, vocabulary):
     """Texts of words of which some are frequent."""
     rng = random.Random(seed)
     known = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 8))) for _ in range(vocabulary)]
-    return [" ".join(known[int(vocabulary * rng.random() ** 3)] for _ in range(words(rng))) for _ in range(n)]
+    return [" ".join(known[int(vocabulary * rng.random() ** 3)] for _ in range(size(rng))) for _ in range(n)]
 
 
 def brute_lines(rows, size):
@@ -46,9 +48,9 @@ def test_lines_and_pairs_over_chunks_against_brute_force(monkeypatch, size, chun
 def test_equal_keys_are_ordered_by_the_words(monkeypatch):
     """Two words with one hash have one order whatever order they come in."""
     monkeypatch.setattr(blocks, "_hashes", lambda words: blocks.np.zeros(len(words), blocks.np.uint64))
-    for words in (["bb", "aa", "c"], ["aa", "c", "bb"]):
-        rank, known, _ = blocks._ranked(pa.array(words))
-        assert known.to_pylist() == ["c", "aa", "bb"] and [known[int(r)].as_py() for r in rank] == words
+    for given in (["bb", "aa", "c"], ["aa", "c", "bb"]):
+        rank, known, _ = blocks._ranked(pa.array(given))
+        assert known.to_pylist() == ["c", "aa", "bb"] and [known[int(r)].as_py() for r in rank] == given
 
 
 def written(df):
@@ -74,3 +76,24 @@ def test_neighbours_write_less_than_four_times_the_text(spark):
     assert written(counts) < 4 * sum(map(len, rows))
     want = Counter(w for p in brute_pairs(brute_lines(rows, 5)) for w in p)
     assert {r.word: r.n_neighbours for r in counts.collect()} == want
+
+
+def test_ranking_overlap_writes_no_table_of_ngrams(spark, tmp_path):
+    rows = texts(3, 300, lambda rng: 300, 2500)
+    spark.createDataFrame([(i, t, "en") for i, t in enumerate(rows)], "doc_id long, text string, lang string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+
+    def kept():
+        top = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(top) for f in names)
+
+    before = kept()
+    df = words.x15_ranking_overlap(Tables(spark, str(tmp_path)))
+    size = written(df)
+    assert kept() <= before and size < 4 * sum(map(len, rows))
+    lines = brute_lines(rows, 5)
+    nbrs, freq = Counter(w for p in brute_pairs(lines) for w in p), Counter()
+    for line, n in lines.items():
+        for w in line.split():
+            freq[w] += n
+    a, b = ({w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:1000]} for c in (nbrs, freq))
+    assert tuple(df.first()) == (1000, len(a & b), round(100 * len(a & b) / 1000, 6))

@@ -155,8 +155,11 @@ WITH {NEIGHBOURS_SQL}, weighted AS (SELECT word, sum(n) AS n FROM gw GROUP BY wo
      a AS (SELECT word FROM neighbours ORDER BY n_neighbours DESC, word LIMIT 1000), b AS (SELECT word FROM weighted ORDER BY n DESC, word LIMIT 1000)
 SELECT count(*) AS n_first, count(b.word) AS n_shared, round(100.0 * count(b.word) / count(*), 6) AS overlap_pct FROM a LEFT JOIN b USING (word)""")
 def x15_ranking_overlap(t: Tables) -> DataFrame:
-    """Share of the 1,000 words with most neighbours that are among the 1,000 most frequent."""
-    g = stored_grams(t)
+    """Share of the 1,000 words with most neighbours that are among the 1,000 most frequent.
+
+    The n-gram table is not written: both lists read the blocks of one shuffle, a fraction of its size.
+    """
+    g = grams(t)
     most_nbrs = ranking.top_n(text.neighbour_counts(g), "n_neighbours", 1000, "word")
     most_freq = ranking.top_n(text.weighted_words(g), "n", 1000, "word")
     return sets.overlap(most_nbrs, most_freq, "word")
