@@ -1,11 +1,14 @@
+import gc
 import os
 import random
+import time
 from collections import Counter
 
 import pyarrow as pa
 import pytest
 
-from tidegauge.operators import blocks, text
+from tidegauge import session
+from tidegauge.operators import blocks, similarity, text
 from tidegauge.plans import words
 from tidegauge.plans.registry import Tables
 
@@ -68,6 +71,12 @@ def written(df):
     return walk(df._jdf.queryExecution().executedPlan())
 
 
+def kept(spark):
+    """Bytes in the checkpoint folder."""
+    top = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(top) for f in names)
+
+
 def test_neighbours_write_less_than_four_times_the_text(spark):
     rows = texts(2, 300, lambda rng: 400, 3000)
     df = spark.createDataFrame([(t,) for t in rows], "text string").repartition(4).cache()
@@ -82,14 +91,10 @@ def test_ranking_overlap_writes_no_table_of_ngrams(spark, tmp_path):
     rows = texts(3, 300, lambda rng: 300, 2500)
     spark.createDataFrame([(i, t, "en") for i, t in enumerate(rows)], "doc_id long, text string, lang string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
 
-    def kept():
-        top = spark.sparkContext.getCheckpointDir().removeprefix("file:")
-        return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(top) for f in names)
-
-    before = kept()
+    before = kept(spark)
     df = words.x15_ranking_overlap(Tables(spark, str(tmp_path)))
     size = written(df)
-    assert kept() <= before and size < 4 * sum(map(len, rows))
+    assert kept(spark) <= before and size < 4 * sum(map(len, rows))
     lines = brute_lines(rows, 5)
     nbrs, freq = Counter(w for p in brute_pairs(lines) for w in p), Counter()
     for line, n in lines.items():
@@ -97,3 +102,30 @@ def test_ranking_overlap_writes_no_table_of_ngrams(spark, tmp_path):
             freq[w] += n
     a, b = ({w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:1000]} for c in (nbrs, freq))
     assert tuple(df.first()) == (1000, len(a & b), round(100 * len(a & b) / 1000, 6))
+
+
+@pytest.mark.parametrize("search", [similarity.top_set_pairs, similarity.top_document_pairs])
+def test_pairs_keep_no_copies_of_the_sets(spark, search):
+    """What stays in the checkpoint folder is the words with their numbers and the best pairs."""
+    rows = texts(4, 400, lambda rng: 300, 2000)
+    df = spark.createDataFrame([*enumerate(rows)], "id long, text string").repartition(4)
+    gc.collect()
+    before = kept(spark)
+    got = search(df, "id", "text", 20)
+    assert kept(spark) - before < sum(map(len, rows)) / 2
+    sets = [set(t.split()) for t in rows]
+    want = sorted((-round(len(x & y) / len(x | y), 12), a, b) for a, x in enumerate(sets) for b, y in enumerate(sets) if a < b and x != y)[:20]
+    assert sorted((-round(r.jaccard, 12), r.a, r.b) for r in got.collect()) == want
+
+
+def test_compact_copies_go_with_their_shuffles(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    gc.collect()
+    blocks_before, before = disk.getAllBlocks().size(), kept(spark)
+    with session.compact(spark.range(100_000, numPartitions=4).repartition(8)) as copy:
+        until = time.time() + 20
+        while disk.getAllBlocks().size() > blocks_before and time.time() < until:
+            time.sleep(0.1)
+        assert disk.getAllBlocks().size() <= blocks_before and kept(spark) > before
+        assert copy.count() == 100_000
+    assert kept(spark) <= before and spark.conf.get(session.SHUFFLES_GO) == "false"

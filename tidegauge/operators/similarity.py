@@ -11,7 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
-from ..session import cut_lineage
+from ..session import compact, cut_lineage
+from .ranking import global_rank
 from .skew import attach
 from .text import rows_of
 
@@ -24,12 +25,15 @@ GROWTH = 8
 
 
 def _ordered_sets(sets: DataFrame) -> DataFrame:
-    """Words of every set, rarest first (ties by word): (rep, words, n)."""
+    """Words of every set as numbers, rarest first (ties by word): (rep, words, n).
+
+    The rows go back to their sets one by one: lists of a task would be short where tasks are many.
+    """
     rows = rows_of(sets, F.col("words"), "word", ["rep"])
     freq = rows.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    pair = F.struct(F.col("df"), F.col("word"))
-    grouped = attach(rows, freq, ["word"]).groupBy("rep").agg(F.sort_array(F.collect_list(pair)).alias("_p"))
-    return grouped.select("rep", F.col("_p.word").alias("words"), F.size("_p").alias("n"))
+    numbers = global_rank(freq, [F.asc("df"), F.asc("word")], "no").select("word", "no")
+    numbered = attach(rows, numbers, ["word"]).select("rep", "no").repartition("rep")
+    return numbered.groupBy("rep").agg(F.sort_array(F.collect_list("no")).alias("words")).withColumn("n", F.size("words"))
 
 
 def _events(ordered: DataFrame, low: int) -> DataFrame:
@@ -99,8 +103,8 @@ def _set_groups(df: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
     )
     first = F.row_number().over(W.partitionBy("sig").orderBy("id"))
     heads = sets.withColumn("_rn", first).filter(F.col("_rn") <= k + 1)
-    groups = cut_lineage(heads.groupBy("sig").agg(
-        F.sort_array(F.collect_list("id")).alias("ids"), F.max_by("words", -F.col("_rn")).alias("words")))
+    groups = heads.groupBy("sig").agg(
+        F.sort_array(F.collect_list("id")).alias("ids"), F.max_by("words", -F.col("_rn")).alias("words"))
     return groups.withColumn("rep", F.get("ids", F.lit(0)))
 
 
@@ -112,7 +116,11 @@ def _best_pairs(groups: DataFrame, k: int) -> DataFrame:
     the last one is the bound at which the queue ends, and what each later batch skips. The first batch may bring
     as many possible pairs as there are sets, each further one ``GROWTH`` times as many.
     """
-    ordered = cut_lineage(_ordered_sets(groups.select("rep", "words")))
+    with compact(_ordered_sets(groups.select("rep", "words"))) as ordered:
+        return _worked_off(ordered, k)
+
+
+def _worked_off(ordered: DataFrame, k: int) -> DataFrame:
     best, high, least, work, allowed, counted = None, STEPS + 1, 0.0, {}, max(ordered.count(), k), STEPS + 1
     while best is None or (high > 1 and (high - 1) / STEPS >= least):
         end = max(math.floor(least * STEPS), 1)
@@ -130,7 +138,8 @@ def _best_pairs(groups: DataFrame, k: int) -> DataFrame:
 
 def top_set_pairs(df: DataFrame, doc_id: str, text: str, k: int = 10) -> DataFrame:
     """The ``k`` pairs of different word sets with the highest Jaccard, each set under its smallest document id."""
-    best = _best_pairs(_set_groups(df, doc_id, text, 0), k)
+    with compact(_set_groups(df, doc_id, text, 0)) as groups:
+        best = _best_pairs(groups, k)
     return best.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "shared", "jaccard")
 
 
@@ -141,9 +150,13 @@ def top_document_pairs(df: DataFrame, doc_id: str, text: str, k: int = 10) -> Da
     of each set only the first ``k + 1`` ids can appear in the answer, and of its own pairs only the
     first ``k``. Different sets are searched only if copies do not fill the list.
     """
-    groups = _set_groups(df, doc_id, text, k)
+    with compact(_set_groups(df, doc_id, text, k)) as groups:
+        return cut_lineage(_document_pairs(groups, k))
+
+
+def _document_pairs(groups: DataFrame, k: int) -> DataFrame:
     m = F.size("ids")
-    copies = (
+    copies = cut_lineage(
         groups.filter(m > 1)
         .select(F.size("words").alias("n"), "ids", m.alias("m"), F.posexplode("ids").alias("p", "a"))
         .filter(F.col("p") * (F.col("m") - 1) - F.col("p") * (F.col("p") - 1) / 2 < k)  # pairs with a smaller first id

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +19,8 @@ SETTINGS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(master: str, app: str = "tidegauge", shuffle_partitions: int = 8) -> SparkSession:
     """Local session for tests and the bench; a cluster brings its own settings."""
@@ -56,3 +61,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def compact(df: DataFrame) -> Iterator[DataFrame]:
+    """A copy of ``df`` in the shared folder as compressed Parquet, until the block ends.
+
+    For large tables that are read several times: a checkpoint is not compressed. What the caller goes on with must not
+    depend on the copy. The shuffles that made it are removed when it is written, not when the driver collects its garbage.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/compact-{uuid.uuid4().hex}"
+    before = spark.conf.get(SHUFFLES_GO, "false")
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLES_GO, before)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
